@@ -229,9 +229,9 @@ def f4(spark, sf):
 _FIRST = [numeric.ratio_name(*p) for p in config.FIRST_RATIOS]
 
 
-@query("f5_ratio_features", with_("first_pass", f"SELECT address, {sql_places(_FIRST, 4)} FROM first_pass"))
+@query("f5_ratio_features", with_("first_pass", f"SELECT address, {sql_places(_FIRST, 3)} FROM first_pass"))
 def f5(spark, sf):
-    return features.ratio_features(views.labelled(spark, sf)).select("address", *places(_FIRST, 4))
+    return features.ratio_features(views.labelled(spark, sf)).select("address", *places(_FIRST, 3))
 
 
 @query("f5_second_ratio_features", with_(
@@ -284,10 +284,10 @@ _PASS1 = ["log_count", "log_neighbors", "log_income"]
 
 
 @query("c2_first_pass", with_("first_pass", f"""
-SELECT address, is_ransomware, length, weight, looped, {sql_places(_PASS1)}, {sql_places(_FIRST, 4)} FROM first_pass"""))
+SELECT address, is_ransomware, length, weight, looped, {sql_places(_PASS1)}, {sql_places(_FIRST, 3)} FROM first_pass"""))
 def c2(spark, sf):
     return features.first_pass(views.labelled(spark, sf)).select(
-        "address", config.TARGET, "length", "weight", "looped", *places(_PASS1), *places(_FIRST, 4))
+        "address", config.TARGET, "length", "weight", "looped", *places(_PASS1), *places(_FIRST, 3))
 
 
 _PASS2 = [c for c in features.SECOND_PASS_COLS if c not in ("weight", "looped")]

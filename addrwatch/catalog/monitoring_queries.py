@@ -284,7 +284,8 @@ _PSI_SAMPLES = {"samples": "SELECT request_id, ts, 'is_ransomware' AS target, ps
 def _psi_ticks(spark, sf):
     series = drift.drift_series(baseline(spark, sf), views.telemetry(spark, sf))
     samples = series.select("request_id", "ts", F.lit(config.TARGET).alias("target"), F.col("psi").alias("value"))
-    return alerts.gauge_ticks(samples, ["target"], QUARTER, tie="request_id")
+    end = views.telemetry(spark, sf).agg(F.max("ts")).scalar()
+    return alerts.gauge_ticks(samples, ["target"], QUARTER, tie="request_id", until=end)
 
 
 @query("x6_high_drift", _gauge_sql("psi_series", "samples", "target", X6, "request_id", _PSI_SAMPLES))
@@ -309,7 +310,8 @@ def x8(spark, sf):
 def x9(spark, sf):
     marked = lookups.explain_lookup(views.lookups(spark, sf), views.pred(spark, sf))
     samples = lookups.running_hit_rate(marked).select("lookup_id", "ts", F.col("hit_rate").alias("value"))
-    return alerts.alerts(alerts.gauge_ticks(samples, (), QUARTER, tie="lookup_id"), X9)
+    end = views.lookups(spark, sf).agg(F.max("ts")).scalar()
+    return alerts.alerts(alerts.gauge_ticks(samples, (), QUARTER, tie="lookup_id", until=end), X9)
 
 
 @query("x10_very_high_spike", _alert_sql("labelled_pred", sliding(

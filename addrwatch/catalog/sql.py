@@ -149,14 +149,14 @@ SELECT avg(CAST(y = 1 AS INTEGER)) + 1e-6 AS t, avg(CAST(y = 0 AS INTEGER)) + 1e
     "live": (("latest",), """
 SELECT avg(CAST(prediction = 1 AS INTEGER)) + 1e-6 AS t, avg(CAST(prediction = 0 AS INTEGER)) + 1e-6 AS f,
   count(*) AS n FROM latest"""),
-    "trailing": (("pred",), """
+    "trailing_share": (("pred",), """
 SELECT request_id, ts, row_number() OVER o AS i,
   sum(prediction) OVER (ORDER BY ts, request_id ROWS BETWEEN 99 PRECEDING AND CURRENT ROW) / 100.0::DOUBLE AS share
 FROM pred WINDOW o AS (ORDER BY ts, request_id)"""),
-    "psi_series": (("trailing", "base"), """
+    "psi_series": (("trailing_share", "base"), """
 SELECT request_id, ts, (share + 1e-6 - t) * ln((share + 1e-6) / t)
   + (1 - share + 1e-6 - f) * ln((1 - share + 1e-6) / f) AS psi
-FROM trailing, base WHERE i >= 100"""),
+FROM trailing_share, base WHERE i >= 100"""),
 }
 
 

@@ -119,12 +119,11 @@ def t3_errors(spark, sf):
 
 
 @query("t4_alert_stream", _alert_sql(
-    "labelled_pred", X8_TICKS, "label", X8, until=_CLOSED.format(
-        end="tick", source="(SELECT * FROM labelled_pred WHERE label = 'ransomware')")))
+    "labelled_pred", X8_TICKS, "label", X8, until=_CLOSED.format(end="tick", source="labelled_pred")))
 def t4(spark, sf):
-    predictions = views.predictions_of(event_stream(spark, sf)).filter(F.col("prediction") == 1)
-    named = predictions.withColumn("label", F.lit(config.POSITIVE_LABEL))
-    return _plain(drained(windows.alert_stream(named, X8, DELAY), spark, "alerts"), "tick")
+    named = views.predictions_of(event_stream(spark, sf)).withColumn("label", F.lit(config.POSITIVE_LABEL))
+    states = windows.alert_stream(named, X8, DELAY, condition=F.col("prediction") == 1)
+    return _plain(drained(states, spark, "alerts"), "tick")
 
 
 _GAUGE_TICKS = """
@@ -153,4 +152,4 @@ def t5(spark, sf):
 def t6(spark, sf):
     events = event_stream(spark, sf)
     served = lookups.explain_stream(views.lookups_of(events), views.predictions_of(events))
-    return _plain(drained(served, spark, "lookups"), "ts").select("lookup_id", "ts", "request_id", "hit")
+    return drained(served, spark, "lookups").select("lookup_id", "ts", "request_id", "hit")

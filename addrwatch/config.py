@@ -108,8 +108,6 @@ PREFIX_BUCKETS = 256
 HOT_SHARE = 0.01
 # A hot key is spread over this many tasks.
 HOT_SALTS = 64
-# Evaluation ticks of one series handled by one window group.
-TICKS_PER_CHUNK = 5760
 
 
 def rule(alert: str) -> AlertRule:

@@ -32,6 +32,11 @@ def micros(ts: Column) -> Column:
     return F.timestamp_diff("MICROSECOND", F.expr(_EPOCH), ts.cast("timestamp_ntz"))
 
 
+def from_micros(count: Column) -> Column:
+    """Wall-clock time of microseconds since 1970."""
+    return F.timestamp_add("MICROSECOND", count, F.expr(_EPOCH))
+
+
 def from_seconds(seconds: Column) -> Column:
     """Wall-clock time of whole seconds since 1970."""
     return F.timestamp_add("SECOND", seconds, F.expr(_EPOCH))

@@ -139,7 +139,9 @@ def fit_additive(
     learner = LogisticRegression(
         featuresCol="_features", labelCol=target, maxIter=max_iter, regParam=reg, standardization=False,
     )
-    fitted = Pipeline(stages=[encoder, assembler, learner]).fit(frame.select(target, *ids)).stages[-1]
+    # Adding zero sheds the bin names the discretizer attached to each column.
+    plain = frame.select(target, *[(F.col(c) + F.lit(0.0)).alias(c) for c in ids])
+    fitted = Pipeline(stages=[encoder, assembler, learner]).fit(plain).stages[-1]
     weights, at, terms = fitted.coefficients.toArray(), 0, []
     for names, bounds, _, size in slots:
         part = [float(v) for v in weights[at:at + size]]

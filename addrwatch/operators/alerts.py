@@ -65,48 +65,29 @@ def gauge_ticks(
     ts: str = "ts",
     value: str = "value",
     tie: str | None = None,
-    chunk: int = config.TICKS_PER_CHUNK,
+    until: Column | None = None,
 ) -> DataFrame:
     """``(tick, *by, value)`` on every evaluation time from a series' first sample to
-    the last sample of all: the latest value at or before the tick.
+    ``until``, a time that defaults to the last sample of all: the latest value at
+    or before the tick.
 
-    Samples are reduced to the last one per series and tick. Time is cut into
-    chunks of ``chunk`` ticks; a window fills each chunk, and one row per series
-    and chunk carries the value over to the next, so a long series is many tasks.
+    Samples are reduced to the last one per series and tick before the shuffle,
+    so a series has at most one row per step, whatever its traffic: two million a
+    year at 15 seconds. Each of them then covers the ticks up to the next one.
     """
     number = F.ceil(micros(F.col(ts)) / F.lit(step * 1_000_000.0)).cast("bigint")
     latest = F.struct(ts, *([tie] if tie else []))
-    per_tick = samples.groupBy(*by, number.alias("_tick")).agg(
-        F.max_by(value, latest).alias("_value")
-    ).withColumn("_chunk", F.floor(F.col("_tick") / chunk))
-    horizon = samples.agg(F.max(number)).scalar()
-
-    # One row per series and chunk that has samples.
-    series = Window.partitionBy(*by).orderBy("_chunk")
-    spans = per_tick.groupBy(*by, "_chunk").agg(
-        F.min("_tick").alias("_first"), F.max_by("_value", "_tick").alias("_end_value")
-    ).withColumn("_horizon", horizon).select(
-        *by, "_chunk", "_first", "_end_value", "_horizon",
-        F.lag("_end_value").over(series).alias("_carried"),
-        F.lag("_chunk").over(series).isNotNull().alias("_running"),
-        F.coalesce(
-            F.lead("_chunk").over(series) - 1, F.floor(F.col("_horizon") / chunk)
-        ).alias("_until"),
+    per_tick = samples.groupBy(*by, number.alias("_tick")).agg(F.max_by(value, latest).alias(value))
+    if until is None:
+        end = samples.agg(F.max(number)).scalar()
+    else:
+        end = F.ceil(micros(until) / F.lit(step * 1_000_000.0)).cast("bigint")
+    series = Window.partitionBy(*by).orderBy("_tick")
+    spans = per_tick.withColumn("_end", end).withColumn(
+        "_next", F.coalesce(F.lead("_tick").over(series) - 1, F.col("_end"))
     )
-    pieces = spans.select("*", F.explode(F.sequence("_chunk", "_until")).alias("_piece"))
-    own = F.col("_piece") == F.col("_chunk")
-    start = F.when(own & ~F.col("_running"), F.col("_first")).otherwise(F.col("_piece") * chunk)
-    stop = F.least(F.col("_piece") * chunk + (chunk - 1), F.col("_horizon"))
-    grid = pieces.select(
-        *by, F.col("_piece").alias("_chunk"),
-        F.when(own, F.col("_carried")).otherwise(F.col("_end_value")).alias("_carried"),
-        F.explode(F.sequence(start, stop)).alias("_tick"),
-    )
-    here = Window.partitionBy(*by, "_chunk").orderBy("_tick").rowsBetween(Window.unboundedPreceding, 0)
-    filled = grid.join(per_tick, [*by, "_chunk", "_tick"], "left").withColumn(
-        value, F.coalesce(F.last("_value", ignorenulls=True).over(here), F.col("_carried"))
-    )
-    return filled.select(from_seconds(F.col("_tick") * step).alias("tick"), *by, value)
+    ticks = spans.select(*by, value, F.explode(F.sequence("_tick", "_next")).alias("_tick"))
+    return ticks.select(from_seconds(F.col("_tick") * step).alias("tick"), *by, value)
 
 
 def alerts(ticks: DataFrame, rule: config.AlertRule, moment: Column | None = None) -> DataFrame:

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from addrwatch import config
 from addrwatch.functions.labels import label_name, risk_level
@@ -20,9 +20,14 @@ def window_counts(
     slide: int = config.EVALUATION_SECONDS,
     by: Sequence[str] = (),
     ts: str = "ts",
+    counts: Mapping[str, Column] | None = None,
 ) -> DataFrame:
-    """``(window, *by, n)``: events in windows ``[start, end)`` of ``window`` seconds, one
-    every ``slide`` seconds.
+    """``(window, *by, *counts)``: events in windows ``[start, end)`` of ``window``
+    seconds, one every ``slide`` seconds.
+
+    ``counts`` names conditions and defaults to ``n``, every event. A stream that
+    watches rare events passes them as a condition here rather than filtering
+    first, so that all its events move the watermark.
 
     Events are first counted in panes as wide as the slide, partly before any
     shuffle, and only those counts are added up to windows. Copying each event to
@@ -30,12 +35,22 @@ def window_counts(
     """
     if window % slide:
         raise ValueError("the window must be a whole number of slides")
+    counts = counts or {"n": F.lit(True)}
     panes = df.groupBy(F.window(ts, seconds(slide)).alias("pane"), *by).agg(
-        F.count(F.lit(1)).alias("n")
+        *[F.count_if(condition).alias(name) for name, condition in counts.items()]
     )
     return panes.groupBy(
         F.window(F.window_time("pane"), seconds(window), seconds(slide)).alias("window"), *by
-    ).agg(F.sum("n").alias("n"))
+    ).agg(*[F.sum(name).alias(name) for name in counts])
+
+
+def as_rates(counted: DataFrame, window: int, by: Sequence[str] = ()) -> DataFrame:
+    """``(window_start, window_end, *by, n, rate)`` of windows that saw an event."""
+    return counted.filter(F.col("n") > 0).select(
+        F.col("window.start").alias("window_start"),
+        F.col("window.end").alias("window_end"),
+        *by, "n", (F.col("n") / F.lit(float(window))).alias("rate"),
+    )
 
 
 def sliding_rate(
@@ -44,13 +59,11 @@ def sliding_rate(
     slide: int = config.EVALUATION_SECONDS,
     by: Sequence[str] = (),
     ts: str = "ts",
+    condition: Column | None = None,
 ) -> DataFrame:
-    """``(window_start, window_end, *by, n, rate)``: events per second in each window."""
-    return window_counts(df, window, slide, by, ts).select(
-        F.col("window.start").alias("window_start"),
-        F.col("window.end").alias("window_end"),
-        *by, "n", (F.col("n") / F.lit(float(window))).alias("rate"),
-    )
+    """Events per second in each window, of those that meet the condition."""
+    counts = None if condition is None else {"n": condition}
+    return as_rates(window_counts(df, window, slide, by, ts, counts), window, by)
 
 
 def prediction_rate(df: DataFrame, window: int, slide: int, ts: str = "ts") -> DataFrame:
@@ -64,29 +77,24 @@ def risk_rate(df: DataFrame, window: int, slide: int, score: str = "confidence",
 
 def prediction_split(df: DataFrame, window: int, slide: int, ts: str = "ts") -> DataFrame:
     """``(window_start, window_end, label, n, share)`` of the predictions in each window."""
-    panes = df.groupBy(F.window(ts, seconds(slide)).alias("_pane")).agg(
-        F.count_if(F.col("prediction") == 1).alias("_positive"), F.count(F.lit(1)).alias("_n")
-    )
-    both = panes.groupBy(
-        F.window(F.window_time("_pane"), seconds(window), seconds(slide)).alias("_window")
-    ).agg(F.sum("_positive").alias("_positive"), F.sum("_n").alias("_n"))
+    both = window_counts(df, window, slide, (), ts, {"_positive": F.col("prediction") == 1, "_n": F.lit(True)})
     parts = F.array(
         F.struct(F.lit(config.POSITIVE_LABEL).alias("label"), F.col("_positive").alias("n")),
         F.struct(F.lit(config.BENIGN_LABEL).alias("label"), (F.col("_n") - F.col("_positive")).alias("n")),
     )
-    return both.select("_window", "_n", F.inline(parts)).filter(F.col("n") > 0).select(
-        F.col("_window.start").alias("window_start"),
-        F.col("_window.end").alias("window_end"),
+    return both.select("window", "_n", F.inline(parts)).filter(F.col("n") > 0).select(
+        F.col("window.start").alias("window_start"),
+        F.col("window.end").alias("window_end"),
         "label", "n", (F.col("n") / F.col("_n")).alias("share"),
     )
 
 
-def http_errors(log: DataFrame) -> DataFrame:
-    """Requests answered with anything but a 2xx status."""
-    return log.filter(~F.col("status").rlike("^2..$"))
+def is_http_error() -> Column:
+    """The request was answered with anything but a 2xx status."""
+    return ~F.col("status").rlike("^2..$")
 
 
 def http_error_rate(
     log: DataFrame, window: int, slide: int, by: Sequence[str] = ("job", "instance"), ts: str = "ts"
 ) -> DataFrame:
-    return sliding_rate(http_errors(log), window, slide, by, ts)
+    return sliding_rate(log.filter(is_http_error()), window, slide, by, ts)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from addrwatch import config
 
@@ -33,6 +33,14 @@ def negative_flags(df: DataFrame, cols: Sequence[str] = config.RAW_FEATURES) ->
     )
 
 
+def breaks_rule(name: str, cols: Sequence[str] = config.RAW_FEATURES) -> Column:
+    """The field is negative in a request that has every field."""
+    complete = F.lit(True)
+    for c in cols:
+        complete = complete & F.col(c).isNotNull()
+    return complete & (F.col(name) < 0)
+
+
 def quality_issues(df: DataFrame) -> DataFrame:
     """One row per complete request and broken rule."""
     flagged = negative_flags(valid_requests(required_fields(df)))
@@ -41,9 +49,6 @@ def quality_issues(df: DataFrame) -> DataFrame:
 
 def quality_counts(df: DataFrame) -> DataFrame:
     """``(quality_rule, n)``, summed per rule before the few totals are turned long."""
-    flagged = valid_requests(required_fields(df))
     rules = [f"neg_{c}" for c in config.RAW_FEATURES]
-    wide = flagged.agg(*[
-        F.count_if(F.col(c) < 0).alias(r) for c, r in zip(config.RAW_FEATURES, rules)
-    ])
+    wide = df.agg(*[F.count_if(breaks_rule(c)).alias(r) for c, r in zip(config.RAW_FEATURES, rules)])
     return wide.unpivot([], rules, "quality_rule", "n").filter(F.col("n") > 0)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from addrwatch import config, schemas
 from addrwatch.operators import prep
@@ -16,17 +16,24 @@ def read_activity_csv(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.ACTIVITY).option("header", True).csv(path)
 
 
-def write_activity(df: DataFrame, path: str, max_records: int = config.MAX_RECORDS_PER_FILE) -> None:
+def write_activity(
+    df: DataFrame,
+    path: str,
+    max_records: int = config.MAX_RECORDS_PER_FILE,
+    tasks: int | None = None,
+) -> None:
     """Overwrite the dataset, one folder per date, at most ``max_records`` per file.
 
-    Each writing task opens a file per date it holds, so rows are first brought
-    together by date. The rebalance hint leaves the sizes to adaptive execution: a
-    date with very many rows is cut into several tasks, small dates share one.
+    Each writing task opens a file per date it holds, so rows go to ``tasks`` tasks
+    by date range (as many as shuffle partitions unless given). A hash of the
+    row orders the rows of a date, so a date with very many rows is cut into
+    several tasks and every task gets about the same number of rows.
     """
     if config.PARTITION_COL not in df.columns:
         df = prep.with_partition_date(df)
+    tasks = tasks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (
-        df.hint("rebalance", config.PARTITION_COL)
+        df.repartitionByRange(tasks, config.PARTITION_COL, F.xxhash64(*df.columns))
         .write.mode("overwrite")
         .option("maxRecordsPerFile", max_records)
         .partitionBy(config.PARTITION_COL)

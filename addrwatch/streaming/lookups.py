@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from addrwatch.functions.dates import micros
+from addrwatch.functions.dates import from_micros, micros
 
-_OUTPUT = "lookup_id bigint, request_id bigint, ts timestamp, hit boolean"
+_OUTPUT = "lookup_id bigint, request_id bigint, at bigint, hit boolean"
+# Stands for the prediction among the look-up ids, which are never negative.
+_PREDICTION = -1
 
 
 def _serve(key: tuple, parts: Iterable[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
@@ -18,26 +21,22 @@ def _serve(key: tuple, parts: Iterable[pd.DataFrame], state: GroupState) -> Iter
     made = state.get[0] if state.exists else None
     asked = []
     for part in parts:
-        given = part.loc[part["lookup_id"].isna(), "at"]
-        if len(given):
-            made = int(given.min())
-        asked.append(part.loc[part["lookup_id"].notna(), ["lookup_id", "ts", "at"]])
-    looked = pd.concat(asked).sort_values(["at", "lookup_id"])
-    hit = pd.Series(False, index=range(len(looked)))
-    if made is not None:
-        first = int(looked["at"].searchsorted(made))
-        if first < len(looked):
-            hit[first] = True
-            if state.exists:
-                state.remove()
-        else:
-            state.update((made,))
-    yield pd.DataFrame({
-        "lookup_id": looked["lookup_id"].astype("int64").to_numpy(),
-        "request_id": key[0],
-        "ts": looked["ts"].to_numpy(),
-        "hit": hit.to_numpy(),
-    })
+        ids, at = part["lookup_id"].to_numpy(), part["at"].to_numpy()
+        given = ids < 0
+        if given.any():
+            made = int(at[given].min())
+        asked.append(np.stack([at[~given], ids[~given]]))
+    at, ids = np.concatenate(asked, axis=1)
+    order = np.lexsort((ids, at))
+    at, ids = at[order], ids[order]
+    first = len(at) if made is None else int(np.searchsorted(at, made))
+    if first < len(at):
+        if state.exists:
+            state.remove()
+    elif made is not None:
+        state.update((made,))
+    if len(at):
+        yield pd.DataFrame({"lookup_id": ids, "request_id": key[0], "at": at, "hit": np.arange(len(at)) == first})
 
 
 def explain_stream(lookups: DataFrame, predictions: DataFrame) -> DataFrame:
@@ -48,13 +47,13 @@ def explain_stream(lookups: DataFrame, predictions: DataFrame) -> DataFrame:
     meet in one task, so the source's files or offsets per trigger bound that.
     """
     asked = lookups.select(
-        F.col("request_id").cast("bigint"), F.col("ts").cast("timestamp"), F.col("lookup_id").cast("bigint")
+        F.col("request_id").cast("bigint"), F.col("lookup_id").cast("bigint"), micros(F.col("ts")).alias("at")
     )
     given = predictions.select(
-        F.col("request_id").cast("bigint"), F.col("ts").cast("timestamp"),
-        F.lit(None).cast("bigint").alias("lookup_id"),
+        F.col("request_id").cast("bigint"), F.lit(_PREDICTION).cast("bigint").alias("lookup_id"),
+        micros(F.col("ts")).alias("at"),
     )
-    both = asked.unionByName(given).withColumn("at", micros(F.col("ts")))
-    return both.groupBy("request_id").applyInPandasWithState(
+    served = asked.unionByName(given).groupBy("request_id").applyInPandasWithState(
         _serve, _OUTPUT, "made bigint", "append", GroupStateTimeout.NoTimeout
     )
+    return served.select("lookup_id", "request_id", from_micros(F.col("at")).alias("ts"), "hit")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from addrwatch import config
 from addrwatch.functions.labels import label_name, risk_level
@@ -17,10 +17,16 @@ def watermarked(stream: DataFrame, delay: str, ts: str = "ts") -> DataFrame:
 
 
 def windowed_counts(
-    stream: DataFrame, window: int, slide: int, by: Sequence[str] = (), delay: str = "1 minute", ts: str = "ts"
+    stream: DataFrame,
+    window: int,
+    slide: int,
+    by: Sequence[str] = (),
+    delay: str = "1 minute",
+    ts: str = "ts",
+    condition: Column | None = None,
 ) -> DataFrame:
     """``sliding_rate`` of a stream; a window comes out once the watermark passes it."""
-    return rates.sliding_rate(watermarked(stream, delay, ts), window, slide, by, ts)
+    return rates.sliding_rate(watermarked(stream, delay, ts), window, slide, by, ts, condition)
 
 
 def prediction_stream_rate(stream: DataFrame, window: int, slide: int, delay: str = "1 minute") -> DataFrame:
@@ -33,25 +39,39 @@ def risk_stream_rate(stream: DataFrame, window: int, slide: int, delay: str = "1
     return windowed_counts(leveled, window, slide, ["confidence_level"], delay)
 
 
-def quality_stream_rate(stream: DataFrame, window: int, slide: int, delay: str = "1 minute") -> DataFrame:
-    return windowed_counts(checks.quality_issues(stream), window, slide, ["quality_rule"], delay)
+def quality_stream_rate(
+    stream: DataFrame, window: int, slide: int, delay: str = "1 minute", ts: str = "ts"
+) -> DataFrame:
+    """One count per rule and window, turned into a row per rule afterwards."""
+    broken = {f"neg_{c}": checks.breaks_rule(c) for c in config.RAW_FEATURES}
+    counted = rates.window_counts(watermarked(stream, delay, ts), window, slide, (), ts, broken)
+    rows = F.array(*[F.struct(F.lit(r).alias("quality_rule"), F.col(r).alias("n")) for r in broken])
+    return rates.as_rates(counted.select("window", F.inline(rows)), window, ["quality_rule"])
 
 
 def http_error_stream_rate(stream: DataFrame, window: int, slide: int, delay: str = "1 minute") -> DataFrame:
-    return windowed_counts(rates.http_errors(stream), window, slide, ["job", "instance"], delay)
+    return windowed_counts(stream, window, slide, ["job", "instance"], delay, condition=rates.is_http_error())
 
 
 def alert_stream(
-    stream: DataFrame, rule: config.AlertRule, delay: str = "1 minute", ts: str = "ts"
+    stream: DataFrame,
+    rule: config.AlertRule,
+    delay: str = "1 minute",
+    ts: str = "ts",
+    condition: Column | None = None,
 ) -> DataFrame:
-    """``(tick, *by, state, alert, severity)`` of a rate rule over a stream of events.
+    """``(tick, *by, state, alert, severity)`` of a rate rule over the events of a stream
+    that meet the condition.
 
     Three windowed counts in a row, all kept in Spark's own state: panes, windows,
     and the ticks each rate supports. A tick comes out once no late event can
     change it.
     """
-    counts = rates.window_counts(watermarked(stream, delay, ts), rule.window, rule.step, rule.by, ts)
-    ticks = counts.select(
+    counts = None if condition is None else {"n": condition}
+    counted = rates.window_counts(
+        watermarked(stream, delay, ts), rule.window, rule.step, rule.by, ts, counts
+    ).filter(F.col("n") > 0)
+    ticks = counted.select(
         "window", F.col("window.end").alias("tick"), *rule.by,
         (F.col("n") / F.lit(float(rule.window))).alias("value"),
     )
