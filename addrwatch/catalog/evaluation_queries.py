@@ -121,5 +121,5 @@ SELECT id AS address, CAST(rank AS INTEGER) AS rank, term, value FROM (
   FROM term_rows) WHERE rank <= 5""", term_rows=terms("scorable")))
 def l2(spark, sf):
     top = evaluate.top_terms_abs(_scored(spark, sf), TERM_NAMES)
-    return top.select("address", F.posexplode("top_terms").alias("rank", "top")).select(
+    return top.select("address", F.posexplode_outer("top_terms").alias("rank", "top")).select(
         "address", (F.col("rank") + 1).alias("rank"), "top.term", "top.value")

@@ -146,7 +146,7 @@ SELECT id AS address, term, value FROM term_rows""", term_rows=terms("scorable")
 def m2(spark, sf):
     scored = additive.term_scores(second_pass(spark, sf), FIXED)
     return scored.select(
-        "address", F.explode(additive.attribution_map(FIXED)).alias("term", "value"))
+        "address", F.explode_outer(additive.attribution_map(FIXED)).alias("term", "value"))
 
 
 _TOTAL = "SELECT id, 1 / (1 + exp(-(-0.21 + sum(value)))) AS p FROM term_rows GROUP BY id"

@@ -96,11 +96,24 @@ def best_threshold(
 
 
 def mean_attribution(df: DataFrame, terms: Sequence[str], outcomes: Sequence[str] = ("tp", "fn")) -> DataFrame:
-    """``(outcome, term, mean_value)`` per outcome; averaged wide, turned long afterwards."""
-    means = df.filter(F.col("outcome").isin(*outcomes)).groupBy("outcome").agg(
-        *[F.avg(F.col(f"`{t}`")).alias(t) for t in terms]
-    )
-    return means.unpivot(["outcome"], [F.col(f"`{t}`") for t in terms], "term", "mean_value")
+    """``(outcome, term, mean_value)`` per outcome that occurs.
+
+    One wide aggregation that is turned long afterwards. The outcomes are chosen
+    inside it: a filter before it would be pushed below the scoring and make every
+    row be scored twice.
+    """
+    wide = df.agg(*[
+        F.struct(
+            F.count_if(F.col("outcome") == o).alias("n"),
+            *[F.avg(F.when(F.col("outcome") == o, F.col(f"`{t}`"))).alias(t) for t in terms],
+        ).alias(o)
+        for o in outcomes
+    ])
+    rows = F.array(*[
+        F.struct(F.lit(o).alias("outcome"), F.col(o)["n"].alias("n"), F.lit(t).alias("term"), F.col(o)[t].alias("mean_value"))
+        for o in outcomes for t in terms
+    ])
+    return wide.select(F.inline(rows)).filter(F.col("n") > 0).select("outcome", "term", "mean_value")
 
 
 def rank_terms(df: DataFrame, group: Sequence[str], by: Sequence[Column]) -> DataFrame:

@@ -76,6 +76,8 @@ def explain_request(
         "lookup_id", "request_id", *[F.col("terms")[n].alias(n) for n in model.term_names]
     )
     top = evaluate.top_terms_abs(wide, model.term_names, k)
-    return top.select("lookup_id", "request_id", F.posexplode("top_terms").alias("rank", "top")).select(
+    # Never empty; the outer form only keeps Spark from testing that by scoring twice.
+    ranked = F.posexplode_outer("top_terms").alias("rank", "top")
+    return top.select("lookup_id", "request_id", ranked).select(
         "lookup_id", "request_id", (F.col("rank") + 1).alias("rank"), "top.term", "top.value"
     )

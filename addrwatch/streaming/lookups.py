@@ -11,49 +11,63 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from addrwatch.functions.dates import from_micros, micros
 
-_OUTPUT = "lookup_id bigint, request_id bigint, at bigint, hit boolean"
-# Stands for the prediction among the look-up ids, which are never negative.
-_PREDICTION = -1
+_OUTPUT = "lookup_id bigint, request_id string, at bigint, hit boolean"
+_STATE = "ids string, made binary"
 
 
 def _serve(key: tuple, parts: Iterable[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """One request id in one trigger: at most one look-up takes the prediction."""
-    made = state.get[0] if state.exists else None
-    asked = []
-    for part in parts:
-        ids, at = part["lookup_id"].to_numpy(), part["at"].to_numpy()
-        given = ids < 0
-        if given.any():
-            made = int(at[given].min())
-        asked.append(np.stack([at[~given], ids[~given]]))
-    at, ids = np.concatenate(asked, axis=1)
-    order = np.lexsort((ids, at))
-    at, ids = at[order], ids[order]
-    first = len(at) if made is None else int(np.searchsorted(at, made))
-    if first < len(at):
-        if state.exists:
-            state.remove()
-    elif made is not None:
-        state.update((made,))
-    if len(at):
-        yield pd.DataFrame({"lookup_id": ids, "request_id": key[0], "at": at, "hit": np.arange(len(at)) == first})
-
-
-def explain_stream(lookups: DataFrame, predictions: DataFrame) -> DataFrame:
+    """One group of request ids in one trigger; each open prediction serves one look-up."""
+    whole = pd.concat(list(parts), ignore_index=True)
+    given, asked = whole[whole["made"]], whole[~whole["made"]]
+    ids, made = given["request_id"].to_numpy(dtype=str), given["at"].to_numpy()
+    if state.exists:
+        old_ids, old_made = state.get
+        ids = np.concatenate([ids, np.array(old_ids.split("\n"))])
+        made = np.concatenate([made, np.frombuffer(old_made, dtype=np.int64)])
+    order = np.argsort(ids)
+    ids, made = ids[order], made[order]
+    used = np.zeros(len(ids), dtype=bool)
+    if len(asked):
+        asked = asked.sort_values(["request_id", "at", "lookup_id"])
+        wanted, at = asked["request_id"].to_numpy(dtype=str), asked["at"].to_numpy()
+        hit = np.zeros(len(asked), dtype=bool)
+        if len(ids):
+            place = np.minimum(np.searchsorted(ids, wanted), len(ids) - 1)
+            able = np.flatnonzero((ids[place] == wanted) & (made[place] <= at))
+            # Sorted by time within an id, so the first able look-up takes it.
+            _, first = np.unique(place[able], return_index=True)
+            hit[able[first]] = True
+            used[place[able[first]]] = True
+        yield pd.DataFrame({
+            "lookup_id": asked["lookup_id"].to_numpy(), "request_id": wanted, "at": at, "hit": hit,
+        })
+    if len(given) or used.any():
+        if used.all():
+            if state.exists:
+                state.remove()
+        else:
+            state.update(("\n".join(ids[~used]), made[~used].tobytes()))
+
+
+def explain_stream(lookups: DataFrame, predictions: DataFrame, groups: int = 4096) -> DataFrame:
     """``(lookup_id, request_id, ts, hit)`` of a stream of look-ups.
 
     A prediction stays in state until a look-up takes it. Look-ups are served
-    trigger by trigger, in time order within one; a trigger's look-ups of one id
-    meet in one task, so the source's files or offsets per trigger bound that.
+    trigger by trigger, in time order within one. Ids are kept in ``groups`` groups
+    by hash, so that a Python call serves many of them at once; more groups mean
+    smaller pieces of state. A group sees one trigger's rows, so the source's files
+    or offsets per trigger bound what it holds, also for an id asked very often.
     """
-    asked = lookups.select(
-        F.col("request_id").cast("bigint"), F.col("lookup_id").cast("bigint"), micros(F.col("ts")).alias("at")
+    kind = lookups.schema["request_id"].dataType
+    asked = lookups.select("request_id", "ts", F.col("lookup_id").cast("bigint"), F.lit(False).alias("made"))
+    given = predictions.select("request_id", "ts", F.lit(0).cast("bigint").alias("lookup_id"), F.lit(True).alias("made"))
+    both = asked.unionByName(given).select(
+        F.pmod(F.xxhash64("request_id"), F.lit(groups)).alias("group"),
+        F.col("request_id").cast("string"), "lookup_id", "made", micros(F.col("ts")).alias("at"),
     )
-    given = predictions.select(
-        F.col("request_id").cast("bigint"), F.lit(_PREDICTION).cast("bigint").alias("lookup_id"),
-        micros(F.col("ts")).alias("at"),
+    served = both.groupBy("group").applyInPandasWithState(
+        _serve, _OUTPUT, _STATE, "append", GroupStateTimeout.NoTimeout
     )
-    served = asked.unionByName(given).groupBy("request_id").applyInPandasWithState(
-        _serve, _OUTPUT, "made bigint", "append", GroupStateTimeout.NoTimeout
+    return served.select(
+        "lookup_id", F.col("request_id").cast(kind), from_micros(F.col("at")).alias("ts"), "hit"
     )
-    return served.select("lookup_id", "request_id", from_micros(F.col("at")).alias("ts"), "hit")
