@@ -18,6 +18,7 @@ def build_session(cpus: int | str = "*", app: str = "addrwatch", **conf: str) ->
         "spark.driver.memory": "12g",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
+        "spark.sql.sources.parallelPartitionDiscovery.parallelism": parts,
     } | conf
     builder = SparkSession.builder.master(f"local[{cpus}]").appName(app)
     for key, value in settings.items():
