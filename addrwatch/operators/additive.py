@@ -107,11 +107,14 @@ def fit_additive(
     pair_bins: int = 4,
     max_iter: int = config.MAX_ROUNDS,
     reg: float = 1e-4,
+    tol: float = 1e-4,
 ) -> AdditiveModel:
     """Fit the model on the distributed rows.
 
+    At most ``max_iter`` rounds, fewer once the loss stops improving by ``tol``.
     Only bin bounds and coefficients, a few hundred numbers, come to the driver.
-    Give a persisted or stored frame: the optimiser reads it once per iteration.
+    Give a stored frame: it is read once per column group and once by the
+    optimiser, which then keeps its own packed copy.
     """
     as_double = [F.coalesce(F.col(c).cast("double"), F.lit(float("nan"))).alias(c) for c in features]
     frame, cuts = _binned(df.select(target, *as_double), features, bins, "_bin_")
@@ -137,10 +140,14 @@ def fit_additive(
     encoder = OneHotEncoder(inputCols=ids, outputCols=[f"{c}_hot" for c in ids], dropLast=False).fit(ladder)
     assembler = VectorAssembler(inputCols=[f"{c}_hot" for c in ids], outputCol="_features")
     learner = LogisticRegression(
-        featuresCol="_features", labelCol=target, maxIter=max_iter, regParam=reg, standardization=False,
+        featuresCol="_features", labelCol=target, maxIter=max_iter, regParam=reg, tol=tol,
+        standardization=False,
     )
     # Adding zero sheds the bin names the discretizer attached to each column.
     plain = frame.select(target, *[(F.col(c) + F.lit(0.0)).alias(c) for c in ids])
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if plain.rdd.getNumPartitions() < cores:  # a small table in few files
+        plain = plain.repartition(cores)
     fitted = Pipeline(stages=[encoder, assembler, learner]).fit(plain).stages[-1]
     weights, at, terms = fitted.coefficients.toArray(), 0, []
     for names, bounds, _, size in slots:
