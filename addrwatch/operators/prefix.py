@@ -25,9 +25,10 @@ def _cuts(df: DataFrame, col: str, buckets: int) -> tuple[list[float], list[floa
 
 def _bucket(df: DataFrame, col: str, cuts: list[float], out: str) -> DataFrame:
     if not cuts:
-        return df.withColumn(out, F.lit(0.0))
+        return df.withColumn(out, F.lit(0))
     splits = [-math.inf, *cuts, math.inf]
-    return Bucketizer(splits=splits, inputCol=col, outputCol=out, handleInvalid="error").transform(df)
+    cut = Bucketizer(splits=splits, inputCol=col, outputCol=out, handleInvalid="error").transform(df)
+    return cut.withColumn(out, F.col(out).cast("int"))
 
 
 def running_totals(
@@ -54,7 +55,7 @@ def running_totals(
     cuts, hot = _cuts(df.select("_order"), "_order", buckets)
     df = _bucket(df, "_order", cuts, "_range")
     within = ["_order"]
-    df = df.withColumn("_part", F.lit(0.0))
+    df = df.withColumn("_part", F.lit(0))
     if tie is not None:
         df = df.withColumn("_tie", tie)
         within.append("_tie")
@@ -63,7 +64,7 @@ def running_totals(
             is_hot = F.col("_order").isin(hot)
             tie_cuts, _ = _cuts(number.filter(is_hot).select("_tie_number"), "_tie_number", buckets)
             df = _bucket(number.drop("_part"), "_tie_number", tie_cuts, "_tie_range")
-            df = df.withColumn("_part", F.when(is_hot, F.col("_tie_range")).otherwise(0.0))
+            df = df.withColumn("_part", F.when(is_hot, F.col("_tie_range")).otherwise(0))
             df = df.drop("_tie_number", "_tie_range")
     df = df.withColumns({f"_add_{name}": col for name, col in totals.items()})
 
