@@ -14,7 +14,7 @@ from addrwatch import config, views
 from addrwatch.catalog.registry import places, query
 from addrwatch.catalog.sql import gauge, held, sliding, with_
 from addrwatch.functions.labels import drift_severity, is_positive, risk_level
-from addrwatch.operators import alerts, drift, lookups, monitor, rates, requests as checks
+from addrwatch.operators import alerts, drift, lookups, monitor, rates
 from addrwatch.operators.stats import training_baseline
 from addrwatch.session import scratch_dir
 from addrwatch.sources import tables
@@ -168,8 +168,7 @@ def w1_risk(spark, sf):
 
 @query("w1_quality_rate", _rates_sql("issues", "issues", "quality_rule"))
 def w1_quality(spark, sf):
-    issues = checks.quality_issues(views.requests(spark, sf))
-    return _rounded_rate(rates.sliding_rate(issues, HOUR, QUARTER, ["quality_rule"]))
+    return _rounded_rate(rates.quality_rate(views.requests(spark, sf), HOUR, QUARTER))
 
 
 @query("a17_prediction_split", with_("labelled_pred", f"""
@@ -273,8 +272,7 @@ def x4(spark, sf):
 
 @query("x5_quality_issues", _alert_sql("issues", sliding("issues", "quality_rule"), "quality_rule", X5))
 def x5(spark, sf):
-    issues = checks.quality_issues(views.requests(spark, sf))
-    found = rates.sliding_rate(issues, HOUR, QUARTER, X5.by)
+    found = rates.quality_rate(views.requests(spark, sf), HOUR, QUARTER)
     return alerts.alerts(alerts.rate_ticks(found, X5.by), X5)
 
 

@@ -46,10 +46,8 @@ _MISSING = "concat_ws(',', " + ", ".join(
 SELECT request_id, {_MISSING} AS missing, {_MISSING} = '' AS valid FROM requests"""))
 def p8(spark, sf):
     checked = checks.required_fields(views.requests(spark, sf))
-    valid = checks.valid_requests(checked).withColumn("valid", F.lit(True))
-    rejected = checks.rejected_requests(checked).withColumn("valid", F.lit(False))
-    return valid.unionByName(rejected).select(
-        "request_id", F.concat_ws(",", "missing_fields").alias("missing"), "valid")
+    return checked.select(
+        "request_id", F.concat_ws(",", "missing_fields").alias("missing"), checks.is_complete().alias("valid"))
 
 
 @query("p9_negative_flags", with_("issues", "SELECT request_id, quality_rule FROM issues"))

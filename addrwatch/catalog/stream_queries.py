@@ -26,8 +26,7 @@ _CLOSED = "WHERE {end} <= (SELECT max(ts) - INTERVAL 1 HOUR FROM {source})"
 
 def event_stream(spark: SparkSession, sf: str) -> DataFrame:
     """The events table as a file stream."""
-    schema = views.table(spark, sf, "events").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    return spark.readStream.schema(views.SCHEMAS["events"]).option("pathGlobFilter", "events.parquet").parquet(sf)
 
 
 def drained(stream: DataFrame, spark: SparkSession, name: str) -> DataFrame:

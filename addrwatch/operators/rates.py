@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from addrwatch import config
 from addrwatch.functions.labels import label_name, risk_level
+from addrwatch.operators import requests as checks
 
 
 def seconds(n: int) -> str:
@@ -75,6 +76,17 @@ def risk_rate(df: DataFrame, window: int, slide: int, score: str = "confidence",
     return sliding_rate(leveled, window, slide, ["confidence_level"], ts)
 
 
+def quality_counts(df: DataFrame, window: int, slide: int, ts: str = "ts") -> DataFrame:
+    """``(window, quality_rule, n)``: one count per rule, turned into rows per window."""
+    counted = window_counts(df, window, slide, (), ts, checks.broken_rules())
+    rows = F.array(*[F.struct(F.lit(r).alias("quality_rule"), F.col(r).alias("n")) for r in checks.RULES])
+    return counted.select("window", F.inline(rows)).filter(F.col("n") > 0)
+
+
+def quality_rate(df: DataFrame, window: int, slide: int, ts: str = "ts") -> DataFrame:
+    return as_rates(quality_counts(df, window, slide, ts), window, ["quality_rule"])
+
+
 def prediction_split(df: DataFrame, window: int, slide: int, ts: str = "ts") -> DataFrame:
     """``(window_start, window_end, label, n, share)`` of the predictions in each window."""
     both = window_counts(df, window, slide, (), ts, {"_positive": F.col("prediction") == 1, "_n": F.lit(True)})

@@ -2,53 +2,60 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from addrwatch import config
 
+RULES = [f"neg_{c}" for c in config.RAW_FEATURES]
+
+
+def _names_where(conditions: Mapping[str, Column]) -> Column:
+    """The names whose condition holds, in order."""
+    found = F.array(*[F.when(condition, F.lit(name)) for name, condition in conditions.items()])
+    return F.array_except(found, F.array(F.lit(None).cast("string")))
+
+
+def is_complete(cols: Sequence[str] = config.RAW_FEATURES) -> Column:
+    """Every required field is there; plain null tests, which sources can apply."""
+    complete = F.col(cols[0]).isNotNull()
+    for c in cols[1:]:
+        complete = complete & F.col(c).isNotNull()
+    return complete
+
 
 def required_fields(df: DataFrame, cols: Sequence[str] = config.RAW_FEATURES) -> DataFrame:
     """Add ``missing_fields``: names of the required fields that are absent or null."""
-    return df.withColumn(
-        "missing_fields",
-        F.array_compact(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in cols])),
-    )
+    return df.withColumn("missing_fields", _names_where({c: F.col(c).isNull() for c in cols}))
 
 
-def valid_requests(checked: DataFrame) -> DataFrame:
-    return checked.filter(F.size("missing_fields") == 0)
+def valid_requests(df: DataFrame) -> DataFrame:
+    return df.filter(is_complete())
 
 
-def rejected_requests(checked: DataFrame) -> DataFrame:
-    return checked.filter(F.size("missing_fields") > 0)
+def rejected_requests(df: DataFrame) -> DataFrame:
+    """Incomplete requests with their ``missing_fields``."""
+    return required_fields(df.filter(~is_complete()))
 
 
-def negative_flags(df: DataFrame, cols: Sequence[str] = config.RAW_FEATURES) -> DataFrame:
+def negative_flags(df: DataFrame) -> DataFrame:
     """Add ``quality_rules``: ``neg_<field>`` for each field below zero."""
-    return df.withColumn(
-        "quality_rules",
-        F.array_compact(F.array(*[F.when(F.col(c) < 0, F.lit(f"neg_{c}")) for c in cols])),
-    )
+    below = {rule: F.col(c) < 0 for rule, c in zip(RULES, config.RAW_FEATURES)}
+    return df.withColumn("quality_rules", _names_where(below))
 
 
-def breaks_rule(name: str, cols: Sequence[str] = config.RAW_FEATURES) -> Column:
-    """The field is negative in a request that has every field."""
-    complete = F.lit(True)
-    for c in cols:
-        complete = complete & F.col(c).isNotNull()
-    return complete & (F.col(name) < 0)
+def broken_rules() -> dict[str, Column]:
+    """Per rule: a complete request has a negative value there."""
+    return {rule: is_complete() & (F.col(c) < 0) for rule, c in zip(RULES, config.RAW_FEATURES)}
 
 
 def quality_issues(df: DataFrame) -> DataFrame:
     """One row per complete request and broken rule."""
-    flagged = negative_flags(valid_requests(required_fields(df)))
-    return flagged.withColumn("quality_rule", F.explode("quality_rules"))
+    return negative_flags(valid_requests(df)).withColumn("quality_rule", F.explode("quality_rules"))
 
 
 def quality_counts(df: DataFrame) -> DataFrame:
     """``(quality_rule, n)``, summed per rule before the few totals are turned long."""
-    rules = [f"neg_{c}" for c in config.RAW_FEATURES]
-    wide = df.agg(*[F.count_if(breaks_rule(c)).alias(r) for c, r in zip(config.RAW_FEATURES, rules)])
-    return wide.unpivot([], rules, "quality_rule", "n").filter(F.col("n") > 0)
+    wide = df.agg(*[F.count_if(broken).alias(rule) for rule, broken in broken_rules().items()])
+    return wide.unpivot([], RULES, "quality_rule", "n").filter(F.col("n") > 0)

@@ -17,8 +17,8 @@ def score(requests: DataFrame, stats: Stats, model: additive.AdditiveModel) -> D
 
     Negative values are noted in ``quality_rules`` and scored all the same.
     """
-    valid = checks.valid_requests(checks.required_fields(requests)).drop("missing_fields")
-    scored = additive.predict(features.transform(checks.negative_flags(valid), stats), model)
+    flagged = checks.negative_flags(checks.valid_requests(requests))
+    scored = additive.predict(features.transform(flagged, stats), model)
     return scored.select(
         "request_id", "ts", "prediction",
         labels.label_name(F.col("prediction")).alias("label"),

@@ -19,6 +19,21 @@ ACTIVITY = _struct(
     looped=_LONG, neighbors=_LONG, income=_DOUBLE, label=_STRING,
 )
 
+# The given tables behind the views.
+_WALL = T.TimestampNTZType()
+ORDERS = _struct(
+    o_orderkey=_LONG, o_custkey=_LONG, o_orderstatus=_STRING, o_totalprice=_DOUBLE,
+    o_orderdate=_WALL, o_orderpriority=_STRING,
+)
+LINEITEM = _struct(
+    l_orderkey=_LONG, l_partkey=_LONG, l_suppkey=_LONG, l_linenumber=_INT, l_quantity=_DOUBLE,
+    l_extendedprice=_DOUBLE, l_discount=_DOUBLE, l_tax=_DOUBLE, l_returnflag=_STRING,
+    l_linestatus=_STRING, l_shipdate=_WALL,
+)
+EVENTS = _struct(
+    event_id=_LONG, ts=_WALL, user_id=_LONG, event_type=_STRING, value=_DOUBLE, props=_STRING,
+)
+
 # One scoring request.
 REQUEST = _struct(
     request_id=_STRING, ts=_TIME, length=_DOUBLE, weight=_DOUBLE, count=_DOUBLE,

@@ -15,6 +15,7 @@ def build_session(cpus: int | str = "*", app: str = "addrwatch", **conf: str) ->
         "spark.sql.shuffle.partitions": parts,
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         "spark.driver.memory": "12g",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from addrwatch import config
 from addrwatch.functions.labels import label_name, risk_level
-from addrwatch.operators import alerts, rates, requests as checks
+from addrwatch.operators import alerts, rates
 
 
 def watermarked(stream: DataFrame, delay: str, ts: str = "ts") -> DataFrame:
@@ -42,11 +42,7 @@ def risk_stream_rate(stream: DataFrame, window: int, slide: int, delay: str = "1
 def quality_stream_rate(
     stream: DataFrame, window: int, slide: int, delay: str = "1 minute", ts: str = "ts"
 ) -> DataFrame:
-    """One count per rule and window, turned into a row per rule afterwards."""
-    broken = {f"neg_{c}": checks.breaks_rule(c) for c in config.RAW_FEATURES}
-    counted = rates.window_counts(watermarked(stream, delay, ts), window, slide, (), ts, broken)
-    rows = F.array(*[F.struct(F.lit(r).alias("quality_rule"), F.col(r).alias("n")) for r in broken])
-    return rates.as_rates(counted.select("window", F.inline(rows)), window, ["quality_rule"])
+    return rates.quality_rate(watermarked(stream, delay, ts), window, slide, ts)
 
 
 def http_error_stream_rate(stream: DataFrame, window: int, slide: int, delay: str = "1 minute") -> DataFrame:

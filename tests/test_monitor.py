@@ -75,10 +75,9 @@ def requests(spark, *rows):
 def test_request_checks(spark):
     df = requests(spark, ("only", 1.0, None, None, None, None, None), ("neg", -1.0, -1.0, -1.0, -1.0, -1.0, -1.0),
                   ("one", 1.0, 4.0, 2.0, 0.0, 2.0, -100.0), ("ok", 1.0, 4.0, 2.0, 0.0, 2.0, 100.0))
-    checked = checks.required_fields(df)
-    rejected = checks.rejected_requests(checked).collect()
+    rejected = checks.rejected_requests(df).collect()
     assert [(r["request_id"], r["missing_fields"]) for r in rejected] == [("only", config.RAW_FEATURES[1:])]
-    assert checks.valid_requests(checked).count() == 3
+    assert checks.valid_requests(df).count() == 3
     counts = {r["quality_rule"]: r["n"] for r in checks.quality_counts(df).collect()}
     assert counts == {f"neg_{c}": 2 if c == "income" else 1 for c in config.RAW_FEATURES}
     assert checks.quality_issues(df).count() == 7
