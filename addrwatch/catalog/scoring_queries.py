@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import functions as F
 
 from addrwatch import config, views
@@ -17,6 +19,8 @@ from addrwatch.session import scratch_dir
 from addrwatch.sources import activity, tables
 
 RAW = ", ".join(config.RAW_FEATURES)
+# The given orders are older than the default start date.
+FIRST_DAY = date(1990, 1, 1)
 
 
 def fitted_stats(spark, sf):
@@ -274,7 +278,7 @@ def s12(spark, sf):
 @query("c6_compare_stages")
 def c6(spark, sf):
     out = scratch_dir(spark, "training")
-    return training.compare_stages(spark, _stored_activity(spark, sf), out)
+    return training.compare_stages(spark, _stored_activity(spark, sf), out, FIRST_DAY)
 
 
 _SERVED = """

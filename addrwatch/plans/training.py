@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -72,9 +72,11 @@ def train_and_evaluate(
     return metrics
 
 
-def compare_stages(spark: SparkSession, source: str, out: str, bins: int = 16) -> DataFrame:
+def compare_stages(
+    spark: SparkSession, source: str, out: str, start: date = config.START_DATE, bins: int = 16
+) -> DataFrame:
     """Train on each of the three stages; one row of metrics per stage."""
-    paths = build_stages(spark, source, f"{out}/stages")
+    paths = build_stages(spark, source, f"{out}/stages", start)
     for suffix in config.STAGE_SUFFIXES:
         train_and_evaluate(spark, paths[suffix], suffix, out, bins=bins)
     return stage_metrics(tables.read_runs(spark, f"{out}/runs"))
