@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -21,64 +23,102 @@ def model_features(df: DataFrame, target: str = config.TARGET) -> list[str]:
     return [c for c in prep.feature_columns(df, target).columns if c not in aside]
 
 
-def train_and_evaluate(
+@dataclass(frozen=True)
+class Trained:
+    """A fitted and evaluated stage, not yet saved."""
+
+    suffix: str
+    data_path: str
+    split_path: str
+    started: datetime
+    model: additive.AdditiveModel
+    feature_info: dict[str, dict[str, float]]
+    metrics: dict[str, float | None]
+
+
+def train(
     spark: SparkSession,
     data_path: str,
     suffix: str,
-    out: str,
-    run_id: str | None = None,
     bins: int = 16,
     pairs: Sequence[tuple[str, str]] = (),
-) -> dict[str, float]:
-    """Split, fit, choose the threshold on the training rows, evaluate on the others,
-    and save baseline, model and run below ``out``.
+) -> Trained:
+    """Split, fit, choose the threshold on the training rows, evaluate on the others.
 
     What reaches the driver is the model, the threshold, at most ten mean
     attributions and five counts. The split and the training scores are written
     down once, since fitting and the ROC curve read them again and again.
     """
-    run_id, started = run_id or uuid.uuid4().hex, datetime.now()
+    started = datetime.now()
     data = tables.read_stage(spark, data_path)
     features = model_features(data)
-    work = scratch_dir(spark, f"split-{suffix}")
+    split_path = scratch_dir(spark, f"split-{suffix}")
     split = prep.split_data(data, counts=class_counts(data.select(config.TARGET)))
-    split.select(config.TARGET, "split", *features).write.partitionBy("split").parquet(work)
-    train = spark.read.parquet(work).filter(F.col("split") == "train").drop("split")
-    test = spark.read.parquet(work).filter(F.col("split") == "test").drop("split")
-    tables.save_baseline(train, f"{out}/training_baseline", run_id)
+    split.select(config.TARGET, "split", *features).write.partitionBy("split").parquet(split_path)
+    train_rows, test_rows = (_part(spark, split_path, name) for name in ("train", "test"))
 
-    model = additive.fit_additive(train, features, bins=bins, pairs=pairs)
+    model = additive.fit_additive(train_rows, features, bins=bins, pairs=pairs)
     scores = scratch_dir(spark, f"scores-{suffix}")
     names = model.term_names
-    additive.explain(train, model).select(
+    additive.explain(train_rows, model).select(
         config.TARGET, "probability", *[F.col("terms")[n].alias(n) for n in names]
     ).write.parquet(scores)
     scored = spark.read.parquet(scores)
     threshold = evaluate.best_threshold(scored).first()["threshold"]
-    model = model.with_threshold(threshold)
     classed = evaluate.with_outcome(evaluate.with_prediction(scored, threshold))
     info: dict[str, dict[str, float]] = {config.TP_WEAKEST: {}, config.FN_STRONGEST: {}}
     for r in evaluate.weakest_terms(classed, names).collect():
         info[config.TP_WEAKEST if r["outcome"] == "tp" else config.FN_STRONGEST][r["term"]] = r["mean_value"]
-    metrics = evaluate.evaluate(additive.explain(test, model), threshold).first().asDict()
+    metrics = evaluate.evaluate(additive.explain(test_rows, model), threshold).first().asDict()
+    return Trained(suffix, data_path, split_path, started, model.with_threshold(threshold), info, metrics)
 
-    tables.save_model(spark, model, f"{out}/models/{run_id}")
+
+def _part(spark: SparkSession, split_path: str, name: str) -> DataFrame:
+    return spark.read.parquet(split_path).filter(F.col("split") == name).drop("split")
+
+
+def record(spark: SparkSession, done: Trained, out: str, run_id: str | None = None) -> str:
+    """Save baseline, model and run below ``out``; the baseline replaces the last one."""
+    run_id = run_id or uuid.uuid4().hex
+    tables.save_baseline(_part(spark, done.split_path, "train"), f"{out}/training_baseline", run_id)
+    tables.save_model(spark, done.model, f"{out}/models/{run_id}")
     tables.log_run(
-        spark, f"{out}/runs", run_id, f"addrwatch_{suffix}",
-        {"data_path": data_path, "n_jobs": spark.sparkContext.defaultParallelism,
-         "max_rounds": config.MAX_ROUNDS, "optimized_threshold": threshold},
-        {k: v for k, v in metrics.items() if v is not None}, info, start_ts=started,
+        spark, f"{out}/runs", run_id, f"addrwatch_{done.suffix}",
+        {"data_path": done.data_path, "n_jobs": spark.sparkContext.defaultParallelism,
+         "max_rounds": config.MAX_ROUNDS, "optimized_threshold": done.model.threshold},
+        {k: v for k, v in done.metrics.items() if v is not None}, done.feature_info, start_ts=done.started,
     )
-    return metrics
+    return run_id
+
+
+def train_and_evaluate(
+    spark: SparkSession,
+    data_path: str,
+    suffix: str,
+    out: str,
+    run_id: str | None = None,
+    bins: int = 16,
+    pairs: Sequence[tuple[str, str]] = (),
+) -> dict[str, float | None]:
+    """Train on one stage, save what came of it, and return the test metrics."""
+    done = train(spark, data_path, suffix, bins, pairs)
+    record(spark, done, out, run_id)
+    return done.metrics
 
 
 def compare_stages(
     spark: SparkSession, source: str, out: str, start: date = config.START_DATE, bins: int = 16
 ) -> DataFrame:
-    """Train on each of the three stages; one row of metrics per stage."""
+    """Train on each of the three stages; one row of metrics per stage.
+
+    The stages do not depend on each other, so their jobs are submitted side by
+    side; the results are saved one after the other, into shared tables.
+    """
     paths = build_stages(spark, source, f"{out}/stages", start)
-    for suffix in config.STAGE_SUFFIXES:
-        train_and_evaluate(spark, paths[suffix], suffix, out, bins=bins)
+    with ThreadPoolExecutor(len(config.STAGE_SUFFIXES)) as pool:
+        waiting = [pool.submit(train, spark, paths[s], s, bins) for s in config.STAGE_SUFFIXES]
+        for job in waiting:
+            record(spark, job.result(), out)
     return stage_metrics(tables.read_runs(spark, f"{out}/runs"))
 
 
