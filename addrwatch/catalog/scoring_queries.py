@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 from addrwatch import config, views
 from addrwatch.catalog.fixed_model import FIXED
-from addrwatch.catalog.registry import places, query
-from addrwatch.catalog.sql import TERM_NAMES, terms, with_
+from addrwatch.catalog.registry import query
+from addrwatch.catalog.sql import terms, with_
 from addrwatch.functions import dates, labels, numeric
 from addrwatch.operators import additive, features, lookups, requests as checks, runs
 from addrwatch.operators.prep import split_data

@@ -30,13 +30,24 @@ def event_stream(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def drained(stream: DataFrame, spark: SparkSession, name: str) -> DataFrame:
-    """Run the stream over all input into a table and read that."""
+    """Run the stream over all input into a table and read that.
+
+    Every state partition costs a task and files per trigger, whether it holds
+    anything or not, so a stream gets no more of them than twice the cores. It
+    takes the setting along when it starts.
+    """
     out = scratch_dir(spark, name)
-    running = (
-        stream.writeStream.format("parquet").outputMode("append")
-        .option("path", f"{out}/rows").option("checkpointLocation", f"{out}/checkpoint")
-        .trigger(availableNow=True).start()
-    )
+    setting = "spark.sql.shuffle.partitions"
+    usual = spark.conf.get(setting)
+    spark.conf.set(setting, min(int(usual), 2 * spark.sparkContext.defaultParallelism))
+    try:
+        running = (
+            stream.writeStream.format("parquet").outputMode("append")
+            .option("path", f"{out}/rows").option("checkpointLocation", f"{out}/checkpoint")
+            .trigger(availableNow=True).start()
+        )
+    finally:
+        spark.conf.set(setting, usual)
     running.awaitTermination()
     return spark.read.schema(stream.schema).parquet(f"{out}/rows")
 

@@ -145,9 +145,6 @@ def fit_additive(
     )
     # Adding zero sheds the bin names the discretizer attached to each column.
     plain = frame.select(target, *[(F.col(c) + F.lit(0.0)).alias(c) for c in ids])
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if plain.rdd.getNumPartitions() < cores:  # a small table in few files
-        plain = plain.repartition(cores)
     fitted = Pipeline(stages=[encoder, assembler, learner]).fit(plain).stages[-1]
     weights, at, terms = fitted.coefficients.toArray(), 0, []
     for names, bounds, _, size in slots:

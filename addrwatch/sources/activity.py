@@ -27,7 +27,8 @@ def write_activity(
     Each writing task opens a file per date it holds, so rows go to ``tasks`` tasks
     by date range (as many as shuffle partitions unless given). A hash of the
     row orders the rows of a date, so a date with very many rows is cut into
-    several tasks and every task gets about the same number of rows.
+    several tasks and every task gets about the same number of rows. Spark finds
+    the ranges in a sampling pass over the input.
     """
     if config.PARTITION_COL not in df.columns:
         df = prep.with_partition_date(df)
