@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from addrwatch.llm import decontamination, packing, token_files
+from addrwatch.llm import decontamination, labelled, packing, quality, secrets, token_files, toxicity
 from addrwatch.session import scratch_dir
 
 QUERIES: dict = {}
@@ -71,3 +71,36 @@ def benchmark_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return found.select(
         "doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
         F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated")
+
+
+@query("op8_toxicity")
+def toxicity_scores(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    lexicon = toxicity.fit(docs, table(spark, sf, "labels"), labelled.remainder("doc_id", 4) != 2)
+    return _judged(toxicity.scored(docs, lexicon), labelled.remainder("doc_id", 4) == 2)
+
+
+@query("op9_quality")
+def quality_scores(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    model = quality.fit(docs, table(spark, sf, "labels"), labelled.remainder("doc_id", 5) != 0)
+    return _judged(quality.scored(docs, model), labelled.remainder("doc_id", 5) == 0)
+
+
+def _judged(scores: DataFrame, held_out: Column) -> DataFrame:
+    return scores.select(
+        "doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@query("op7_secrets")
+def secret_spans(spark: SparkSession, sf: str) -> DataFrame:
+    found = secrets.scan(table(spark, sf, "documents").select("doc_id", "text"))
+    base = F.filter("spans", lambda s: s["kind"].isin(*secrets.BASE))
+
+    def listed(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    return found.select(
+        "doc_id", *(F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in secrets.BASE),
+        F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
