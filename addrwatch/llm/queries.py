@@ -98,9 +98,12 @@ def secret_spans(spark: SparkSession, sf: str) -> DataFrame:
     found = secrets.scan(table(spark, sf, "documents").select("doc_id", "text"))
     base = F.filter("spans", lambda s: s["kind"].isin(*secrets.BASE))
 
+    def count(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
     def listed(spans: Column) -> Column:
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
     return found.select(
-        "doc_id", *(F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in secrets.BASE),
+        "doc_id", *map(count, secrets.BASE),
         F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
