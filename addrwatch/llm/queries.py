@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from addrwatch.llm import decontamination, labelled, packing, quality, secrets, token_files, toxicity
+from addrwatch.llm import decontamination, labelled, packing, quality, repeats, secrets, token_files, toxicity
 from addrwatch.session import scratch_dir
 
 QUERIES: dict = {}
@@ -107,3 +107,11 @@ def secret_spans(spark: SparkSession, sf: str) -> DataFrame:
     return found.select(
         "doc_id", *map(count, secrets.BASE),
         F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
+
+
+@query("op6_repeated_substrings")
+def repeated_substrings(spark: SparkSession, sf: str) -> DataFrame:
+    found = repeats.repeats(table(spark, sf, "documents"))
+    return found.select(
+        "doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))

@@ -79,3 +79,9 @@ def without(df: DataFrame, *names: str) -> list[str]:
 def ids_of(df: DataFrame, id_col: str, text_col: str, *more: str) -> DataFrame:
     """Identifier and text only, under fixed names."""
     return df.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), *more)
+
+
+def column_of(table: pa.Table, name: str) -> pa.Array:
+    """A column of a table as one array."""
+    found = table.column(name).combine_chunks()
+    return pa.concat_arrays(found.chunks) if isinstance(found, pa.ChunkedArray) else found
