@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from addrwatch.llm import decontamination, labelled, packing, quality, repeats, secrets, token_files, toxicity
+from addrwatch.llm import decontamination, labelled, near, packing, quality, repeats, secrets, token_files, toxicity
 from addrwatch.session import scratch_dir
 
 QUERIES: dict = {}
@@ -115,3 +115,8 @@ def repeated_substrings(spark: SparkSession, sf: str) -> DataFrame:
     return found.select(
         "doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
         F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op10_near_duplicates")
+def near_duplicate_classes(spark: SparkSession, sf: str) -> DataFrame:
+    return near.near_duplicates(table(spark, sf, "documents")).select("doc_id", "class_id", "n_links")
