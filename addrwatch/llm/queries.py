@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from addrwatch.llm import decontamination, labelled, near, packing, quality, repeats, secrets, token_files, toxicity
+from addrwatch.llm import decontamination, labelled, lines, near, packing, quality, repeats, secrets, token_files, toxicity
 from addrwatch.session import scratch_dir
 
 QUERIES: dict = {}
@@ -120,3 +120,9 @@ def repeated_substrings(spark: SparkSession, sf: str) -> DataFrame:
 @query("op10_near_duplicates")
 def near_duplicate_classes(spark: SparkSession, sf: str) -> DataFrame:
     return near.near_duplicates(table(spark, sf, "documents")).select("doc_id", "class_id", "n_links")
+
+
+@query("op5_line_dedup")
+def line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    found = lines.dedup_lines(table(spark, sf, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_lines", "n_removed", "n_links", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))

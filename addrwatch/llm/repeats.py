@@ -14,7 +14,6 @@ task; its strings are then told apart one by one, by hashes counted over all of
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from addrwatch.llm import bwt, tables, words
-from addrwatch.session import scratch_dir, ship_package
+from addrwatch.session import ship_package
 
 LENGTH = 200
 GRAM = 32
@@ -30,8 +29,6 @@ GRAM = 32
 HOT_CONTEXTS = 2000
 #: Bytes of the contexts of a group, about.
 GROUP_BYTES = 1 << 20
-#: Documents that are joined with their spans at a time: two to this power.
-PART_BITS = 10
 #: Starts that are hashed in one go.
 RUN = 1 << 22
 
@@ -95,18 +92,6 @@ def _run(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> Itera
     yield (doc[heads], heads - offsets[doc[heads]], counts, grams[anchor[heads]], rolling.of(heads, heads + counts + length - 1))
 
 
-def _numbered(docs: DataFrame, name: str) -> tuple[DataFrame, int]:
-    """The documents with (part, row), stored in so many buckets by part that later joins don't move the texts."""
-    buckets = max(1, docs.rdd.getNumPartitions())
-    path = scratch_dir(docs.sparkSession, name)
-    row = F.monotonically_increasing_id()
-    own = docs.withColumn("row", row).withColumn("part", F.shiftright("row", PART_BITS))
-    table = f"{name}_{uuid.uuid4().hex}"
-    own.write.option("path", path).option("compression", "zstd").bucketBy(
-        buckets, "part").saveAsTable(table, format="parquet")
-    return docs.sparkSession.table(table), buckets
-
-
 def _gather(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     ends = np.concatenate(([0], np.cumsum(sizes)))
     return data[np.arange(ends[-1]) + np.repeat(starts - ends[:-1], sizes)], ends
@@ -125,7 +110,7 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot_context
         raise ValueError("a k-gram must fit into a string")
     spark = docs.sparkSession
     ship_package(spark)
-    texts, buckets = _numbered(tables.ids_of(docs, id_col, text_col), "texts")
+    texts, buckets = tables.numbered(tables.ids_of(docs, id_col, text_col), "texts")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

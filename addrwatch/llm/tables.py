@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,6 +14,8 @@ from addrwatch.session import scratch_dir, ship_package
 
 #: Bytes of text that one numpy pass works on, so that a task's memory doesn't follow the batch.
 SLICE_BYTES = 4 << 20
+#: Documents that are joined with what was found in them at a time: two to this power.
+PART_BITS = 10
 
 
 def stored(df: DataFrame, purpose: str) -> DataFrame:
@@ -27,6 +30,21 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def numbered(docs: DataFrame, purpose: str) -> tuple[DataFrame, int]:
+    """The documents with (part, row), stored in buckets by part, and how many buckets.
+
+    A part is at most two to the power PART_BITS consecutive rows. What is dealt to as many
+    partitions by part is joined with the documents without moving their texts.
+    """
+    buckets = max(1, docs.rdd.getNumPartitions())
+    row = F.monotonically_increasing_id()
+    own = docs.select(*without(docs, "row", "part")).withColumn("row", row).withColumn("part", F.shiftright("row", PART_BITS))
+    name = f"{purpose}_{uuid.uuid4().hex}"
+    own.write.option("path", scratch_dir(docs.sparkSession, purpose)).option("compression", "zstd").bucketBy(
+        buckets, "part").saveAsTable(name, format="parquet")
+    return docs.sparkSession.table(name), buckets
+
+
 def mapped(df: DataFrame, fn, schema) -> DataFrame:
     """mapInArrow with this package at hand in the workers."""
     ship_package(df.sparkSession)
