@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from addrwatch.llm import decontamination, labelled, lines, near, packing, quality, repeats, secrets, token_files, toxicity
+from addrwatch.llm import decontamination, hamming, labelled, lines, near, packing, quality, repeats, secrets, token_files, toxicity
 from addrwatch.session import scratch_dir
 
 QUERIES: dict = {}
@@ -126,3 +126,19 @@ def near_duplicate_classes(spark: SparkSession, sf: str) -> DataFrame:
 def line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     found = lines.dedup_lines(table(spark, sf, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_lines", "n_removed", "n_links", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+_NEAREST = """
+WITH c AS (SELECT vec_id, CAST(array_to_string(list_transform(embedding, x -> CASE WHEN x > 0 THEN '1' ELSE '0' END), '') AS BIT) AS code
+  FROM embeddings WHERE len(embedding) = 64),
+d AS (SELECT q.vec_id AS query_id, r.vec_id AS neighbor_id, CAST(bit_count(xor(q.code, r.code)) AS BIGINT) AS distance
+  FROM c q JOIN c r ON q.vec_id % 20 = 0 AND q.vec_id <> r.vec_id)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, neighbor_id, distance FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, neighbor_id) AS rank FROM d) WHERE rank <= 10
+"""
+
+
+@query("op3_hamming_top_k", _NEAREST)
+def hamming_top_k(spark: SparkSession, sf: str) -> DataFrame:
+    codes = hamming.sign_codes(table(spark, sf, "embeddings"), bits=64)
+    return hamming.nearest(codes, F.col("id") % 20 == 0, k=10, bits=64)
