@@ -129,7 +129,7 @@ def line_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 _NEAREST = """
-WITH c AS (SELECT vec_id, CAST(array_to_string(list_transform(embedding, x -> CASE WHEN x > 0 THEN '1' ELSE '0' END), '') AS BIT) AS code
+WITH c AS (SELECT vec_id, CAST(array_to_string([CASE WHEN x > 0 THEN '1' ELSE '0' END FOR x IN embedding], '') AS BIT) AS code
   FROM embeddings WHERE len(embedding) = 64),
 d AS (SELECT q.vec_id AS query_id, r.vec_id AS neighbor_id, CAST(bit_count(xor(q.code, r.code)) AS BIGINT) AS distance
   FROM c q JOIN c r ON q.vec_id % 20 = 0 AND q.vec_id <> r.vec_id)
