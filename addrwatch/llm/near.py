@@ -8,9 +8,11 @@ weighted Jaccard similarity. Texts that agree in all samples of a band meet, and
 similarity of at least THRESHOLD are linked; classes are the connected components.
 
 Texts with the same words are one node from the start. Within a band's bucket every node is
-verified against the least one. If that leaves more than one class in a bucket, the rest is
-verified too: pair by pair in a bucket of at most PAIRED nodes; larger ones, as a common
-passage makes them, are dealt anew by more samples a band, which such nodes rarely share.
+verified against the least one. A bucket that holds one class then needs no more. A larger one that
+doesn't, as a common passage makes it, is dealt anew by more samples a band, which its
+nodes rarely share. What is left is settled in rounds: in each bucket some nodes outside
+its largest class are verified against all nodes of other classes, and then leave it, until
+no bucket holds two classes.
 """
 
 from __future__ import annotations
@@ -178,15 +180,21 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, id_col: str =
         worded.groupBy("fp1", "fp2").agg(F.min(F.struct("row", "text_key", "text_bytes", "bands")).alias("s")).select(
             "fp1", "fp2", F.col("s.row").alias("node"), "s.text_key", "s.text_bytes", "s.bands"), "nodes")
     buckets = nodes.select("node", F.posexplode("bands").alias("band", "key"))
-    held = _shared(buckets)
+    held = buckets.groupBy("band", "key").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("nodes")).where("nodes > 1")
     met = tables.stored(buckets.join(held, ["band", "key"]), "buckets")
     texts = _texts(keyed, nodes, met)
     pairs = met.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
     links = tables.stored(_verified(pairs, texts, idf, threshold), "near-links")
-    rest = _unsettled(met, components.connected(links), texts, idf)
-    more = _verified(rest.join(pairs, ["a", "b"], "left_anti"), texts, idf, threshold)
-    links = tables.stored(links.unionByName(more), "near-links")
     classes = components.connected(links)
+    open_ = _dealt_anew(_mixed(met.select("band", "key", "node"), classes), texts, idf)
+    while not (open_ := _mixed(open_, classes)).isEmpty():
+        pivots = _pivots(open_)
+        across = (pivots.withColumnsRenamed({"node": "a", "component": "one"}).join(open_, ["band", "key"])
+                  .where("one <> component").select("a", F.col("node").alias("b")).distinct())
+        more = _verified(across, texts, idf, threshold)
+        links = tables.stored(links.unionByName(more).distinct(), "near-links")
+        open_ = tables.stored(open_.join(pivots, ["band", "key", "node"], "left_anti").select("band", "key", "node"), "open-buckets")
+        classes = components.connected(links)
     degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
     known = nodes.select("fp1", "fp2", "node").join(classes, "node", "left").join(degree, "node", "left")
     found = known.select("fp1", "fp2", F.coalesce("component", "node").alias("_class"), F.col("n_links").alias("_links"))
@@ -195,11 +203,6 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, id_col: str =
             .select("doc_id", "text_key", "text_bytes", F.coalesce("_class", "row").alias("class_id"), F.coalesce("_links", F.lit(0)).alias("n_links")))
 
 
-def _shared(buckets: DataFrame) -> DataFrame:
-    """Buckets with more than one node, with the least one and how many there are."""
-    return buckets.groupBy("band", "key").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("nodes")).where("nodes > 1")
-
-
 def _texts(keyed: DataFrame, nodes: DataFrame, met: DataFrame) -> DataFrame:
     """(node, text) of the nodes that meet another one, stored."""
     wanted = met.select("node").distinct().join(nodes.select("node", "text_key", "text_bytes"), "node")
@@ -230,14 +233,18 @@ def _verified(pairs: DataFrame, texts: DataFrame, idf, threshold: float) -> Data
     return sides.groupBy("a", "deal").applyInArrow(compared, "a long, b long")
 
 
-def _unsettled(met: DataFrame, classes: DataFrame, texts: DataFrame, idf) -> DataFrame:
-    """Pairs (a, b) of nodes in one bucket but, so far, in different classes."""
-    known = met.join(classes, "node", "left").select(
-        "band", "key", "node", "nodes", F.coalesce("component", "node").alias("component"))
+def _mixed(buckets: DataFrame, classes: DataFrame) -> DataFrame:
+    """(band, key, node, component) of the buckets with more than one class, stored."""
+    known = buckets.join(classes, "node", "left").select("band", "key", "node", F.coalesce("component", "node").alias("component"))
     mixed = known.groupBy("band", "key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
-    open_ = tables.stored(known.join(mixed.select("band", "key"), ["band", "key"]), "mixed-buckets")
-    small = open_.where(F.col("nodes") <= PAIRED)
-    large = open_.where(F.col("nodes") > PAIRED).select("node", "component").distinct().join(texts, "node")
+    return tables.stored(known.join(mixed.select("band", "key"), ["band", "key"]), "mixed-buckets")
+
+
+def _dealt_anew(open_: DataFrame, texts: DataFrame, idf) -> DataFrame:
+    """(band, key, node) of the small buckets, and of new ones for the nodes of the others."""
+    sizes = open_.groupBy("band", "key").agg(F.count(F.lit(1)).alias("nodes"))
+    sized = open_.join(sizes, ["band", "key"])
+    large = sized.where(F.col("nodes") > PAIRED).select("node").distinct().join(texts, "node")
 
     def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -245,21 +252,20 @@ def _unsettled(met: DataFrame, classes: DataFrame, texts: DataFrame, idf) -> Dat
                 own = Weights(tables.column(part, "text"), idf.value)
                 bands = _bands(own.samples(FINE_BANDS * FINE_SAMPLES, seed=1000), FINE_SAMPLES)
                 yield pa.RecordBatch.from_arrays(
-                    [tables.column(part, "node"), tables.column(part, "component"),
-                     pa.array(bands.view(np.int64).tolist(), pa.list_(pa.int64()))], ["node", "component", "bands"])
-
-    fine = tables.mapped(large, dealt, "node long, component long, bands array<long>").select(
-        "node", "component", F.posexplode("bands").alias("band", "key"))
-    fine = tables.stored(fine, "fine-buckets")
-    fine = fine.join(_shared(fine), ["band", "key"])
-    spread = fine.where(F.col("nodes") > PAIRED).where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b"))
-    pairs = [_pairs(small), _pairs(fine.where(F.col("nodes") <= PAIRED)), spread]
-    return pairs[0].unionByName(pairs[1]).unionByName(pairs[2]).distinct()
-
-
-def _pairs(buckets: DataFrame) -> DataFrame:
-    """Pairs of nodes of different classes in buckets of at most PAIRED nodes."""
-    lists = buckets.groupBy("band", "key").agg(F.sort_array(F.collect_list(F.struct("node", "component"))).alias("x"))
-    one = lists.select("x", F.posexplode("x").alias("i", "one"))
-    two = one.select("one", F.explode(F.slice("x", F.col("i") + 2, PAIRED)).alias("two"))
-    return two.where("one.component <> two.component").select(F.col("one.node").alias("a"), F.col("two.node").alias("b")).distinct()
+                    [tables.column(part, "node"), pa.array(bands.view(np.int64).tolist(), pa.list_(pa.int64()))], ["node", "bands"])
+
+    fine = tables.mapped(large, dealt, "node long, bands array<long>").select("node", F.posexplode("bands").alias("band", "key"))
+    fine = tables.stored(fine.withColumn("band", F.col("band") + BANDS), "fine-buckets")
+    shared = fine.groupBy("band", "key").count().where("count > 1").select("band", "key")
+    return sized.where(F.col("nodes") <= PAIRED).select("band", "key", "node").unionByName(
+        fine.join(shared, ["band", "key"]).select("band", "key", "node"))
+
+
+def _pivots(open_: DataFrame) -> DataFrame:
+    """(band, key, node, component) of about PAIRED nodes of each bucket outside its largest class, all if they are fewer."""
+    counts = open_.groupBy("band", "key", "component").agg(F.count(F.lit(1)).alias("n"))
+    largest = counts.groupBy("band", "key").agg(F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("all"))
+    others = open_.join(largest, ["band", "key"]).where(F.col("component") != F.col("top.component"))
+    share = F.ceil((F.col("all") - F.col("top.n")) / PAIRED)
+    # Which of them depends on how many are left, so that each has its turn.
+    return others.where(F.pmod(F.xxhash64("node", "all"), share) == 0).select("band", "key", "node", "component")
