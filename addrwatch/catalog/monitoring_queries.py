@@ -13,9 +13,10 @@ from pyspark.sql import functions as F
 from addrwatch import config, views
 from addrwatch.catalog.registry import places, query
 from addrwatch.catalog.sql import gauge, held, sliding, with_
-from addrwatch.functions.labels import drift_severity, is_positive, risk_level
+from addrwatch.functions.labels import drift_severity, is_positive
 from addrwatch.operators import alerts, drift, lookups, monitor, rates
 from addrwatch.operators.stats import training_baseline
+from addrwatch.plans import monitoring
 from addrwatch.session import scratch_dir
 from addrwatch.sources import tables
 
@@ -182,6 +183,14 @@ def a17(spark, sf):
 _ERRORS = "(SELECT * FROM http_log WHERE status NOT LIKE '2__') e"
 
 
+@query("a18_http_errors_by_status", with_("http_log", """
+SELECT make_timestamp(w * 1000000) AS window_start, make_timestamp((w + 300) * 1000000) AS window_end, status, n,
+  round(n / 300.0::DOUBLE, 9) AS rate FROM windows""", windows=sliding(_ERRORS, "status", window=300, slide=15)))
+def a18_by_status(spark, sf):
+    """The last five minutes at every evaluation time."""
+    return _rounded_rate(rates.http_error_rate(views.http_log(spark, sf), 300, config.EVALUATION_SECONDS, ["status"]))
+
+
 @query("a18_http_error_rate", _rates_sql("http_log", _ERRORS, "job, instance"))
 def a18(spark, sf):
     return _rounded_rate(rates.http_error_rate(views.http_log(spark, sf), HOUR, QUARTER))
@@ -210,8 +219,8 @@ def _alert_sql(names, windows, by, used, extra=None, ticks=None, until=""):
 SELECT tick, {cols}state, '{used.alert}' AS alert, '{used.severity}' AS severity FROM states {until}""", **parts)
 
 
-def _gauge_sql(names, samples, by, used, tie="event_id", extra=None):
-    return _alert_sql(names, None, by, used, extra, ticks=gauge(samples, by, tie))
+def _gauge_sql(names, samples, by, used, tie="event_id", extra=None, until=""):
+    return _alert_sql(names, None, by, used, extra, ticks=gauge(samples, by, tie), until=until)
 
 
 X1 = rule("HttpNon200ResponseCode", 0.0)
@@ -238,98 +247,137 @@ def w4(spark, sf):
     return alerts.held_condition(ticks, F.col("value") > 5.5 / 3600.0, ["label"], HOUR, QUARTER)
 
 
-def http_error_alerts(spark, sf):
-    found = rates.http_error_rate(views.http_log(spark, sf), HOUR, QUARTER)
-    return alerts.alerts(alerts.rate_ticks(found, X1.by), X1)
+# Each metric's ticks, as the ten rules read them.
 
 
-@query("x1_http_errors", X1_SQL)
-def x1(spark, sf):
-    return http_error_alerts(spark, sf)
+def _request_ticks(spark, sf):
+    return alerts.rate_ticks(rates.sliding_rate(views.http_log(spark, sf), HOUR, QUARTER, X2.by), X2.by)
 
 
-@query("x2_request_spike", _alert_sql("http_log", sliding("http_log", "job, instance"), "job, instance", X2))
-def x2(spark, sf):
-    found = rates.sliding_rate(views.http_log(spark, sf), HOUR, QUARTER, X2.by)
-    return alerts.alerts(alerts.rate_ticks(found, X2.by), X2)
+def _error_ticks(spark, sf):
+    return alerts.rate_ticks(rates.http_error_rate(views.http_log(spark, sf), HOUR, QUARTER), X1.by)
+
+
+def _gauge_ticks(spark, sf, factor):
+    return alerts.gauge_ticks(views.gauges(spark, sf, factor), ["instance"], QUARTER, tie="event_id")
+
+
+def _quality_ticks(spark, sf):
+    return alerts.rate_ticks(rates.quality_rate(views.requests(spark, sf), HOUR, QUARTER), X5.by)
+
+
+def _psi_ticks(spark, sf):
+    series = drift.drift_series(baseline(spark, sf), views.telemetry(spark, sf))
+    samples = series.select("request_id", "ts", F.lit(config.TARGET).alias("target"), F.col("psi").alias("value"))
+    end = views.telemetry(spark, sf).agg(F.max("ts")).scalar()
+    return alerts.gauge_ticks(samples, ["target"], QUARTER, tie="request_id", until=end)
+
+
+def _prediction_ticks(spark, sf):
+    return alerts.rate_ticks(rates.prediction_rate(views.pred(spark, sf), HOUR, QUARTER), X8.by)
+
+
+def _hit_rate_ticks(spark, sf):
+    marked = lookups.explain_lookup(views.lookups(spark, sf), views.pred(spark, sf))
+    samples = lookups.running_hit_rate(marked).select("lookup_id", "ts", F.col("hit_rate").alias("value"))
+    end = views.lookups(spark, sf).agg(F.max("ts")).scalar()
+    return alerts.gauge_ticks(samples, (), QUARTER, tie="lookup_id", until=end)
+
+
+def _risk_ticks(spark, sf):
+    return alerts.rate_ticks(rates.risk_rate(views.pred(spark, sf), HOUR, QUARTER), X10.by)
 
 
 _MEMORY = ("SELECT event_id, ts, concat('i', CAST(user_id % 3 AS VARCHAR)) AS instance, "
            "value * {factor}::DOUBLE AS value FROM events")
+_PSI_SAMPLES = {"samples": "SELECT request_id, ts, 'is_ransomware' AS target, psi AS value FROM psi_series"}
 
+X2_SQL = _alert_sql("http_log", sliding("http_log", "job, instance"), "job, instance", X2)
+X3_SQL = _gauge_sql((), "samples", "instance", X3, extra={"samples": _MEMORY.format(factor="1e7")})
+X4_SQL = _gauge_sql((), "samples", "instance", X4, extra={"samples": _MEMORY.format(factor="1.0")})
+X5_SQL = _alert_sql("issues", sliding("issues", "quality_rule"), "quality_rule", X5)
+X6_SQL = _gauge_sql("psi_series", "samples", "target", X6, "request_id", _PSI_SAMPLES)
+X7_SQL = _gauge_sql("psi_series", "samples", "target", X7, "request_id", _PSI_SAMPLES)
+X8_SQL = _alert_sql("labelled_pred", X8_TICKS, "label", X8)
+X9_SQL = _gauge_sql("running", "samples", "", X9, "lookup_id", {
+    "samples": "SELECT lookup_id, ts, hits * 100.0::DOUBLE / seen AS value FROM running"})
+X10_SQL = _alert_sql("labelled_pred", sliding(
+    "(SELECT * FROM labelled_pred WHERE confidence_level = 'very high') e", "confidence_level"),
+    "confidence_level", X10)
 
-@query("x3_high_memory", _gauge_sql((), "samples", "instance", X3, extra={"samples": _MEMORY.format(factor="1e7")}))
-def x3(spark, sf):
-    ticks = alerts.gauge_ticks(views.gauges(spark, sf, 1e7), X3.by, QUARTER, tie="event_id")
-    return alerts.alerts(ticks, X3)
 
+@query("x1_http_errors", X1_SQL)
+def x1(spark, sf):
+    return alerts.alerts(_error_ticks(spark, sf), X1)
 
-@query("x4_slow_model_load", _gauge_sql((), "samples", "instance", X4, extra={"samples": _MEMORY.format(factor="1.0")}))
-def x4(spark, sf):
-    ticks = alerts.gauge_ticks(views.gauges(spark, sf, 1.0), X4.by, QUARTER, tie="event_id")
-    return alerts.alerts(ticks, X4)
 
+@query("x2_request_spike", X2_SQL)
+def x2(spark, sf):
+    return alerts.alerts(_request_ticks(spark, sf), X2)
 
-@query("x5_quality_issues", _alert_sql("issues", sliding("issues", "quality_rule"), "quality_rule", X5))
-def x5(spark, sf):
-    found = rates.quality_rate(views.requests(spark, sf), HOUR, QUARTER)
-    return alerts.alerts(alerts.rate_ticks(found, X5.by), X5)
 
+@query("x3_high_memory", X3_SQL)
+def x3(spark, sf):
+    return alerts.alerts(_gauge_ticks(spark, sf, 1e7), X3)
 
-_PSI_SAMPLES = {"samples": "SELECT request_id, ts, 'is_ransomware' AS target, psi AS value FROM psi_series"}
 
+@query("x4_slow_model_load", X4_SQL)
+def x4(spark, sf):
+    return alerts.alerts(_gauge_ticks(spark, sf, 1.0), X4)
 
-def _psi_ticks(spark, sf):
-    series = drift.drift_series(baseline(spark, sf), views.telemetry(spark, sf))
-    samples = series.select("request_id", "ts", F.lit(config.TARGET).alias("target"), F.col("psi").alias("value"))
-    end = views.telemetry(spark, sf).agg(F.max("ts")).scalar()
-    return alerts.gauge_ticks(samples, ["target"], QUARTER, tie="request_id", until=end)
 
+@query("x5_quality_issues", X5_SQL)
+def x5(spark, sf):
+    return alerts.alerts(_quality_ticks(spark, sf), X5)
 
-@query("x6_high_drift", _gauge_sql("psi_series", "samples", "target", X6, "request_id", _PSI_SAMPLES))
+
+@query("x6_high_drift", X6_SQL)
 def x6(spark, sf):
     return alerts.alerts(_psi_ticks(spark, sf), X6)
 
 
-@query("x7_critical_drift", _gauge_sql("psi_series", "samples", "target", X7, "request_id", _PSI_SAMPLES))
+@query("x7_critical_drift", X7_SQL)
 def x7(spark, sf):
     return alerts.alerts(_psi_ticks(spark, sf), X7)
 
 
-@query("x8_positive_rate", _alert_sql("labelled_pred", X8_TICKS, "label", X8))
+@query("x8_positive_rate", X8_SQL)
 def x8(spark, sf):
-    positive = views.pred(spark, sf).filter(F.col("prediction") == 1)
-    found = rates.prediction_rate(positive, HOUR, QUARTER)
-    return alerts.alerts(alerts.rate_ticks(found, X8.by), X8)
+    return alerts.alerts(_prediction_ticks(spark, sf), X8)
 
 
-@query("x9_low_hit_rate", _gauge_sql("running", "samples", "", X9, "lookup_id", {
-    "samples": "SELECT lookup_id, ts, hits * 100.0::DOUBLE / seen AS value FROM running"}))
+@query("x9_low_hit_rate", X9_SQL)
 def x9(spark, sf):
-    marked = lookups.explain_lookup(views.lookups(spark, sf), views.pred(spark, sf))
-    samples = lookups.running_hit_rate(marked).select("lookup_id", "ts", F.col("hit_rate").alias("value"))
-    end = views.lookups(spark, sf).agg(F.max("ts")).scalar()
-    return alerts.alerts(alerts.gauge_ticks(samples, (), QUARTER, tie="lookup_id", until=end), X9)
+    return alerts.alerts(_hit_rate_ticks(spark, sf), X9)
 
 
-@query("x10_very_high_spike", _alert_sql("labelled_pred", sliding(
-    "(SELECT * FROM labelled_pred WHERE confidence_level = 'very high') e", "confidence_level"),
-    "confidence_level", X10))
+@query("x10_very_high_spike", X10_SQL)
 def x10(spark, sf):
-    level = risk_level(F.col("prediction"), F.col("confidence"))
-    severe = views.pred(spark, sf).filter(level == config.VERY_HIGH_RISK[1])
-    found = rates.risk_rate(severe, HOUR, QUARTER)
-    return alerts.alerts(alerts.rate_ticks(found, X10.by), X10)
-
-
-@query("a19_active_alerts", with_(("http_log", "labelled_pred"), """
-SELECT tick, count(*) AS n FROM (SELECT tick, state FROM errors UNION ALL SELECT tick, state FROM positives)
-WHERE state = 'firing' GROUP BY tick""",
-    w1=sliding(_ERRORS, "job, instance"),
-    t1="SELECT w // 900 + 4 AS k, job, instance, n / 3600.0::DOUBLE AS value FROM w1",
-    errors=held("t1", "value > 0", "job, instance"),
-    w2=X8_TICKS, t2="SELECT w // 900 + 4 AS k, label, n / 3600.0::DOUBLE AS value FROM w2",
-    positives=held("t2", f"value > {X8.threshold!r}::DOUBLE", "label")))
+    return alerts.alerts(_risk_ticks(spark, sf), X10)
+
+
+RULES = [X1, X2, X3, X4, X5, X6, X7, X8, X9, X10]
+_ALL_SQL = " UNION ALL ".join(
+    f"SELECT tick, alert, state FROM ({sql})"
+    for sql in (X1_SQL, X2_SQL, X3_SQL, X4_SQL, X5_SQL, X6_SQL, X7_SQL, X8_SQL, X9_SQL, X10_SQL))
+
+
+def all_states(spark, sf):
+    """States of all ten rules over their metrics."""
+    return monitoring.alert_states({
+        "http_errors": _error_ticks(spark, sf), "http_requests": _request_ticks(spark, sf),
+        "memory_usage_bytes": _gauge_ticks(spark, sf, 1e7), "model_load_seconds": _gauge_ticks(spark, sf, 1.0),
+        "data_quality": _quality_ticks(spark, sf), "psi": _psi_ticks(spark, sf),
+        "predictions": _prediction_ticks(spark, sf), "hit_rate": _hit_rate_ticks(spark, sf),
+        "risk_levels": _risk_ticks(spark, sf),
+    }, RULES)
+
+
+@query("a19_alert_states", f"SELECT alert, state, count(*) AS n FROM ({_ALL_SQL}) GROUP BY ALL")
+def a19_states(spark, sf):
+    return all_states(spark, sf).groupBy("alert", "state").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("a19_active_alerts", f"SELECT tick, count(*) AS n FROM ({_ALL_SQL}) WHERE state = 'firing' GROUP BY tick")
 def a19(spark, sf):
-    states = [found.select("tick", "state") for found in (http_error_alerts(spark, sf), x8(spark, sf))]
-    return alerts.active_alerts(states[0].unionByName(states[1]))
+    return alerts.active_alerts(all_states(spark, sf))

@@ -11,11 +11,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from addrwatch import config, views
 from addrwatch.catalog.fixed_model import FIXED
 from addrwatch.catalog.monitoring_queries import (
-    HOUR, QUARTER, REPORT_SHARES, REPORT_SQL, X3, X8, X8_TICKS, _alert_sql, _ERRORS, _rates_sql, baseline,
+    HOUR, QUARTER, REPORT_SHARES, REPORT_SQL, X3, X8, X8_TICKS, _alert_sql, _ERRORS, _gauge_sql, _MEMORY, _rates_sql, baseline,
 )
 from addrwatch.catalog.registry import places, query
 from addrwatch.catalog.scoring_queries import SERVED_SQL, fitted_stats, served_columns
 from addrwatch.catalog.sql import with_
+from addrwatch.functions.labels import label_name
 from addrwatch.session import scratch_dir
 from addrwatch.sources import tables
 from addrwatch.streaming import drift, lookups, scoring, windows
@@ -30,24 +31,13 @@ def event_stream(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def drained(stream: DataFrame, spark: SparkSession, name: str) -> DataFrame:
-    """Run the stream over all input into a table and read that.
-
-    Every state partition costs a task and files per trigger, whether it holds
-    anything or not, so a stream gets no more of them than twice the cores. It
-    takes the setting along when it starts.
-    """
+    """Run the stream over all input into a table and read that."""
     out = scratch_dir(spark, name)
-    setting = "spark.sql.shuffle.partitions"
-    usual = spark.conf.get(setting)
-    spark.conf.set(setting, min(int(usual), 2 * spark.sparkContext.defaultParallelism))
-    try:
-        running = (
-            stream.writeStream.format("parquet").outputMode("append")
-            .option("path", f"{out}/rows").option("checkpointLocation", f"{out}/checkpoint")
-            .trigger(availableNow=True).start()
-        )
-    finally:
-        spark.conf.set(setting, usual)
+    running = (
+        stream.writeStream.format("parquet").outputMode("append")
+        .option("path", f"{out}/rows").option("checkpointLocation", f"{out}/checkpoint")
+        .trigger(availableNow=True).start()
+    )
     running.awaitTermination()
     return spark.read.schema(stream.schema).parquet(f"{out}/rows")
 
@@ -131,21 +121,21 @@ def t3_errors(spark, sf):
 @query("t4_alert_stream", _alert_sql(
     "labelled_pred", X8_TICKS, "label", X8, until=_CLOSED.format(end="tick", source="labelled_pred")))
 def t4(spark, sf):
-    named = views.predictions_of(event_stream(spark, sf)).withColumn("label", F.lit(config.POSITIVE_LABEL))
-    states = windows.alert_stream(named, X8, DELAY, condition=F.col("prediction") == 1)
+    named = views.predictions_of(event_stream(spark, sf)).withColumn("label", label_name(F.col("prediction")))
+    states = windows.alert_stream(named, X8, DELAY)
     return _plain(drained(states, spark, "alerts"), "tick")
 
 
-_GAUGE_TICKS = """
-SELECT epoch_us(ts) // 900000000 + 1 AS k, instance, arg_max(value, ts) AS value FROM samples GROUP BY ALL"""
+# No gap between the given samples is longer.
+STALE = 86_400
 
 
-@query("t4_gauge_alert_stream", _alert_sql(
-    (), None, "instance", X3, ticks=_GAUGE_TICKS, until=_CLOSED.format(end="tick", source="samples"), extra={
-        "samples": "SELECT ts, concat('i', CAST(user_id % 3 AS VARCHAR)) AS instance, value * 1e7::DOUBLE AS value FROM events"}))
+@query("t4_gauge_alert_stream", _gauge_sql(
+    (), "samples", "instance", X3, extra={"samples": _MEMORY.format(factor="1e7")}, until=_CLOSED.format(end="tick", source="samples")))
 def t4_gauge(spark, sf):
     samples = views.gauges_of(event_stream(spark, sf), 1e7)
-    return _plain(drained(windows.gauge_alert_stream(samples, X3, DELAY), spark, "alerts"), "tick")
+    states = windows.gauge_alert_stream(samples, X3, DELAY, stale=STALE, tie="event_id")
+    return _plain(drained(states, spark, "alerts"), "tick")
 
 
 @query("t5_drift_stream", REPORT_SQL)

@@ -74,7 +74,8 @@ EVALUATION_SECONDS = 15
 
 @dataclass(frozen=True)
 class AlertRule:
-    """One alert: ``value <comparison> threshold`` held for ``hold`` seconds."""
+    """One alert: ``value <comparison> threshold`` held for ``hold`` seconds, for the
+    series of ``metric`` whose labels equal those in ``where``."""
 
     alert: str
     metric: str
@@ -85,6 +86,7 @@ class AlertRule:
     severity: str
     hold: int = 60
     step: int = EVALUATION_SECONDS
+    where: tuple[tuple[str, str], ...] = ()
 
 
 ALERT_RULES = [
@@ -95,9 +97,11 @@ ALERT_RULES = [
     AlertRule("DataQualityIssuesDetected", "data_quality", ("quality_rule",), ">", 0.1, 300, "warning"),
     AlertRule("HighPSIDrift", "psi", ("target",), ">", 0.1, None, "warning"),
     AlertRule("CriticalPSIDrift", "psi", ("target",), ">", 0.2, None, "critical"),
-    AlertRule("HighRansomwarePredictionRate", "predictions", ("label",), ">", 0.2, 300, "info"),
+    AlertRule("HighRansomwarePredictionRate", "predictions", ("label",), ">", 0.2, 300, "info",
+              where=(("label", POSITIVE_LABEL),)),
     AlertRule("LowCacheHitRate", "hit_rate", (), "<", 50.0, None, "info"),
-    AlertRule("HighConfidenceRansomwareSpike", "risk_levels", ("confidence_level",), ">", 0.2, 300, "warning"),
+    AlertRule("HighConfidenceRansomwareSpike", "risk_levels", ("confidence_level",), ">", 0.2, 300, "warning",
+              where=(("confidence_level", VERY_HIGH_RISK[1]),)),
 ]
 
 # ------------------------------------------------------------------- tunables

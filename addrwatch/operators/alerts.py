@@ -69,7 +69,7 @@ def gauge_ticks(
 ) -> DataFrame:
     """``(tick, *by, value)`` on every evaluation time from a series' first sample to
     ``until``, a time that defaults to the last sample of all: the latest value at
-    or before the tick.
+    or before the tick. Samples after ``until`` are left out.
 
     Samples are reduced to the last one per series and tick before the shuffle,
     so a series has at most one row per step, whatever its traffic: two million a
@@ -83,15 +83,25 @@ def gauge_ticks(
     else:
         end = F.ceil(micros(until) / F.lit(step * 1_000_000.0)).cast("bigint")
     series = Window.partitionBy(*by).orderBy("_tick")
-    spans = per_tick.withColumn("_end", end).withColumn(
+    spans = per_tick.withColumn("_end", end).filter(F.col("_tick") <= F.col("_end")).withColumn(
         "_next", F.coalesce(F.lead("_tick").over(series) - 1, F.col("_end"))
     )
     ticks = spans.select(*by, value, F.explode(F.sequence("_tick", "_next")).alias("_tick"))
     return ticks.select(from_seconds(F.col("_tick") * step).alias("tick"), *by, value)
 
 
+def selected(rule: config.AlertRule) -> Column:
+    """Whether a row belongs to a series the rule watches."""
+    matches = F.lit(True)
+    for label, value in rule.where:
+        matches &= F.col(label) == value
+    return matches
+
+
 def alerts(ticks: DataFrame, rule: config.AlertRule, moment: Column | None = None) -> DataFrame:
-    """``(tick, *by, state, alert, severity)`` of one rule over its metric's ticks."""
+    """``(tick, *by, state, alert, severity)`` of one rule over those series of its
+    metric's ticks that it watches."""
+    ticks = ticks.filter(selected(rule))
     condition = _COMPARE[rule.comparison](F.col("value"), F.lit(rule.threshold))
     held = held_condition(ticks, condition, rule.by, rule.hold, rule.step, moment=moment)
     return held.select(

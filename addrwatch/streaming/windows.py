@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from addrwatch import config
+from addrwatch.functions.dates import from_seconds, micros
 from addrwatch.functions.labels import label_name, risk_level
 from addrwatch.operators import alerts, rates
 
@@ -57,13 +58,14 @@ def alert_stream(
     condition: Column | None = None,
 ) -> DataFrame:
     """``(tick, *by, state, alert, severity)`` of a rate rule over the events of a stream
-    that meet the condition.
+    that meet the condition and belong to a series the rule watches.
 
     Three windowed counts in a row, all kept in Spark's own state: panes, windows,
     and the ticks each rate supports. A tick comes out once no late event can
     change it.
     """
-    counts = None if condition is None else {"n": condition}
+    watched = alerts.selected(rule) if condition is None else alerts.selected(rule) & condition
+    counts = {"n": watched}
     counted = rates.window_counts(
         watermarked(stream, delay, ts), rule.window, rule.step, rule.by, ts, counts
     ).filter(F.col("n") > 0)
@@ -75,12 +77,35 @@ def alert_stream(
 
 
 def gauge_alert_stream(
-    samples: DataFrame, rule: config.AlertRule, delay: str = "1 minute", ts: str = "ts", value: str = "value"
+    samples: DataFrame,
+    rule: config.AlertRule,
+    delay: str = "1 minute",
+    ts: str = "ts",
+    value: str = "value",
+    stale: int = 300,
+    tie: str | None = None,
 ) -> DataFrame:
-    """The same for a gauge sampled at least once per step: a tick reads the last sample
-    of the step before it, and a step without samples ends the hold."""
-    per_step = watermarked(samples, delay, ts).groupBy(
-        F.window(ts, rates.seconds(rule.step)).alias("window"), *rule.by
-    ).agg(F.max_by(value, ts).alias("value"))
-    ticks = per_step.select("window", F.col("window.end").alias("tick"), *rule.by, "value")
+    """The same for a gauge: a tick reads the latest sample at or before it, of equal
+    times the one with the greater ``tie``, unless that is more than ``stale`` seconds old.
+
+    A sample is copied to the ticks it may serve, a number of rows that ``stale``
+    bounds, and each tick takes the latest of its copies. Copies lie up to
+    ``stale`` ahead of their sample, so the watermark stays behind by as much more.
+    """
+    step = rule.step
+    number = F.ceil(micros(F.col(ts)) / F.lit(step * 1_000_000.0)).cast("bigint")
+    order = F.struct(F.col(ts).alias("_ts"), *([F.col(tie).alias("_tie")] if tie else []))
+    copies = samples.filter(alerts.selected(rule)).select(
+        *rule.by, F.col(value).alias("value"), order.alias("_order"),
+        F.explode(F.sequence(number, number + stale // step)).alias("_tick"),
+    )
+    moment = F.timestamp_add("MICROSECOND", F.lit(-1), from_seconds(F.col("_tick") * step).cast("timestamp"))
+    timed = copies.withColumn("_moment", moment).withWatermark("_moment", _longer(delay, stale))
+    per_tick = timed.groupBy(F.window("_moment", rates.seconds(step)).alias("window"), *rule.by).agg(
+        F.max_by("value", "_order").alias("value"))
+    ticks = per_tick.select("window", F.col("window.end").alias("tick"), *rule.by, "value")
     return alerts.alerts(ticks, rule, moment=F.window_time("window"))
+
+
+def _longer(delay: str, more: int) -> str:
+    return f"{delay} {more} seconds"

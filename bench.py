@@ -16,16 +16,12 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from addrwatch.catalog import QUERIES  # noqa: E402
 from addrwatch.session import build_session  # noqa: E402
 
-# Left out by default: each writes a folder per day and is dominated by the local
-# file system, or repeats another entry's work.
-SLOW_DISK = {"s2_write_activity", "s3_read_activity_since", "c1_preprocess", "c6_compare_stages"}
-
 
 def main() -> None:
     sf = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     wanted = os.environ.get("BENCH_QUERIES")
-    names = wanted.split(",") if wanted else [n for n in QUERIES if n not in SLOW_DISK]
+    names = wanted.split(",") if wanted else list(QUERIES)
     spark = build_session(cpus, "bench")
     for name in ("class_profile", "a9_roc_curve"):
         QUERIES[name](spark, sf).write.format("noop").mode("overwrite").save()
