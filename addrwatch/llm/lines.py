@@ -7,9 +7,10 @@ indexes of its own and slightly smaller lengths with those of its substrings tha
 in a cheapest alignment. Lines that meet are verified by a banded bit-parallel edit distance.
 
 Within a bucket every line is verified against the first one. If that leaves more than one class of
-linked lines, the others are compared pair by pair in a bucket of at most PAIRED lines. In a larger one
-the lines share a frequent segment: what is left of them is within the threshold too, so it
-is cut and probed in the same way, until the buckets are small or nothing is left to cut.
+linked lines, the others are compared pair by pair in a bucket of at most PAIRED lines. In a larger one,
+as a frequent segment makes it, lines are placed by where they begin to differ from the first
+one, and only those are compared that differ in places near enough (``_measured``); many
+lines that begin to differ in one place are a bucket of their own.
 """
 
 from __future__ import annotations
@@ -62,11 +63,8 @@ def probes(length: int, threshold: int) -> list[tuple[int, int, int, int]]:
     return out
 
 
-def keys(chars: np.ndarray, offsets: np.ndarray, seeds: np.ndarray, threshold: int) -> tuple[np.ndarray, ...]:
-    """(line, key, indexed, start, size) of all bucket entries of lines given as code points.
-
-    seeds: a number per line; only lines with the same one can meet.
-    """
+def keys(chars: np.ndarray, offsets: np.ndarray, threshold: int) -> tuple[np.ndarray, ...]:
+    """(line, key, indexed) of all bucket entries of lines given as code points."""
     power = words.powers(len(chars) + 1)
     back = np.full(len(chars) + 1, np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64)))
     back[0] = 1
@@ -79,17 +77,15 @@ def keys(chars: np.ndarray, offsets: np.ndarray, seeds: np.ndarray, threshold: i
     for group in np.split(order, np.flatnonzero(np.diff(lengths[order])) + 1) if len(order) else []:
         n = int(lengths[group[0]])
         if n < threshold + 1:
-            # Too short to cut: one bucket for each seed.
-            out.append((group, words.mix(seeds[group]), np.ones(len(group), bool), np.zeros(len(group), np.int64), np.full(len(group), n)))
-            continue
+            continue  # too short to cut
         own = [(n, i, start, size, True) for i, (start, size) in enumerate(segments(n, threshold))]
         for other, i, start, size, indexed in own + [(*p, False) for p in probes(n, threshold)]:
             a = offsets[group] + start
             h = (sums[a + size] - sums[a]) * back[a]
-            key = words.mix(words.mix(h) + seeds[group] + np.uint64(other * 64 + i))
-            out.append((group, key, np.full(len(group), indexed), np.full(len(group), start), np.full(len(group), size)))
+            key = words.mix(words.mix(h) + np.uint64(other * 64 + i))
+            out.append((group, key, np.full(len(group), indexed)))
     if not out:
-        return (np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, bool), *(np.zeros(0, np.int64),) * 2)
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, bool)
     return tuple(np.concatenate(c) for c in zip(*out, strict=True))
 
 
@@ -172,6 +168,8 @@ def dedup_lines(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MI
     and have no lines; repeated rows are documents of their own, so the first keeps the
     lines. Input columns named like a result are replaced, all others kept.
     """
+    if min_chars <= threshold:
+        raise ValueError("lines must have more code points than edits are allowed")
     ship_package(docs.sparkSession)
     plain = docs.select(*tables.without(docs, *RESULTS))
     texts, buckets = tables.numbered(plain, "texts")
@@ -269,7 +267,7 @@ def _points(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
 def _entries(threshold: int):
     def entries(ids: list[int], lines: list[str]) -> pa.Table:
         chars, offsets = _points(lines)
-        own, key, indexed, _, _ = keys(chars, offsets, np.zeros(len(lines), np.uint64), threshold)
+        own, key, indexed = keys(chars, offsets, threshold)
         return pa.table({"id": pa.array(np.array(ids, np.int64)[own]), "key": pa.array(key.view(np.int64)), "indexed": pa.array(indexed)})
 
     return entries
@@ -288,23 +286,87 @@ def _links(entries: DataFrame, texts_of, threshold: int) -> DataFrame:
     texts = texts_of(met.select("id").distinct())
     pairs = met.where("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
     links = tables.stored(_verified(pairs, texts, threshold), "line-links")
-    seeds = None
-    while True:
-        open_ = _mixed(met, components.connected(links))
-        more = _verified(_bucket_pairs(open_.where(F.col("lines") <= PAIRED)), texts, threshold)
-        large = open_.where((F.col("lines") > PAIRED)).select("id", "key").distinct()
-        links = tables.stored(links.unionByName(more).distinct(), "line-links")
-        if large.isEmpty():
-            return links
-        # (id, key, rest): what is left of each line without the segment it shares.
-        source = texts.withColumn("seed", F.lit(0).cast("long")) if seeds is None else seeds
-        seeds = tables.stored(_rests(source.join(large.select("id").distinct(), "id", "left_semi"), threshold)
-                              .join(large, ["id", "key"], "left_semi").select("id", F.col("key").alias("seed"), F.col("rest").alias("line")).distinct(), "line-rests")
-        met = _met(_rests(seeds, threshold).select("id", "key", F.col("indexed")))
-        pairs = met.where("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
-        links = tables.stored(links.unionByName(_verified(pairs, texts, threshold)).distinct(), "line-links")
-        # Nothing left to cut: lines that differ within a few places only are linked through their first.
-        seeds = seeds.where(F.length("line") > threshold)
+    open_ = _mixed(met, components.connected(links))
+    more = _bucket_pairs(open_.where(F.col("lines") <= PAIRED))
+    large = tables.stored(open_.where(F.col("lines") > PAIRED).select("key", "id", "component").distinct(), "large-buckets")
+    while not large.isEmpty():
+        seen = tables.stored(_measured(large, texts, threshold), "measured-lines")
+        outer = seen.where("NOT inner")
+        groups = outer.groupBy("key", "first").agg(F.count(F.lit(1)).alias("n"))
+        points = outer.join(groups, ["key", "first"]).select("key", F.col("first").alias("at"), F.col("id").alias("b"), "component", "n")
+        spans = outer.select("key", F.col("id").alias("a"), F.col("component").alias("one"), "first",
+                             F.explode(F.sequence("first", "reach")).alias("at"))
+        near = spans.join(points, ["key", "at"]).where("one <> component AND (first < at OR (n <= {p} AND a < b))".format(p=PAIRED))
+        shell = seen.where("shell").select("key", F.col("id").alias("a"), F.col("component").alias("one"))
+        inner = seen.where("inner").select("key", F.col("id").alias("b"), "component")
+        close = shell.join(inner, "key").where("one <> component")
+        more = tables.stored(more.unionByName(near.select("a", "b")).unionByName(close.select("a", "b")).distinct(), "line-pairs")
+        rest = points.where(F.col("n") > PAIRED).select(F.xxhash64("key", "at").alias("key"), F.col("b").alias("id"), "component")
+        mixed = rest.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key")
+        large = tables.stored(rest.join(mixed, "key"), "large-buckets")
+    return tables.stored(links.unionByName(_verified(more, texts, threshold)), "line-links")
+
+
+def _measured(buckets: DataFrame, texts: DataFrame, threshold: int) -> DataFrame:
+    """Each line of the buckets (key, id, component) as seen from the bucket's least line.
+
+    ``first``: length of the common beginning; ``inner``: within the threshold; ``shell``: beyond it,
+    but within twice the threshold; ``reach``: how much of the least line some beginning of this
+    one is within the threshold of. Of two lines that aren't inner the one with the shorter common
+    beginning is within the threshold of the other only if the other's ends within its reach:
+    up to there the other one equals the least line. An inner line is within the threshold of
+    others only if they are inner, and so linked already, or in the shell.
+    """
+    heads = buckets.groupBy("key").agg(F.min("id").alias("head"))
+    sides = (buckets.join(heads, "key").join(texts, "id")
+             .join(texts.select(F.col("id").alias("head"), F.col("line").alias("one")), "head"))
+
+    def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [_seen_from(a, b, threshold) for a, b in zip(
+                tables.column(batch, "one").to_pylist(), tables.column(batch, "line").to_pylist(), strict=True)]
+            first, reach, distance = (np.array(x, np.int64) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 3
+            yield pa.RecordBatch.from_arrays(
+                [*(tables.column(batch, c) for c in ("key", "id", "component")), pa.array(first), pa.array(reach),
+                 pa.array(distance <= threshold), pa.array((distance > threshold) & (distance <= 2 * threshold))],
+                ["key", "id", "component", "first", "reach", "inner", "shell"])
+
+    return tables.mapped(sides.select("key", "id", "component", "one", "line"), measured,
+                         "key long, id long, component long, first long, reach long, inner boolean, shell boolean")
+
+
+def _seen_from(a: str, b: str, threshold: int) -> tuple[int, int, int]:
+    """Common beginning of a and b, reach of b along a, and their distance up to 2 * threshold + 1.
+
+    Furthest points per diagonal for 0, 1, ... edits.
+    """
+    first = _equal(a, 0, b, 0)
+    far, reach, target = {0: first}, first, len(a) - len(b)
+    for edits in range(2 * threshold + 1):
+        if edits:
+            new = {}
+            for d in range(-edits, edits + 1):
+                at = max(far.get(d, -9) + 1, far.get(d - 1, -9) + 1, far.get(d + 1, -9))
+                at = min(at, len(a), len(b) + d)
+                if at >= max(0, d):
+                    new[d] = at + _equal(a, at, b, at - d)
+            far = new
+            if edits <= threshold:
+                reach = max(reach, *far.values())
+        if far.get(target) == len(a):
+            return first, reach, edits
+    return first, reach, 2 * threshold + 1
+
+
+def _equal(a: str, i: int, b: str, j: int) -> int:
+    """How many code points from a[i] and b[j] on are equal."""
+    start, step = i, 64
+    while step:
+        if i + step <= len(a) and a[i : i + step] == b[j : j + step]:
+            i, j = i + step, j + step
+        else:
+            step //= 2
+    return i - start
 
 
 def _met(entries: DataFrame) -> DataFrame:
@@ -348,21 +410,6 @@ def _bucket_pairs(buckets: DataFrame) -> DataFrame:
         F.col("one.id").alias("a"), F.col("two.id").alias("b")).distinct()
 
 
-def _rests(lines: DataFrame, threshold: int) -> DataFrame:
-    """Bucket entries (id, key, indexed) of (id, seed, line) with what is left of the line without the segment."""
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in tables.slices(batch, "line", 1 << 18):
-                own = tables.column(part, "line").to_pylist()
-                line, key, indexed, start, size = keys(*_points(own), np.asarray(tables.column(part, "seed")).view(np.uint64), threshold)
-                rest = [own[i][:a] + own[i][a + n :] for i, a, n in zip(line.tolist(), start.tolist(), size.tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays(
-                    [tables.column(part, "id").take(pa.array(line)), pa.array(key.view(np.int64)), pa.array(indexed), pa.array(rest, pa.string())],
-                    ["id", "key", "indexed", "rest"])
-
-    return tables.mapped(lines.select("id", "seed", "line"), cut, "id long, key long, indexed boolean, rest string")
-
-
 def _kept(texts: pa.Table, marks: pa.Table, names: list[str], text_col: str) -> pa.Table:
     gone: dict[int, set[int]] = {}
     links: dict[int, dict[int, int]] = {}

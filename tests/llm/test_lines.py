@@ -5,7 +5,6 @@ from __future__ import annotations
 import itertools
 import random
 
-import numpy as np
 import pytest
 
 from addrwatch.llm import lines
@@ -42,10 +41,28 @@ def test_banded_distance_and_shared_segments():
         assert lines.within([a], [b], t)[0] == near
         if near and min(len(a), len(b)) > t:
             own = sorted((a, b), key=len)
-            line, key, indexed, *_ = lines.keys(*lines._points(own), np.zeros(2, np.uint64), t)
+            line, key, indexed = lines.keys(*lines._points(own), t)
             assert set(key[(line == 0) & indexed]) & set(key[line == 1])
 
 
+def test_what_a_line_shows_of_others():
+    rng = random.Random(4)
+    for _ in range(800):
+        t = rng.randrange(1, 4)
+        head = "".join(rng.choice("abé") for _ in range(rng.randrange(5, 90)))
+        x, y = (edited(rng, head, rng.randrange(0, 7)) for _ in range(2))
+        seen = {}
+        for z in (x, y):
+            first, reach, near = seen[z] = lines._seen_from(head, z, t)
+            assert head[:first] == z[:first] and head[first : first + 1] != z[first : first + 1] or first in (len(head), len(z))
+            assert near == min(distance(head, z), 2 * t + 1)
+            assert reach == max(p for p in range(len(head) + 1) if any(distance(head[:p], z[:q]) <= t for q in range(max(0, p - t), min(len(z), p + t) + 1)))
+        if distance(x, y) <= t:
+            (a, b, near), (c, _, other) = sorted((seen[x], seen[y]))
+            assert c <= b or min(near, other) <= t
+            assert max(near, other) <= 2 * t or min(near, other) > t
+
+
 def plain(docs, threshold, min_chars):
     """Kept texts: of every class of lines the first one."""
     places = [(d, i, x) for d, t in docs for i, x in enumerate((t or "").split("\n")) if x.strip(" \t\r\x0b\x0c")]
