@@ -36,54 +36,50 @@ FOUND = "part long, row long, line int, h1 long, h2 long, chars int"
 ROWS = "id long, key long, indexed boolean"
 RESULTS = ("n_lines", "n_removed", "n_links")
 
+_CHARS = words.mix(np.arange(1, (1 << 16) + 1, dtype=np.uint64))
 
-def segments(length: int, threshold: int) -> list[tuple[int, int]]:
-    """(start, size) of the threshold + 1 segments of a line; the later ones take the rest."""
-    size, more = divmod(length, threshold + 1)
-    sizes = [size + (i >= threshold + 1 - more) for i in range(threshold + 1)]
-    return list(zip(np.cumsum([0, *sizes[:-1]]).tolist(), sizes, strict=True))
 
+def keys(chars: np.ndarray, offsets: np.ndarray, threshold: int) -> tuple[np.ndarray, ...]:
+    """(line, key, indexed) of all bucket entries of lines given as code points.
 
-def probes(length: int, threshold: int) -> list[tuple[int, int, int, int]]:
-    """(indexed length, segment number, start, size) of the substrings that a line looks up.
-
-    For segment i of a line shorter by d, an alignment with at most i edits before and at most
-    threshold - i after it is enough; its place differs accordingly. Those substrings that
+    A line of n code points has threshold + 1 segments of n // (threshold + 1), the last ones
+    one longer. Of a line that is shorter by d it looks up segment i at the places that an alignment with
+    at most i edits before and at most threshold - i after it allows. Those substrings that
     are the line's own segments are left out: they are in its bucket already.
     """
-    out = []
-    for d in range(threshold + 1):
-        other = length - d
-        if other < threshold + 1:
-            continue
-        for i, (start, size) in enumerate(segments(other, threshold)):
-            low = max(start - i, start + d - (threshold - i), 0)
-            high = min(start + i, start + d + (threshold - i), length - size)
-            out += [(other, i, at, size) for at in range(low, high + 1) if d or at != start]
-    return out
-
-
-def keys(chars: np.ndarray, offsets: np.ndarray, threshold: int) -> tuple[np.ndarray, ...]:
-    """(line, key, indexed) of all bucket entries of lines given as code points."""
-    power = words.powers(len(chars) + 1)
-    back = np.full(len(chars) + 1, np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64)))
-    back[0] = 1
-    np.multiply.accumulate(back, out=back)
+    power, back = words.powers(len(chars) + 1), words.inverse_powers(len(chars) + 1)
     sums = np.zeros(len(chars) + 1, np.uint64)
-    np.cumsum(words.mix(chars.astype(np.uint64) + np.uint64(1)) * power[:-1], out=sums[1:])
+    values = _CHARS[np.minimum(chars, len(_CHARS) - 1)]
+    if len(chars) and chars.max() >= len(_CHARS) - 1:
+        rare = np.flatnonzero(chars >= len(_CHARS) - 1)
+        values[rare] = words.mix(chars[rare].astype(np.uint64) + np.uint64(1))
+    np.cumsum(values * power[:-1], out=sums[1:])
     lengths = np.diff(offsets)
     out = []
-    order = np.argsort(lengths, kind="stable")
-    for group in np.split(order, np.flatnonzero(np.diff(lengths[order])) + 1) if len(order) else []:
-        n = int(lengths[group[0]])
-        if n < threshold + 1:
-            continue  # too short to cut
-        own = [(n, i, start, size, True) for i, (start, size) in enumerate(segments(n, threshold))]
-        for other, i, start, size, indexed in own + [(*p, False) for p in probes(n, threshold)]:
-            a = offsets[group] + start
-            h = (sums[a + size] - sums[a]) * back[a]
-            key = words.mix(words.mix(h) + np.uint64(other * 64 + i))
-            out.append((group, key, np.full(len(group), indexed)))
+
+    def add(own: np.ndarray, at: np.ndarray, size: np.ndarray, other: np.ndarray, i: int, indexed: bool) -> None:
+        a = offsets[own] + at
+        h = (sums[a + size] - sums[a]) * back[a]
+        key = words.mix(words.mix(h) + (other * 64 + i).astype(np.uint64))
+        out.append((own, key, np.full(len(own), indexed)))
+
+    for d in range(threshold + 1):
+        own = np.flatnonzero(lengths - d > threshold)
+        n = lengths[own]
+        other = n - d
+        short, more = np.divmod(other, threshold + 1)
+        for i in range(threshold + 1):
+            longer = i - (threshold + 1 - more)  # how many of the segments before are one longer
+            size, start = short + (longer >= 0), i * short + np.maximum(longer, 0)
+            if d == 0:
+                add(own, start, size, other, i, True)
+            low = np.maximum(np.maximum(start - i, start + d - (threshold - i)), 0)
+            high = np.minimum(np.minimum(start + i, start + d + (threshold - i)), n - size)
+            for shift in range(-threshold, threshold + 1):
+                at = start + shift
+                fits = np.flatnonzero((low <= at) & (at <= high)) if d or shift else ()
+                if len(fits):
+                    add(own[fits], at[fits], size[fits], other[fits], i, False)
     if not out:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, bool)
     return tuple(np.concatenate(c) for c in zip(*out, strict=True))
@@ -229,10 +225,7 @@ def _bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
 
 
 def _hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
-    power = words.powers(len(data) + 1)
-    back = np.full(len(data) + 1, np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64)))
-    back[0] = 1
-    np.multiply.accumulate(back, out=back)
+    power, back = words.powers(len(data) + 1), words.inverse_powers(len(data) + 1)
     out = []
     for k in (1, 2):
         sums = np.zeros(len(data) + 1, np.uint64)
@@ -371,10 +364,11 @@ def _equal(a: str, i: int, b: str, j: int) -> int:
 
 def _met(entries: DataFrame) -> DataFrame:
     """Entries of buckets with an indexed line and another one, with the first indexed line and the number of lines."""
+    many = entries.groupBy("key").agg(F.count(F.lit(1)).alias("lines"), F.bool_or("indexed").alias("any"))
+    met = tables.stored(entries.join(many.where("lines > 1 AND any").select("key"), "key").distinct(), "line-buckets")
     leader = F.min(F.when(F.col("indexed"), F.col("id")))
-    held = entries.groupBy("key").agg(leader.alias("leader"), F.count(F.lit(1)).alias("lines"), F.min("id").alias("low"), F.max("id").alias("high"))
-    held = held.where("leader IS NOT NULL AND low <> high").select("key", "leader", "lines")
-    return tables.stored(entries.join(held, "key"), "line-buckets")
+    held = met.groupBy("key").agg(leader.alias("leader"), F.count(F.lit(1)).alias("lines"), F.min("id").alias("low"), F.max("id").alias("high"))
+    return met.join(held.where("low <> high").select("key", "leader", "lines"), "key")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, threshold: int) -> DataFrame:

@@ -35,10 +35,25 @@ def mix(h: np.ndarray) -> np.ndarray:
 _BYTE = mix(np.arange(1, 257, dtype=np.uint64) * _BASE)[LOWER]
 
 
-def powers(n: int) -> np.ndarray:
-    out = np.full(max(n, 1), _BASE)
-    out[0] = 1
-    return np.multiply.accumulate(out)
+_POWERS: dict[int, np.ndarray] = {}
+
+
+def powers(n: int, base: int = int(_BASE)) -> np.ndarray:
+    """base to the power 0, 1, ..., modulo two to the power 64; kept for the next call, up to a bound."""
+    n = max(n, 1)
+    known = _POWERS.get(base)
+    if known is None or len(known) < n:
+        known = np.full(max(n, 1 << 16), np.uint64(base))
+        known[0] = 1
+        np.multiply.accumulate(known, out=known)
+        if len(known) <= 1 << 23:
+            _POWERS[base] = known
+    return known[:n]
+
+
+def inverse_powers(n: int) -> np.ndarray:
+    """The inverses of ``powers``."""
+    return powers(n, pow(int(_BASE), -1, 1 << 64))
 
 
 @dataclass
