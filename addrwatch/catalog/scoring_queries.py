@@ -11,7 +11,7 @@ from addrwatch.catalog.fixed_model import FIXED
 from addrwatch.catalog.registry import query
 from addrwatch.catalog.sql import terms, with_
 from addrwatch.functions import dates, labels, numeric
-from addrwatch.operators import additive, features, lookups, requests as checks, runs
+from addrwatch.operators import additive, evaluate, features, lookups, requests as checks, runs
 from addrwatch.operators.prep import split_data
 from addrwatch.operators.stats import fit_stats
 from addrwatch.plans import serving, training
@@ -200,36 +200,46 @@ def m5(spark, sf):
         views.lookups(spark, sf), views.pred(spark, sf), raw, fitted_stats(spark, sf), FIXED)
 
 
-def _split_table(spark, sf):
+def _split_table(spark, sf, weight=None):
     """Second-pass rows of the training split, stored once for the optimiser."""
     work = scratch_dir(spark, "train")
-    split_data(second_pass(spark, sf)).filter(F.col("split") == "train").drop("split").write.parquet(work)
+    rows = split_data(second_pass(spark, sf)).filter(F.col("split") == "train").drop("split")
+    rows.withColumn("weight", F.col("weight") if weight is None else weight).write.parquet(work)
     return spark.read.parquet(work)
 
 
-def _term_summary(spark, train, model):
-    """Each term's range of scores over the training rows."""
-    scored = additive.explain(train, model)
-    names = model.term_names
-    wide = scored.agg(*[F.struct(
-        F.round(F.min(F.col("terms")[n]), 3).alias("lowest"), F.round(F.max(F.col("terms")[n]), 3).alias("highest"),
-    ).alias(n) for n in names])
-    return wide.unpivot([], [F.col(f"`{n}`") for n in names], "term", "range").select(
-        "term", "range.lowest", "range.highest")
+def _fit_summary(rows, model):
+    """Rows, positives, terms, and whether the mean score is the share of positives,
+    over all rows and over those without a weight."""
+    gap = F.abs(F.avg("probability") - F.avg(config.TARGET))
+    bare = F.col("weight").isNull()
+    without = F.abs(F.avg(F.when(bare, F.col("probability"))) - F.avg(F.when(bare, F.col(config.TARGET))))
+    return additive.explain(rows, model).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col(config.TARGET).cast("bigint")).alias("positives"),
+        F.lit(len(model.terms)).alias("terms"), F.count_if(bare).alias("without_weight"),
+        (gap < 0.005).alias("calibrated"), (F.coalesce(without, F.lit(0.0)) < 0.005).alias("calibrated_without_weight"))
 
 
-@query("m1_fit_additive")
+def _fit_sql(terms_, without):
+    return with_("sampled", f"""
+SELECT count(*) AS n, CAST(sum(is_ransomware) AS BIGINT) AS positives, {terms_} AS terms, {without} AS without_weight,
+  true AS calibrated, true AS calibrated_without_weight FROM sampled WHERE split = 'train'""")
+
+
+@query("m1_fit_additive", _fit_sql(16, "CAST(0 AS BIGINT)"))
 def m1(spark, sf):
     train = _split_table(spark, sf)
-    return _term_summary(spark, train, additive.fit_additive(train, features.SECOND_PASS_COLS))
+    return _fit_summary(train, additive.fit_additive(train, features.SECOND_PASS_COLS))
 
 
-@query("m6_pair_terms")
+@query("m6_pair_terms", _fit_sql(18, "count(*) FILTER (CAST(address AS BIGINT) % 10 = 0)"))
 def m6(spark, sf):
-    train = _split_table(spark, sf)
-    model = additive.fit_additive(
-        train, ["length", "log_income", "weight"], pairs=[("log_income", "weight")])
-    return _term_summary(spark, train, model)
+    """Two pairs of the trainer's choice; every tenth address has no weight."""
+    train = _split_table(spark, sf, F.when(F.col("address").cast("bigint") % 10 != 0, F.col("weight")))
+    names = features.SECOND_PASS_COLS
+    pairs = additive.strongest_pairs(train, additive.fit_additive(train, names), names, 1)
+    pairs = list(dict.fromkeys([*pairs, ("length", "weight"), ("log_income", "weight")]))[:2]
+    return _fit_summary(train, additive.fit_additive(train, names, pairs=pairs))
 
 
 # ---------------------------------------------------------------------- runs
@@ -256,29 +266,48 @@ def _stored_activity(spark, sf):
 
 
 
-@query("c5_train_and_evaluate")
+def _judged(metrics):
+    """Test rows of each class, which the split fixes, and whether the accuracy adds up."""
+    n = F.col("tp") + F.col("fn") + F.col("fp") + F.col("tn")
+    return metrics.select(
+        "run_name", (F.col("tp") + F.col("fn")).cast("bigint").alias("positives"),
+        (F.col("fp") + F.col("tn")).cast("bigint").alias("negatives"),
+        (F.abs(F.col("accuracy") - (F.col("tp") + F.col("tn")) / n) < 1e-9).alias("accuracy_adds_up"))
+
+
+def _judged_sql(names):
+    return with_("sampled", f"""
+SELECT 'addrwatch_' || s AS run_name, count(*) FILTER (is_ransomware = 1) AS positives,
+  count(*) FILTER (is_ransomware = 0) AS negatives, true AS accuracy_adds_up
+FROM sampled, (VALUES {', '.join(f"('{n}')" for n in names)}) v(s) WHERE split = 'test' GROUP BY s""")
+
+
+@query("c5_train_and_evaluate", _judged_sql(["feature_eng_2"]))
 def c5(spark, sf):
     out = scratch_dir(spark, "training")
     stage = tables.write_stage(features.transform(views.labelled(spark, sf)), f"{out}/stage")
     training.train_and_evaluate(spark, stage, "feature_eng_2", out)
-    return training.stage_metrics(tables.read_runs(spark, f"{out}/runs"))
+    return _judged(training.stage_metrics(tables.read_runs(spark, f"{out}/runs")))
 
 
-@query("s12_log_run")
+@query("s12_log_run", with_("pred", """
+SELECT 'r1' AS run_id, 'addrwatch_baseline' AS run_name, 'FINISHED' AS status, metric, CAST(value AS DOUBLE) AS value FROM (
+  SELECT count(*) FILTER (y = 1 AND prediction = 1) AS tp, count(*) FILTER (y = 1 AND prediction = 0) AS fn,
+    count(*) FILTER (y = 0 AND prediction = 1) AS fp, count(*) FILTER (y = 0 AND prediction = 0) AS tn FROM pred)
+UNPIVOT (value FOR metric IN (tp, fn, fp, tn))"""))
 def s12(spark, sf):
-    """The logged run itself: parameters and importance entries per run."""
-    out = scratch_dir(spark, "training")
-    stage = tables.write_stage(views.labelled(spark, sf), f"{out}/stage")
-    training.train_and_evaluate(spark, stage, "baseline", out)
-    return tables.read_runs(spark, f"{out}/runs").select(
-        "run_name", "status", F.explode("feature_info").alias("list", "entries")).select(
-        "run_name", "status", "list", F.explode("entries").alias("term", "mean_value"))
+    """A run logged with the counts of the given predictions, read back."""
+    path = scratch_dir(spark, "runs")
+    found = evaluate.evaluate(views.pred(spark, sf), 0.5, y="y", score="confidence").drop("accuracy").first().asDict()
+    tables.log_run(spark, path, "r1", "addrwatch_baseline", {"data_path": sf}, found)
+    return tables.read_runs(spark, path).select(
+        "run_id", "run_name", "status", F.explode("metrics").alias("metric", "value"))
 
 
-@query("c6_compare_stages")
+@query("c6_compare_stages", _judged_sql(["baseline", "feature_eng_1", "feature_eng_2"]))
 def c6(spark, sf):
     out = scratch_dir(spark, "training")
-    return training.compare_stages(spark, _stored_activity(spark, sf), out, FIRST_DAY)
+    return _judged(training.compare_stages(spark, _stored_activity(spark, sf), out, FIRST_DAY))
 
 
 _SERVED = """
@@ -302,8 +331,11 @@ def served_columns(predictions):
 
 @query("c7_serve_batch", SERVED_SQL)
 def c7(spark, sf):
+    """The older run is the better one; the newer one's statistics must not be used."""
     out = scratch_dir(spark, "serving")
-    tables.save_stats(fitted_stats(spark, sf), f"{out}/stats")
-    tables.save_model(spark, FIXED, f"{out}/models/chosen")
-    tables.log_run(spark, f"{out}/runs", "chosen", "addrwatch_feature_eng_2", {}, {"fn": 1.0})
-    return served_columns(serving.serve_batch(spark, views.requests(spark, sf), out, f"{out}/stats"))
+    stats = fitted_stats(spark, sf)
+    for run_id, fn, shift in (("older", 1.0, 0.0), ("newer", 5.0, 1.0)):
+        tables.save_model(spark, FIXED, f"{out}/models/{run_id}")
+        tables.save_stats(stats.withColumn("mean", F.col("mean") + shift), f"{out}/models/{run_id}/stats")
+        tables.log_run(spark, f"{out}/runs", run_id, "addrwatch_feature_eng_2", {}, {"fn": fn})
+    return served_columns(serving.serve_batch(spark, views.requests(spark, sf), out))

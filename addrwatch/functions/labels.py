@@ -23,12 +23,12 @@ def apply_threshold(probability: Column, threshold: float | Column) -> Column:
 
 
 def outcome_class(y: Column, prediction: Column) -> Column:
-    """tp, fn, fp or tn."""
+    """tp, fn, fp or tn; null where the label or the prediction is missing."""
     return (
         F.when((y == 1) & (prediction == 1), "tp")
         .when((y == 1) & (prediction == 0), "fn")
         .when((y == 0) & (prediction == 1), "fp")
-        .otherwise("tn")
+        .when((y == 0) & (prediction == 0), "tn")
     )
 
 

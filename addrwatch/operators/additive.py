@@ -75,7 +75,7 @@ def pair_name(*features: str) -> str:
 
 def _trained(model: AdditiveModel | None) -> AdditiveModel:
     if model is None or not model.terms:
-        raise RuntimeError("Model is not trained yet.")
+        raise RuntimeError("A model that was not trained has no scores.")
     return model
 
 
@@ -128,7 +128,11 @@ def fit_additive(
         for a, b in pairs:
             out = f"_pair_{a}_{b}"
             frame = pair_terms(frame, f"_coarse_{a}", f"_coarse_{b}", pair_bins, out)
-            slots.append(((a, b), [inner[a], inner[b]], out, (pair_bins + 1) ** 2))
+            # Rows with a missing side share one slot of their own.
+            whole = (pair_bins + 1) ** 2
+            missing = F.isnan(a) | F.isnan(b)
+            frame = frame.withColumn(out, F.when(missing, F.lit(float(whole))).otherwise(F.col(out)))
+            slots.append(((a, b), [inner[a], inner[b]], out, whole + 1))
     ids = [slot[2] for slot in slots]
     # A known number of categories per column keeps the encoder from depending on
     # which bins happen to occur.
@@ -157,9 +161,37 @@ def fit_additive(
 
 
 def _pair_scores(part: list[float], bounds: list[list[float]], pair_bins: int) -> list[float]:
-    """Scores of the crossed bins that exist, then 0 for a missing side."""
+    """Scores of the crossed bins that exist, then the one for a missing side."""
     rows, cols = (len(b) + 1 for b in bounds)
-    return [part[i * (pair_bins + 1) + j] for i in range(rows) for j in range(cols)] + [0.0]
+    return [part[i * (pair_bins + 1) + j] for i in range(rows) for j in range(cols)] + [part[-1]]
+
+
+def strongest_pairs(
+    df: DataFrame,
+    model: AdditiveModel,
+    features: Sequence[str],
+    k: int,
+    target: str = config.TARGET,
+    bins: int = 4,
+) -> list[tuple[str, str]]:
+    """The k pairs of features whose crossed bins explain most of what a model leaves.
+
+    Every pair's cells are summed in one aggregation; a cell's gain is its squared
+    residual sum over its variance. Only a number per pair comes to the driver.
+    """
+    as_double = [F.coalesce(F.col(c).cast("double"), F.lit(float("nan"))).alias(c) for c in features]
+    scored = explain(df, model).select(
+        *as_double, (F.col(target) - F.col("probability")).alias("_rest"),
+        (F.col("probability") * (1 - F.col("probability"))).alias("_spread"))
+    frame, _ = _binned(scored, features, bins, "_bin_")
+    cells = F.array(*[
+        F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), (F.col(f"_bin_{a}") * (bins + 1) + F.col(f"_bin_{b}")).alias("cell"))
+        for i, a in enumerate(features) for b in features[i + 1:]
+    ])
+    sums = frame.select("_rest", "_spread", F.inline(cells)).groupBy("a", "b", "cell").agg(
+        F.sum("_rest").alias("rest"), F.sum("_spread").alias("spread"))
+    gains = sums.groupBy("a", "b").agg(F.sum(F.col("rest") ** 2 / (F.col("spread") + 1.0)).alias("gain"))
+    return [(r["a"], r["b"]) for r in gains.orderBy(F.desc("gain"), "a", "b").limit(k).collect()]
 
 
 def term_scores(df: DataFrame, model: AdditiveModel) -> DataFrame:

@@ -22,11 +22,12 @@ def with_outcome(df: DataFrame, y: str = config.TARGET) -> DataFrame:
 def evaluate(
     df: DataFrame, threshold: float | Column, y: str = config.TARGET, score: str = "probability"
 ) -> DataFrame:
-    """``(accuracy, tp, fn, fp, tn)``; the four counts exist whichever classes occur."""
+    """``(accuracy, tp, fn, fp, tn)``; the four counts exist whichever classes occur.
+    Rows without a label or a score have no outcome and count nowhere."""
     classed = with_outcome(with_prediction(df.select(y, score), threshold, score), y)
     counts = classed.agg(
         *[F.count_if(F.col("outcome") == name).alias(name) for name in ("tp", "fn", "fp", "tn")],
-        F.count(F.lit(1)).alias("_rows"),
+        F.count("outcome").alias("_rows"),
     )
     accuracy = F.try_divide(F.col("tp") + F.col("tn"), F.col("_rows"))
     return counts.select(accuracy.alias("accuracy"), "tp", "fn", "fp", "tn")

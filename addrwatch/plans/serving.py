@@ -47,13 +47,13 @@ def telemetry_text(records: DataFrame) -> DataFrame:
     return records.withColumn("timestamp", dates.telemetry_time(F.col("timestamp")))
 
 
-def serve_batch(spark: SparkSession, requests: DataFrame, out: str, stats_path: str) -> DataFrame:
-    """Score with the model of the best finished run below ``out``."""
+def serve_batch(spark: SparkSession, requests: DataFrame, out: str) -> DataFrame:
+    """Score with model and statistics of the best finished run below ``out``."""
     chosen = best_run(tables.read_runs(spark, f"{out}/runs")).first()
     if chosen is None:
-        raise RuntimeError("Model is not trained yet.")
-    model = tables.load_model(spark, f"{out}/models/{chosen['run_id']}")
-    return score(requests, tables.load_stats(spark, stats_path), model)
+        raise RuntimeError("A model that was not trained has no scores.")
+    path = f"{out}/models/{chosen['run_id']}"
+    return score(requests, tables.load_stats(spark, f"{path}/stats"), tables.load_model(spark, path))
 
 
 def explain_request(

@@ -97,3 +97,9 @@ def test_running_totals_with_hot_order_value(spark, buckets, descending):
         total += v
         want[i] = (total, n)
     assert got == want
+
+
+def test_rows_without_label_or_score_count_nowhere(spark):
+    rows = spark.createDataFrame([(1, .9), (None, .9), (1, None), (0, .1), (0, .9)], "is_ransomware int, probability double")
+    found = evaluate.evaluate(rows, .5).first().asDict()
+    assert found == {"accuracy": pytest.approx(2 / 3), "tp": 1, "fn": 0, "fp": 1, "tn": 1}

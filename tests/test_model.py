@@ -82,3 +82,21 @@ def test_attribution_map(spark):
 
 def test_fixed_lists():
     assert config.RAW_FEATURES == ["length", "weight", "count", "looped", "neighbors", "income"]
+
+
+def test_missing_side_of_a_pair_is_fitted_and_an_unnamed_pair_is_found(spark):
+    rng = random.Random(5)
+    data = []
+    for _ in range(4000):
+        a, b, c = (rng.random() for _ in range(3))
+        gone = rng.random() < .2
+        y = int(rng.random() < (.9 if gone else .85 if (a > .5) != (b > .5) else .15))
+        data.append((None if gone else a, b, c, y))
+    rows = spark.createDataFrame(data, "a double, b double, c double, is_ransomware int").cache()
+    plain = additive.fit_additive(rows, ["a", "b", "c"])
+    assert additive.strongest_pairs(rows, plain, ["a", "b", "c"], 1) == [("a", "b")]
+    paired = additive.fit_additive(rows, ["a", "b", "c"], pairs=[("a", "b")])
+    bare = additive.explain(rows, paired).filter("a IS NULL")
+    got = bare.agg(F.avg("probability").alias("p"), F.avg("is_ransomware").alias("y")).first()
+    assert abs(got["p"] - got["y"]) < .01
+    assert auc(additive.explain(rows, paired)) > auc(additive.explain(rows, plain)) + .1

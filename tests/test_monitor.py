@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from addrwatch import config
 from addrwatch.functions import dates, labels
+from addrwatch.plans import monitoring
 from addrwatch.operators import alerts, drift, monitor, rates, requests as checks
 
 T0 = datetime(2024, 1, 1)
@@ -144,3 +145,31 @@ def test_low_gauge_rule(spark):
 def test_every_rule_is_known():
     assert len(config.ALERT_RULES) == 10
     assert all(r.hold == 60 and r.step == 15 for r in config.ALERT_RULES)
+
+
+def test_samples_after_the_end_are_left_out(spark):
+    rows = [(at(15), "a", 1.0), (at(75), "a", 9.0), (at(80), "b", 9.0)]
+    samples = spark.createDataFrame(rows, "ts timestamp_ntz, name string, value double")
+    got = sorted((r["name"], int((r["tick"] - T0).total_seconds()), r["value"])
+                 for r in alerts.gauge_ticks(samples, ["name"], until=F.lit(at(45))).collect())
+    assert got == [("a", 15, 1.0), ("a", 30, 1.0), ("a", 45, 1.0)]
+
+
+def test_all_rules_run_over_their_metrics(spark):
+    flat = {"job": "j", "instance": "i", "quality_rule": "q", "target": "t"}
+    names = {r.metric: r.by for r in config.ALERT_RULES}
+
+    def ticks(metric, value, **labels):
+        by = names[metric]
+        rows = [(at(15 * k), *[labels.get(b, flat.get(b, "x")) for b in by], value) for k in range(8)]
+        return spark.createDataFrame(rows, f"tick timestamp_ntz, {''.join(f'{b} string, ' for b in by)}value double")
+
+    quiet = {m: ticks(m, 60.0 if m == "hit_rate" else 0.0) for m in names}
+    benign = quiet | {"predictions": ticks("predictions", 9.0, label=config.BENIGN_LABEL),
+                      "risk_levels": ticks("risk_levels", 9.0, confidence_level=config.LOW_RISK)}
+    assert monitoring.alert_states(benign).filter("state <> 'inactive'").isEmpty()
+    loud = {m: ticks(m, 1e10 if m != "hit_rate" else 1.0, label=config.POSITIVE_LABEL, confidence_level=config.VERY_HIGH_RISK[1]) for m in names}
+    active = {r["tick"]: r["n"] for r in alerts.active_alerts(monitoring.alert_states(loud)).collect()}
+    assert active == {at(15 * k): 10 for k in range(4, 8)}
+    with pytest.raises(ValueError):
+        monitoring.alert_states({"psi": quiet["psi"]})

@@ -2,7 +2,8 @@ from __future__ import annotations
 
 import glob
 import json
-from datetime import datetime
+import os
+from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -99,3 +100,18 @@ def test_training_writes_everything_down(spark, sf, tmp_path):
     assert repr(model.threshold) == logged["params"]["optimized_threshold"]
     base = {r["value"]: r["n"] for r in tables.load_baseline(spark, f"{out}/training_baseline").collect()}
     assert base[True] > 0 and base[False] > 0
+
+
+def test_scratch_of_a_training_is_deleted_and_results_are_those_of_the_call(spark, sf, tmp_path):
+    out = str(tmp_path / "out")
+    activity.write_activity(views.tx(spark, sf), str(tmp_path / "activity"))
+    shared = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(shared))
+    for _ in range(2):
+        found = training.compare_stages(spark, str(tmp_path / "activity"), out, date(1990, 1, 1), bins=3).collect()
+        assert sorted(r["run_name"] for r in found) == [f"addrwatch_{s}" for s in sorted(config.STAGE_SUFFIXES)]
+    assert set(os.listdir(shared)) == before
+    runs = tables.read_runs(spark, f"{out}/runs").collect()
+    assert len(runs) == 6
+    for r in runs:
+        assert tables.load_stats(spark, f"{out}/models/{r['run_id']}/stats").count() == 5

@@ -91,7 +91,7 @@ def test_stream_rates_equal_batch(spark, tmp_path, only_bad):
 
 def test_alert_stream_equals_batch(spark, tmp_path):
     folder = write_batches(spark, tmp_path, EVENTS, *events())
-    rule = dataclasses.replace(config.rule("HighRansomwarePredictionRate"), window=60, threshold=.22)
+    rule = dataclasses.replace(config.rule("HighRansomwarePredictionRate"), window=60, threshold=.22, where=())
     got = run(spark, windows.alert_stream(stream_of(spark, folder, EVENTS), rule, "30 seconds"), tmp_path)
     counted = rates.sliding_rate(spark.read.parquet(folder), 60, 15, ["label"])
     want = alerts.alerts(alerts.rate_ticks(counted, ["label"]), rule).filter(F.col("tick") <= at(870))
@@ -107,8 +107,31 @@ def test_gauge_alert_stream(spark, tmp_path):
     folder = write_batches(spark, tmp_path, schema, first, second)
     stream = windows.gauge_alert_stream(stream_of(spark, folder, schema), config.rule("ModelLoadingFailure"), "10 seconds")
     got = {int((r["tick"] - T0).total_seconds()): r["state"] for r in run(spark, stream, tmp_path).collect()}
-    assert got[30] == "inactive" and got[45] == "pending" and got[90] == "pending"
-    assert got[105] == "firing" and got[150] == "firing" and got[165] == "inactive"
+    assert got[15] == "inactive" and got[30] == "pending" and got[75] == "pending"
+    assert got[90] == "firing" and got[135] == "firing" and got[150] == "inactive"
+
+
+def test_a_gauge_sampled_once_a_minute_fires_as_in_a_table(spark, tmp_path):
+    schema = "ts timestamp, target string, value double, n int"
+    first = [(at(60 * m + 7), "t", .5 if m > 2 else 0.0, 1) for m in range(8)]
+    second = [(at(60 * m + 7), "t", .5, 1) for m in range(8, 12)] + [(at(667), "t", 0.0, 2), (at(1200), "t", 0.0, 1)]
+    folder = write_batches(spark, tmp_path, schema, first, second)
+    rule = config.rule("HighPSIDrift")
+    stream = windows.gauge_alert_stream(stream_of(spark, folder, schema), rule, "10 seconds", tie="n")
+    got = {r["tick"]: r["state"] for r in run(spark, stream, tmp_path).collect()}
+    ticks = alerts.gauge_ticks(spark.read.schema(schema).parquet(folder), ["target"], tie="n", until=F.lit(at(1190)))
+    want = {r["tick"]: r["state"] for r in alerts.alerts(ticks, rule).collect() if r["tick"] <= at(667 + 300)}
+    assert {k: v for k, v in got.items() if k <= at(667 + 300)} == want
+    firing = sorted(int((k - T0).total_seconds()) for k, v in got.items() if v == "firing")
+    assert firing[0] == 255 and firing[-1] == 660  # true from 195 on; of two samples at 667 the later one counts
+
+
+def test_alert_streams_watch_their_series_only(spark, tmp_path):
+    schema = "ts timestamp, label string"
+    benign = [(at(s), config.BENIGN_LABEL) for s in range(0, 600)]
+    folder = write_batches(spark, tmp_path, schema, benign, [(at(1200), config.BENIGN_LABEL)])
+    rule = dataclasses.replace(config.rule("HighRansomwarePredictionRate"), window=60)
+    assert run(spark, windows.alert_stream(stream_of(spark, folder, schema), rule, "30 seconds"), tmp_path).isEmpty()
 
 
 def test_drift_stream_follows_the_latest(spark, tmp_path):
