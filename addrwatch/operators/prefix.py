@@ -41,8 +41,8 @@ def running_totals(
 ) -> DataFrame:
     """Add ``name``: the total of its column over all rows up to this one.
 
-    Rows are ordered by the number ``order`` (exact as a double, never null), then
-    by the number ``tie``. The order is cut at its quantiles into ``buckets``
+    Rows are ordered by the number ``order`` (exact as a double), then by the number
+    ``tie``; rows without an order, null or NaN, are left out. The order is cut at its quantiles into ``buckets``
     ranges; each range is summed, the few range sums give every range its offset,
     and a window runs inside each range only. A single hot ``order`` value has a
     range of its own, cut once more by ``tie``. The cut points come first, from
@@ -52,6 +52,7 @@ def running_totals(
     """
     sign = -1.0 if descending else 1.0
     df = df.withColumn("_order", order.cast("double") * F.lit(sign) + F.lit(0.0))
+    df = df.filter(F.col("_order").isNotNull() & ~F.isnan("_order"))
     cuts, hot = _cuts(df.select("_order"), "_order", buckets)
     df = _bucket(df, "_order", cuts, "_range")
     within = ["_order"]

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable, Iterator
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -10,19 +12,20 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from addrwatch.functions.dates import from_micros, micros
+from addrwatch.session import ship_package
 
-_OUTPUT = "lookup_id bigint, request_id string, at bigint, hit boolean"
+_OUTPUT = "lookup_id {kind}, request_id string, at bigint, hit boolean"
 _STATE = "ids string, made binary"
 
 
-def _serve(key: tuple, parts: Iterable[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+def _serve(key: tuple, parts: Iterable[pd.DataFrame], state: GroupState, keep: int | None) -> Iterator[pd.DataFrame]:
     """One group of request ids in one trigger; each open prediction serves one look-up."""
     whole = pd.concat(list(parts), ignore_index=True)
     given, asked = whole[whole["made"]], whole[~whole["made"]]
     ids, made = given["request_id"].to_numpy(dtype=str), given["at"].to_numpy()
     if state.exists:
         old_ids, old_made = state.get
-        ids = np.concatenate([ids, np.array(old_ids.split("\n"))])
+        ids = np.concatenate([ids, np.array(json.loads(old_ids), dtype=str)])
         made = np.concatenate([made, np.frombuffer(old_made, dtype=np.int64)])
     order = np.argsort(ids)
     ids, made = ids[order], made[order]
@@ -41,33 +44,43 @@ def _serve(key: tuple, parts: Iterable[pd.DataFrame], state: GroupState) -> Iter
         yield pd.DataFrame({
             "lookup_id": asked["lookup_id"].to_numpy(), "request_id": wanted, "at": at, "hit": hit,
         })
+    if keep is not None and len(whole):
+        used |= made < whole["at"].max() - keep
     if len(given) or used.any():
         if used.all():
             if state.exists:
                 state.remove()
         else:
-            state.update(("\n".join(ids[~used]), made[~used].tobytes()))
+            state.update((json.dumps(ids[~used].tolist()), made[~used].tobytes()))
 
 
-def explain_stream(lookups: DataFrame, predictions: DataFrame, groups: int = 4096) -> DataFrame:
+def explain_stream(
+    lookups: DataFrame, predictions: DataFrame, groups: int = 4096, keep: int | None = None
+) -> DataFrame:
     """``(lookup_id, request_id, ts, hit)`` of a stream of look-ups.
 
-    A prediction stays in state until a look-up takes it. Look-ups are served
-    trigger by trigger, in time order within one. Ids are kept in ``groups`` groups
-    by hash, so that a Python call serves many of them at once; more groups mean
-    smaller pieces of state. A group sees one trigger's rows, so the source's files
-    or offsets per trigger bound what it holds, also for an id asked very often.
+    A prediction stays in state until a look-up takes it, or until its group sees an
+    event more than ``keep`` seconds later. Look-ups are served trigger by trigger,
+    in time order within one. Ids are kept in ``groups`` groups by hash, so that a
+    Python call serves many of them at once; more groups mean smaller pieces of
+    state. A group sees one trigger's rows, so the source's files or offsets per
+    trigger bound what it holds, also for an id asked very often. A look-up without
+    an id is a miss; a prediction without one is never asked for.
     """
+    ship_package(lookups.sparkSession)
     kind = lookups.schema["request_id"].dataType
-    asked = lookups.select("request_id", "ts", F.col("lookup_id").cast("bigint"), F.lit(False).alias("made"))
-    given = predictions.select("request_id", "ts", F.lit(0).cast("bigint").alias("lookup_id"), F.lit(True).alias("made"))
-    both = asked.unionByName(given).select(
+    number = dict(lookups.dtypes)["lookup_id"] in ("tinyint", "smallint", "int", "bigint")
+    name, own = ("bigint", F.lit(0)) if number else ("string", F.lit(""))
+    asked = lookups.select("request_id", "ts", F.col("lookup_id").cast(name), F.lit(False).alias("made"))
+    given = predictions.select("request_id", "ts", own.cast(name).alias("lookup_id"), F.lit(True).alias("made"))
+    both = asked.unionByName(given).filter(F.col("request_id").isNotNull()).select(
         F.pmod(F.xxhash64("request_id"), F.lit(groups)).alias("group"),
         F.col("request_id").cast("string"), "lookup_id", "made", micros(F.col("ts")).alias("at"),
     )
+    limit = None if keep is None else keep * 1_000_000
     served = both.groupBy("group").applyInPandasWithState(
-        _serve, _OUTPUT, _STATE, "append", GroupStateTimeout.NoTimeout
-    )
-    return served.select(
-        "lookup_id", F.col("request_id").cast(kind), from_micros(F.col("at")).alias("ts"), "hit"
-    )
+        partial(_serve, keep=limit), _OUTPUT.format(kind=name), _STATE, "append", GroupStateTimeout.NoTimeout
+    ).select("lookup_id", F.col("request_id").cast(kind), from_micros(F.col("at")).alias("ts"), "hit")
+    bare = asked.filter(F.col("request_id").isNull()).select(
+        "lookup_id", "request_id", from_micros(micros(F.col("ts"))).alias("ts"), F.lit(False).alias("hit"))
+    return served.unionByName(bare)

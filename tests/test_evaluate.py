@@ -103,3 +103,9 @@ def test_rows_without_label_or_score_count_nowhere(spark):
     rows = spark.createDataFrame([(1, .9), (None, .9), (1, None), (0, .1), (0, .9)], "is_ransomware int, probability double")
     found = evaluate.evaluate(rows, .5).first().asDict()
     assert found == {"accuracy": pytest.approx(2 / 3), "tp": 1, "fn": 0, "fp": 1, "tn": 1}
+
+
+def test_rows_without_an_order_are_left_out_of_running_totals(spark):
+    rows = spark.createDataFrame([(2.0, 1), (None, 5), (float("nan"), 7), (1.0, 3)], "at double, n int")
+    got = running_totals(rows, F.col("at"), {"total": F.col("n")}).select("at", "total").collect()
+    assert sorted(map(tuple, got)) == [(1.0, 3), (2.0, 4)]

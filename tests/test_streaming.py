@@ -179,3 +179,28 @@ def test_telemetry_stream_appends(spark, tmp_path):
         tables.append_telemetry(records, path, str(tmp_path / "cp")).awaitTermination()
     rows = tables.read_telemetry(spark, path).orderBy("timestamp").collect()
     assert [(r["is_ransomware"], r["confidence"]) for r in rows] == [(True, .9), (False, .1)]
+
+
+def test_lookup_stream_with_odd_ids_and_a_limit(spark, tmp_path):
+    schema = "kind string, lookup_id string, request_id string, ts timestamp"
+    first = [("p", None, None, at(0)), ("p", None, "a\nb", at(0)), ("p", None, "old", at(0)), ("p", None, "None", at(1)),
+             ("l", "x1", None, at(5)), ("l", "x2", "a\nb", at(6)), ("l", "x3", "a\nb", at(7))]
+    second = [("l", "x4", "old", at(900)), ("l", "x5", "None", at(30)), ("l", "x6", "a", at(30))]
+    folder = write_batches(spark, tmp_path, schema, first, second)
+    stream = stream_of(spark, folder, schema)
+    served = lookups.explain_stream(
+        stream.filter("kind = 'l'").select("lookup_id", "request_id", "ts"),
+        stream.filter("kind = 'p'").select("request_id", "ts"), groups=1)
+    got = {r["lookup_id"]: r["hit"] for r in run(spark, served, tmp_path).collect()}
+    assert got == {"x1": False, "x2": True, "x3": False, "x4": True, "x5": True, "x6": False}
+
+
+def test_open_predictions_expire(spark, tmp_path):
+    schema = "kind string, lookup_id long, request_id string, ts timestamp"
+    folder = write_batches(spark, tmp_path, schema, [("p", None, "a", at(0)), ("p", None, "b", at(500))],
+                           [("p", None, "c", at(700))], [("l", 1, "a", at(710)), ("l", 2, "b", at(710))])
+    stream = stream_of(spark, folder, schema)
+    served = lookups.explain_stream(
+        stream.filter("kind = 'l'").select("lookup_id", "request_id", "ts"),
+        stream.filter("kind = 'p'").select("request_id", "ts"), groups=1, keep=300)
+    assert {r["lookup_id"]: r["hit"] for r in run(spark, served, tmp_path).collect()} == {1: False, 2: True}
