@@ -168,6 +168,10 @@ def dedup_lines(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MI
         raise ValueError("lines must have more code points than edits are allowed")
     ship_package(docs.sparkSession)
     plain = docs.select(*tables.without(docs, *RESULTS))
+    given = plain.columns
+    names = [f"c{i}" for i in range(len(given))]  # so that no input column meets one of this job's own
+    id_col, text_col = (names[given.index(c)] for c in (id_col, text_col))
+    plain = plain.toDF(*names)
     texts, buckets = tables.numbered(plain, "texts")
     own = texts.select("part", "row", F.col(id_col).alias("_doc"), F.col(text_col).alias("text"))
     found = tables.stored(tables.mapped(own, _lines, f"{FOUND}, _doc {dict(own.dtypes)['_doc']}"), "lines")
@@ -186,13 +190,13 @@ def dedup_lines(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MI
               .select("h1", "h2", "chars", F.coalesce("first", "at").alias("first"), F.coalesce("links", F.lit(0)).alias("links")))
     marks = found.join(marked, ["h1", "h2", "chars"]).select(
         "part", "row", "line", (~((F.col("row") == F.col("first.row")) & (F.col("line") == F.col("first.line")))).alias("gone"), "links", "h1")
-    names = plain.columns
 
     def kept(texts: pa.Table, marks: pa.Table) -> pa.Table:
         return _kept(texts, marks, names, text_col)
 
     schema = plain.withColumns({c: F.lit(0).cast("long") for c in RESULTS}).withColumn(text_col, F.col(text_col).cast("string")).schema
-    return texts.groupBy("part").cogroup(marks.repartition(buckets, "part").groupBy("part")).applyInArrow(kept, schema)
+    kept_docs = texts.groupBy("part").cogroup(marks.repartition(buckets, "part").groupBy("part")).applyInArrow(kept, schema)
+    return kept_docs.toDF(*given, *RESULTS)
 
 
 def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

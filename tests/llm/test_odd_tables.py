@@ -34,7 +34,7 @@ def files(spark, docs):
 
 
 OPERATORS = {
-    "packing": lambda s, d: packing.pack(packing.token_pieces(d, public_tokenizers.path("word_bpe_49k.json"), capacity=1 << 17), capacity=1 << 17),
+    "packing": lambda s, d: packing.pack(packing.token_pieces(d, public_tokenizers.path("word_bpe_49k.json"))).where("piece = 0"),
     "files": files,
     "decontamination": lambda s, d: decontamination.contamination(d, s.createDataFrame([("a", "one text"), (None, None)], "item_id string, text string")),
     "lines": lambda s, d: lines.dedup_lines(d),
