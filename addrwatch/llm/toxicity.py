@@ -169,7 +169,8 @@ def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in tables.slices(batch, "text"):
             text = words.read(tables.column(part, "text"))
-            runs = sum((text.hashes[k : len(text.hashes) - 4 + k] * np.uint64(2 * k + 3) for k in range(5)), np.uint64(0))
+            n = max(0, len(text.hashes) - 4)
+            runs = sum((text.hashes[k : k + n] * np.uint64(2 * k + 3) for k in range(5)), np.zeros(n, np.uint64))
             keys = [int(words.mix(runs[a : b - 4]).min() if b - a > 4 else words.mix(text.hashes[a:b].sum(keepdims=True))[0])
                     for a, b in zip(text.first, text.first[1:], strict=False)]
             yield pa.RecordBatch.from_arrays(
