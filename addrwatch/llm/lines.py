@@ -297,7 +297,9 @@ def _links(entries: DataFrame, texts_of, threshold: int) -> DataFrame:
         shell = seen.where("shell").select("key", F.col("id").alias("a"), F.col("component").alias("one"))
         inner = seen.where("inner").select("key", F.col("id").alias("b"), "component")
         close = shell.join(inner, "key").where("one <> component")
-        more = tables.stored(more.unionByName(near.select("a", "b")).unionByName(close.select("a", "b")).distinct(), "line-pairs")
+        # The head need not be a line that the others were verified against before.
+        own = seen.where("inner AND head_component <> component").select(F.col("head").alias("a"), F.col("id").alias("b"))
+        more = tables.stored(more.unionByName(near.select("a", "b")).unionByName(close.select("a", "b")).unionByName(own).distinct(), "line-pairs")
         rest = points.where(F.col("n") > PAIRED).select(F.xxhash64("key", "at").alias("key"), F.col("b").alias("id"), "component")
         mixed = rest.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key")
         large = tables.stored(rest.join(mixed, "key"), "large-buckets")
@@ -312,9 +314,10 @@ def _measured(buckets: DataFrame, texts: DataFrame, threshold: int) -> DataFrame
     one is within the threshold of. Of two lines that aren't inner the one with the shorter common
     beginning is within the threshold of the other only if the other's ends within its reach:
     up to there the other one equals the least line. An inner line is within the threshold of
-    others only if they are inner, and so linked already, or in the shell.
+    others only if they are inner, and so linked through the least line, or in the shell.
     """
-    heads = buckets.groupBy("key").agg(F.min("id").alias("head"))
+    heads = buckets.groupBy("key").agg(F.min(F.struct("id", "component")).alias("x")).select(
+        "key", F.col("x.id").alias("head"), F.col("x.component").alias("head_component"))
     sides = (buckets.join(heads, "key").join(texts, "id")
              .join(texts.select(F.col("id").alias("head"), F.col("line").alias("one")), "head"))
 
@@ -324,12 +327,13 @@ def _measured(buckets: DataFrame, texts: DataFrame, threshold: int) -> DataFrame
                 tables.column(batch, "one").to_pylist(), tables.column(batch, "line").to_pylist(), strict=True)]
             first, reach, distance = (np.array(x, np.int64) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 3
             yield pa.RecordBatch.from_arrays(
-                [*(tables.column(batch, c) for c in ("key", "id", "component")), pa.array(first), pa.array(reach),
+                [*(tables.column(batch, c) for c in given), pa.array(first), pa.array(reach),
                  pa.array(distance <= threshold), pa.array((distance > threshold) & (distance <= 2 * threshold))],
-                ["key", "id", "component", "first", "reach", "inner", "shell"])
+                [*given, "first", "reach", "inner", "shell"])
 
-    return tables.mapped(sides.select("key", "id", "component", "one", "line"), measured,
-                         "key long, id long, component long, first long, reach long, inner boolean, shell boolean")
+    given = ("key", "id", "component", "head", "head_component")
+    return tables.mapped(sides.select(*given, "one", "line"), measured,
+                         "{} long, first long, reach long, inner boolean, shell boolean".format(" long, ".join(given)))
 
 
 def _seen_from(a: str, b: str, threshold: int) -> tuple[int, int, int]:

@@ -104,3 +104,44 @@ def test_repeated_rows_keep_the_lines_once(spark):
     df = spark.createDataFrame([(1, "some line\nother"), (1, "some line\nother"), (None, "some line")], "doc_id long, text string")
     got = sorted((r["doc_id"] or 0, r["text"], r["n_lines"], r["n_removed"]) for r in lines.dedup_lines(df).collect())
     assert got == [(0, "", 1, 1), (1, "", 2, 2), (1, "some line\nother", 2, 0)]
+
+
+COMMON = "a very common beginning "
+
+
+def digits(rng):
+    """Several hundred lines of one length and beginning, in many classes."""
+    pool = set()
+    for _ in range(70):
+        own = [rng.choice("0123456789") for _ in range(9)]
+        for _ in range(7):
+            x = own[:]
+            for k in rng.sample(range(9), rng.choice([1, 2])):
+                x[k] = rng.choice("0123456789")
+            pool.add(COMMON + "".join(x))
+    pool = sorted(pool)
+    rng.shuffle(pool)
+    return pool
+
+
+def linked(pool):
+    """All pairs within two edits; a common beginning changes no distance."""
+    return [(a, b) for a, b in itertools.combinations(pool, 2) if distance(a[len(COMMON):], b[len(COMMON):]) <= 2]
+
+
+def test_classes_of_many_lines_that_differ_in_digits(spark):
+    """The least line of a bucket need not be one that the others were verified against before."""
+    pool = digits(random.Random(1))
+    df = spark.createDataFrame(list(enumerate(pool)), "doc_id long, text string").repartition(7)
+    got = {r["doc_id"]: r["text"] for r in lines.dedup_lines(df).collect()}
+    place = {x: i for i, x in enumerate(pool)}
+    first = list(range(len(pool)))
+    pairs = linked(pool)
+    for _ in pool:
+        before = first[:]
+        for a, b in pairs:
+            first[place[a]] = first[place[b]] = min(first[place[a]], first[place[b]])
+        if first == before:
+            break
+    assert len(set(first)) > 20
+    assert got == {i: x if first[i] == i else "" for i, x in enumerate(pool)}
