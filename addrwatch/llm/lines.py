@@ -6,11 +6,11 @@ So every line goes into an index under (its length, segment number, segment), an
 indexes of its own and slightly smaller lengths with those of its substrings that can match
 in a cheapest alignment. Lines that meet are verified by a banded bit-parallel edit distance.
 
-Within a bucket every line is verified against the first one. If that leaves more than one class of
-linked lines, the others are compared pair by pair in a bucket of at most PAIRED lines. In a larger one,
+Within a bucket of at most PAIRED lines all pairs with an indexed line are verified. In a larger one,
 as a frequent segment makes it, lines are placed by where they begin to differ from the first
 one, and only those are compared that differ in places near enough (``_measured``); many
-lines that begin to differ in one place are a bucket of their own.
+lines that begin to differ in one place are a bucket of their own. Every pair of different lines within the
+threshold is found in the bucket of the least key they share, and counted there once.
 """
 
 from __future__ import annotations
@@ -31,10 +31,15 @@ MIN_CHARS = 20
 PAIRED = 32
 #: Lines that are verified against one line in a task.
 GROUP = 512
+#: Pairs that are verified together, and lines whose keys are compared with one line's together.
+PAIRS, CHUNK = 1 << 16, 1 << 12
+NO_KEY = np.uint64((1 << 64) - 1)
 
 FOUND = "part long, row long, line int, h1 long, h2 long, chars int"
+CLASSES = pa.list_(pa.struct([("line", pa.int32()), ("class_id", pa.int64()), ("links", pa.int64())]))
 ROWS = "id long, key long, indexed boolean"
-RESULTS = ("n_lines", "n_removed", "n_links")
+RESULTS = {"n_lines": "long", "n_removed": "long", "n_links": "long",
+           "line_classes": "array<struct<line: int, class_id: long, links: long>>"}
 
 _CHARS = words.mix(np.arange(1, (1 << 16) + 1, dtype=np.uint64))
 
@@ -159,8 +164,9 @@ def dedup_lines(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MI
     counted. Equal lines are one class, and so are lines of at least ``min_chars`` code points
     connected by edit distances of at most ``threshold``. Of each class the first line stays,
     by identifier, then row, then place; every other one goes, with its line feed. ``n_links`` counts
-    the links found between the document's different lines and other lines; links inside a class that
-    is connected already are not looked for. Null texts stay null
+    all links between the document's different lines and other different lines, each end for itself.
+    ``line_classes`` has (line, class_id, links) of every line, numbered from 0, that is repeated or linked, in
+    their order: ``class_id`` is a hash of the class's first line. Other lines are classes of their own. Null texts stay null
     and have no lines; repeated rows are documents of their own, so the first keeps the
     lines. Input columns named like a result are replaced, all others kept.
     """
@@ -181,20 +187,21 @@ def dedup_lines(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MI
     long = distinct.where(F.col("chars") >= min_chars).select("id", "at.part", "at.row", "at.line")
     entries = tables.stored(_with_lines(texts, text_col, long, buckets, _entries(threshold), ROWS), "line-keys")
     links = _links(entries, lambda wanted: _line_texts(texts, text_col, long.join(wanted, "id"), buckets), threshold)
-    classes = components.connected(links)
-    degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("links"))
-    classed = (distinct.join(classes.withColumnRenamed("node", "id"), "id", "left")
-               .join(degree.withColumnRenamed("node", "id"), "id", "left"))
-    firsts = classed.where("component IS NOT NULL").groupBy("component").agg(F.min("at").alias("first"))
+    classes = components.connected(links.select(F.col("id").alias("a"), F.col("least").alias("b")))
+    degree = links.groupBy("id").agg(F.sum("links").alias("links"))
+    classed = distinct.join(classes.withColumnRenamed("node", "id"), "id", "left").join(degree, "id", "left")
+    firsts = classed.where("component IS NOT NULL").groupBy("component").agg(F.min(F.struct("at", "h1")).alias("first"))
     marked = (classed.join(firsts, "component", "left").where("times > 1 OR links > 0")
-              .select("h1", "h2", "chars", F.coalesce("first", "at").alias("first"), F.coalesce("links", F.lit(0)).alias("links")))
+              .select("h1", "h2", "chars", F.coalesce("first.at", "at").alias("first"), F.coalesce("first.h1", "h1").alias("class_id"),
+                      F.coalesce("links", F.lit(0)).alias("links")))
     marks = found.join(marked, ["h1", "h2", "chars"]).select(
-        "part", "row", "line", (~((F.col("row") == F.col("first.row")) & (F.col("line") == F.col("first.line")))).alias("gone"), "links", "h1")
+        "part", "row", "line", (~((F.col("row") == F.col("first.row")) & (F.col("line") == F.col("first.line")))).alias("gone"),
+        "links", "class_id", "h1", "h2")
 
     def kept(texts: pa.Table, marks: pa.Table) -> pa.Table:
         return _kept(texts, marks, names, text_col)
 
-    schema = plain.withColumns({c: F.lit(0).cast("long") for c in RESULTS}).withColumn(text_col, F.col(text_col).cast("string")).schema
+    schema = plain.withColumns({c: F.lit(None).cast(kind) for c, kind in RESULTS.items()}).withColumn(text_col, F.col(text_col).cast("string")).schema
     kept_docs = texts.groupBy("part").cogroup(marks.repartition(buckets, "part").groupBy("part")).applyInArrow(kept, schema)
     return kept_docs.toDF(*given, *RESULTS)
 
@@ -278,46 +285,44 @@ def _line_texts(texts: DataFrame, text_col: str, wanted: DataFrame, buckets: int
 
 
 def _links(entries: DataFrame, texts_of, threshold: int) -> DataFrame:
-    """Verified links (a, b) that connect all lines within the threshold of each other."""
+    """(id, least, links) of lines within the threshold of others, in several rows each: a line that is
+    linked to it, directly or through others, and a number of its links. They add up to all of its links.
+    """
     met = _met(entries)
     texts = texts_of(met.select("id").distinct())
-    pairs = met.where("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
-    links = tables.stored(_verified(pairs, texts, threshold), "line-links")
-    open_ = _mixed(met, components.connected(links))
-    more = _bucket_pairs(open_.where(F.col("lines") <= PAIRED))
-    large = tables.stored(open_.where(F.col("lines") > PAIRED).select("key", "id", "component").distinct(), "large-buckets")
+    groups = met.where(F.col("lines") <= PAIRED).select(F.col("key").alias("g"), F.col("key").alias("root"), "id", F.lit(0).alias("side"))
+    large = met.where(F.col("lines") > PAIRED).select("key", F.col("key").alias("root"), "id")
     while not large.isEmpty():
         seen = tables.stored(_measured(large, texts, threshold), "measured-lines")
         outer = seen.where("NOT inner")
-        groups = outer.groupBy("key", "first").agg(F.count(F.lit(1)).alias("n"))
-        points = outer.join(groups, ["key", "first"]).select("key", F.col("first").alias("at"), F.col("id").alias("b"), "component", "n")
-        spans = outer.select("key", F.col("id").alias("a"), F.col("component").alias("one"), "first",
-                             F.explode(F.sequence("first", "reach")).alias("at"))
-        near = spans.join(points, ["key", "at"]).where("one <> component AND (first < at OR (n <= {p} AND a < b))".format(p=PAIRED))
-        shell = seen.where("shell").select("key", F.col("id").alias("a"), F.col("component").alias("one"))
-        inner = seen.where("inner").select("key", F.col("id").alias("b"), "component")
-        close = shell.join(inner, "key").where("one <> component")
-        # The head need not be a line that the others were verified against before.
-        own = seen.where("inner AND head_component <> component").select(F.col("head").alias("a"), F.col("id").alias("b"))
-        more = tables.stored(more.unionByName(near.select("a", "b")).unionByName(close.select("a", "b")).unionByName(own).distinct(), "line-pairs")
-        rest = points.where(F.col("n") > PAIRED).select(F.xxhash64("key", "at").alias("key"), F.col("b").alias("id"), "component")
-        mixed = rest.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key")
-        large = tables.stored(rest.join(mixed, "key"), "large-buckets")
-    return tables.stored(links.unionByName(_verified(more, texts, threshold)), "line-links")
+        counts = outer.groupBy("key", "first").agg(F.count(F.lit(1)).alias("n"))
+        points = outer.join(counts, ["key", "first"]).select("key", "root", F.col("first").alias("at"), "id", "n")
+        spans = (outer.where("first < reach")
+                 .select("key", "root", "id", F.explode(F.sequence(F.col("first") + 1, "reach")).alias("at"))
+                 .join(counts.select("key", F.col("first").alias("at")), ["key", "at"], "left_semi"))
+        groups = groups.unionByName(_grouped(seen.where("inner"), "inner", 0)).unionByName(
+            _grouped(seen.where("inner"), "shell", 1)).unionByName(_grouped(seen.where("shell"), "shell", 2)).unionByName(
+            _grouped(points.where(F.col("n") <= PAIRED), "place", 0, "at")).unionByName(
+            _grouped(points, "near", 1, "at")).unionByName(_grouped(spans, "near", 2, "at"))
+        large = tables.stored(points.where(F.col("n") > PAIRED).select(F.xxhash64("key", "at").alias("key"), "root", "id"), "large-buckets")
+    return tables.stored(_compared(tables.stored(groups, "line-groups"), texts, threshold), "line-links")
+
+
+def _grouped(members: DataFrame, kind: str, side: int, *more: str) -> DataFrame:
+    return members.select(F.xxhash64("key", F.lit(kind), *more).alias("g"), "root", "id", F.lit(side).alias("side"))
 
 
 def _measured(buckets: DataFrame, texts: DataFrame, threshold: int) -> DataFrame:
-    """Each line of the buckets (key, id, component) as seen from the bucket's least line.
+    """Each line of the buckets (key, root, id) as seen from the bucket's least line.
 
     ``first``: length of the common beginning; ``inner``: within the threshold; ``shell``: beyond it,
     but within twice the threshold; ``reach``: how much of the least line some beginning of this
     one is within the threshold of. Of two lines that aren't inner the one with the shorter common
     beginning is within the threshold of the other only if the other's ends within its reach:
     up to there the other one equals the least line. An inner line is within the threshold of
-    others only if they are inner, and so linked through the least line, or in the shell.
+    others only if they are inner too or in the shell.
     """
-    heads = buckets.groupBy("key").agg(F.min(F.struct("id", "component")).alias("x")).select(
-        "key", F.col("x.id").alias("head"), F.col("x.component").alias("head_component"))
+    heads = buckets.groupBy("key").agg(F.min("id").alias("head"))
     sides = (buckets.join(heads, "key").join(texts, "id")
              .join(texts.select(F.col("id").alias("head"), F.col("line").alias("one")), "head"))
 
@@ -331,7 +336,7 @@ def _measured(buckets: DataFrame, texts: DataFrame, threshold: int) -> DataFrame
                  pa.array(distance <= threshold), pa.array((distance > threshold) & (distance <= 2 * threshold))],
                 [*given, "first", "reach", "inner", "shell"])
 
-    given = ("key", "id", "component", "head", "head_component")
+    given = ("key", "root", "id")
     return tables.mapped(sides.select(*given, "one", "line"), measured,
                          "{} long, first long, reach long, inner boolean, shell boolean".format(" long, ".join(given)))
 
@@ -371,54 +376,125 @@ def _equal(a: str, i: int, b: str, j: int) -> int:
 
 
 def _met(entries: DataFrame) -> DataFrame:
-    """Entries of buckets with an indexed line and another one, with the first indexed line and the number of lines."""
+    """(key, id, lines) of buckets with an indexed line and another one."""
     many = entries.groupBy("key").agg(F.count(F.lit(1)).alias("lines"), F.bool_or("indexed").alias("any"))
-    met = tables.stored(entries.join(many.where("lines > 1 AND any").select("key"), "key").distinct(), "line-buckets")
-    leader = F.min(F.when(F.col("indexed"), F.col("id")))
-    held = met.groupBy("key").agg(leader.alias("leader"), F.count(F.lit(1)).alias("lines"), F.min("id").alias("low"), F.max("id").alias("high"))
-    return met.join(held.where("low <> high").select("key", "leader", "lines"), "key")
+    met = entries.join(many.where("lines > 1 AND any").select("key"), "key").select("key", "id").distinct()
+    met = tables.stored(met, "line-buckets")
+    held = met.groupBy("key").agg(F.count(F.lit(1)).alias("lines")).where("lines > 1")
+    return met.join(held, "key")
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, threshold: int) -> DataFrame:
-    """Those pairs (a, b) of lines that are within the threshold; a line with many partners is dealt to many tasks."""
-    sizes = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / GROUP).alias("_groups"))
-    dealt = pairs.join(sizes, "a").select("a", F.pmod(F.xxhash64("b"), F.col("_groups")).alias("deal"), F.col("b").alias("id"))
-    heads = dealt.select("a", "deal").distinct().join(texts.select(F.col("id").alias("a"), F.col("line").alias("one")), "a")
-    sides = dealt.join(texts, "id").join(heads, ["a", "deal"]).select("a", F.col("id").alias("b"), "one", "line")
+def _compared(groups: DataFrame, texts: DataFrame, threshold: int) -> DataFrame:
+    """Links in groups (g, root, id, side): between all lines of side 0, and between those of sides 1 and 2.
+
+    Each side is dealt to blocks of about GROUP lines, and each pair of blocks is one task's
+    work (g, i, j), so that a line goes to a task once and not once for each partner. Two lines may share several
+    buckets; they are compared in that of their least key (``root``) only.
+    """
+    n = [F.ceil(F.sum((F.col("side") == k).cast("long")) / GROUP).alias(f"n{k}") for k in range(3)]
+    own = F.count(F.when(F.col("side") == 0, 1))
+    both = F.least(*(F.count(F.when(F.col("side") == k, 1)) for k in (1, 2)))
+    sizes = groups.groupBy("g").agg(*n, own.alias("own"), both.alias("both")).where("own > 1 OR both > 0")
+    sized = groups.join(sizes, "g").where("CASE WHEN side = 0 THEN own > 1 ELSE both > 0 END").withColumn(
+        "block", F.expr("pmod(xxhash64(id), CASE side WHEN 0 THEN n0 WHEN 1 THEN n1 ELSE n2 END)"))
+    dealt = sized.withColumn("other", F.explode(F.expr("sequence(0L, CASE side WHEN 0 THEN n0 WHEN 1 THEN n2 ELSE n1 END - 1)")))
+    dealt = dealt.select(
+        "g", "root", "id", (F.col("side") == 0).alias("own"),
+        F.expr("CASE side WHEN 0 THEN least(block, other) WHEN 1 THEN block ELSE other END").alias("i"),
+        F.expr("CASE side WHEN 0 THEN greatest(block, other) WHEN 1 THEN other ELSE block END").alias("j"),
+        F.expr("CASE WHEN side = 0 THEN int(block > other) ELSE side - 1 END").alias("part"))
+    task = F.xxhash64("g", "own", "i", "j")
+    rows = dealt.select(task.alias("task"), "root", (F.col("own") & (F.col("i") == F.col("j"))).alias("whole"), "part", "id").join(texts, "id")
+    parts = max(12, int(groups.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = None
         for batch in batches:
-            for part in tables.slices(batch, "line"):
-                ok = within(tables.column(part, "one").to_pylist(), tables.column(part, "line").to_pylist(), threshold)
-                at = pa.array(np.flatnonzero(ok))
-                yield pa.RecordBatch.from_arrays([tables.column(part, c).take(at) for c in "ab"], ["a", "b"])
-
-    return tables.mapped(sides, compared, "a long, b long")
-
-
-def _mixed(met: DataFrame, classes: DataFrame) -> DataFrame:
-    """Entries of buckets whose lines are in more than one class so far."""
-    known = met.join(classes.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
-    mixed = known.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
-    return tables.stored(known.join(mixed.select("key"), "key"), "mixed-lines")
-
-
-def _bucket_pairs(buckets: DataFrame) -> DataFrame:
-    """Pairs of lines of different classes, one of them indexed, in buckets of at most PAIRED lines."""
-    lists = buckets.groupBy("key").agg(F.sort_array(F.collect_set(F.struct("id", "component", "indexed"))).alias("x"))
-    one = lists.select("x", F.posexplode("x").alias("i", "one"))
-    two = one.select("one", F.explode(F.slice("x", F.col("i") + 2, PAIRED)).alias("two"))
-    return two.where("one.component <> two.component AND (one.indexed OR two.indexed)").select(
-        F.col("one.id").alias("a"), F.col("two.id").alias("b")).distinct()
+            table = pa.Table.from_batches([batch]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([batch])])
+            at = np.asarray(tables.column_of(table, "task"))
+            done = int(np.searchsorted(at, at[-1])) if len(at) else 0
+            rest = table.slice(done)
+            yield from _pair_links(table.slice(0, done), threshold)
+        if rest is not None:
+            yield from _pair_links(rest, threshold)
+
+    return tables.mapped(rows.repartition(parts, "task").sortWithinPartitions("task"), compared, "id long, least long, links long")
+
+
+def _pair_links(group: pa.Table, threshold: int) -> Iterator[pa.RecordBatch]:
+    """Links of the lines of whole tasks, ordered by task."""
+    task, root, part, ids = (np.asarray(tables.column_of(group, c)) for c in ("task", "root", "part", "id"))
+    whole = np.asarray(tables.column_of(group, "whole").to_pylist(), bool)
+    lines = tables.column_of(group, "line").to_pylist()
+    if not lines:
+        return
+    key, indexed = _key_rows(lines, threshold)
+    root = root.view(np.uint64)
+    least, links = np.arange(len(lines)), np.zeros(len(lines), np.int64)
+    waiting, count = [], 0
+
+    def settle() -> None:
+        nonlocal waiting, count
+        a, b = (np.concatenate(x) for x in zip(*waiting, strict=True))
+        waiting, count = [], 0
+        ok = within([lines[i] for i in a], [lines[i] for i in b], threshold)
+        a, b = a[ok], b[ok]
+        np.add.at(links, a, 1)
+        np.add.at(links, b, 1)
+        while (least[a] != least[b]).any():
+            low = np.minimum(least[a], least[b])
+            np.minimum.at(least, least[a], low)
+            np.minimum.at(least, least[b], low)
+            np.minimum.at(least, a, low)
+            np.minimum.at(least, b, low)
+
+    edges = np.flatnonzero(np.concatenate(([True], task[1:] != task[:-1], [True])))
+    for first, end in zip(edges, edges[1:], strict=False):
+        own = np.arange(first, end)
+        left = own if whole[first] else own[part[own] == 0]
+        right = own if whole[first] else own[part[own] == 1]
+        for a in left:
+            b = right[right > a] if whole[first] else right
+            b = b[(root[b] == root[a]) & (ids[b] != ids[a])]
+            # The least key that both have and under which one of them is indexed.
+            for cut in range(0, len(b), CHUNK):
+                c = b[cut : cut + CHUNK]
+                shared = (key[c][:, :, None] == key[a]) & (indexed[c][:, :, None] | indexed[a])
+                c = c[np.where(shared.any(axis=2), key[c], NO_KEY).min(axis=1) == root[a]]
+                if len(c):
+                    waiting.append((np.full(len(c), a), c))
+                    count += len(c)
+            if count >= PAIRS:
+                settle()
+    if count:
+        settle()
+    at = np.flatnonzero(links)
+    yield pa.RecordBatch.from_arrays([pa.array(ids[at]), pa.array(ids[least[at]]), pa.array(links[at])], ["id", "least", "links"])
+
+
+def _key_rows(lines: list[str], threshold: int) -> tuple[np.ndarray, np.ndarray]:
+    """A row of keys for each line, filled up with NO_KEY, never indexed, and which of them are indexed."""
+    own, key, indexed = keys(*_points(lines), threshold)
+    order = np.argsort(own, kind="stable")
+    own, key, indexed = own[order], key[order], indexed[order]
+    counts = np.bincount(own, minlength=len(lines))
+    at = np.arange(len(own)) - np.repeat(np.cumsum(counts) - counts, counts)
+    keys_of = np.full((len(lines), max(1, int(counts.max()))), NO_KEY)
+    flags = np.zeros(keys_of.shape, bool)
+    keys_of[own, at], flags[own, at] = key, indexed
+    return keys_of, flags
 
 
 def _kept(texts: pa.Table, marks: pa.Table, names: list[str], text_col: str) -> pa.Table:
     gone: dict[int, set[int]] = {}
-    links: dict[int, dict[int, int]] = {}
-    for row, line, out, n, h in zip(*(tables.column_of(marks, c).to_pylist() for c in ("row", "line", "gone", "links", "h1")), strict=True):
+    links: dict[int, dict[tuple[int, int], int]] = {}
+    classes: dict[int, list[dict]] = {}
+    held = ("row", "line", "gone", "links", "class_id", "h1", "h2")
+    for row, line, out, n, own_class, *h in zip(*(tables.column_of(marks, c).to_pylist() for c in held), strict=True):
         if out:
             gone.setdefault(row, set()).add(line)
-        links.setdefault(row, {})[h] = n
+        links.setdefault(row, {})[tuple(h)] = n
+        classes.setdefault(row, []).append({"line": line, "class_id": own_class, "links": n})
     own, n_lines, n_removed = [], [], []
     rows = tables.column_of(texts, "row").to_pylist()
     for row, text in zip(rows, tables.column_of(texts, text_col).to_pylist(), strict=True):
@@ -429,4 +505,5 @@ def _kept(texts: pa.Table, marks: pa.Table, names: list[str], text_col: str) ->
         own.append(text if not out else "\n".join(x for i, x in enumerate(lines) if i not in out))
     columns = {c: tables.column_of(texts, c) for c in names} | {text_col: pa.array(own, pa.string())}
     return pa.table(columns | {"n_lines": pa.array(n_lines, pa.int64()), "n_removed": pa.array(n_removed, pa.int64()),
-                               "n_links": pa.array([sum(links.get(r, {}).values()) for r in rows], pa.int64())})
+                               "n_links": pa.array([sum(links.get(r, {}).values()) for r in rows], pa.int64()),
+                               "line_classes": pa.array([sorted(classes.get(r, []), key=lambda x: x["line"]) for r in rows], CLASSES)})

@@ -125,7 +125,9 @@ def near_duplicate_classes(spark: SparkSession, sf: str) -> DataFrame:
 @query("op5_line_dedup")
 def line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     found = lines.dedup_lines(table(spark, sf, "documents").select("doc_id", "text"))
-    return found.select("doc_id", "n_lines", "n_removed", "n_links", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+    listed = F.transform("line_classes", lambda x: F.concat_ws(":", x["line"], x["class_id"], x["links"]))
+    return found.select("doc_id", "n_lines", "n_removed", "n_links", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"),
+                        F.array_join(listed, ",").alias("line_classes"))
 
 
 _NEAREST = """

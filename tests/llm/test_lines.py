@@ -145,3 +145,26 @@ def test_classes_of_many_lines_that_differ_in_digits(spark):
             break
     assert len(set(first)) > 20
     assert got == {i: x if first[i] == i else "" for i, x in enumerate(pool)}
+
+
+@pytest.mark.parametrize(("group", "pairs"), [(512, 1 << 16), (40, 50)])
+def test_links_are_those_of_all_pairs(spark, monkeypatch, group, pairs):
+    monkeypatch.setattr(lines, "GROUP", group)
+    monkeypatch.setattr(lines, "PAIRS", pairs, raising=False)
+    rng = random.Random(3)
+    star = ["x" * k + "one line that is changed in a place or two" + "y" * (2 - k) for k in range(3)]
+    star += sorted({edited(rng, star[0], 1) for _ in range(60)})
+    pool = digits(rng)[:200]
+    every = [*dict.fromkeys(pool + star)]
+    near = linked(pool) + [(a, b) for a, b in itertools.combinations(every[len(pool):], 2) if distance(a, b) <= 2]
+    wanted = dict.fromkeys(every, 0)
+    for a, b in near:
+        wanted[a] += 1
+        wanted[b] += 1
+    df = spark.createDataFrame(list(enumerate(every)), "doc_id long, text string").repartition(5)
+    got = {r["doc_id"]: r for r in lines.dedup_lines(df).collect()}
+    assert {x: got[i]["n_links"] for i, x in enumerate(every)} == wanted
+    ids = {x: c["class_id"] for i, x in enumerate(every) for c in got[i]["line_classes"]}
+    assert set(ids) == {x for x in every if wanted[x]}
+    assert all(ids[a] == ids[b] for a, b in near)
+    assert len(set(ids.values())) == sum(got[i]["n_removed"] == 0 and wanted[x] > 0 for i, x in enumerate(every))
