@@ -3,7 +3,7 @@
 Three kinds are found by pattern alone (``assign``, ``access``, ``hex``). Further runs of base64
 or hex digits are decoded and reported only if what they hold is built like a secret:
 
-- ``pem``: an armoured block whose content is a key as below;
+- ``pem``: an armoured block whose content is a key as below, or that is encrypted by its header lines;
 - ``key``: a private or public key whose nested DER lengths fit to the last byte;
 - ``ssh``: a key file or public key whose length-prefixed parts fit to the last byte;
 - ``jwt``: three parts, of which header and content are JSON objects and the header names an algorithm.
@@ -31,7 +31,13 @@ _ASSIGN = re.compile(
     r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]+")
-_PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*KEY)-----\s+([A-Za-z0-9+/=\s]+?)\s*-----END \1-----", re.ASCII)
+_PEM = re.compile(
+    r"-----BEGIN ([A-Z0-9 ]*KEY)-----\s+((?:[A-Za-z][A-Za-z0-9-]*:[^\n]*\n(?:[ \t]+[^\n]*\n)*)*)([A-Za-z0-9+/=\s]+?)\s*-----END \1-----", re.ASCII)
+_CIPHER = re.compile(r"Proc-Type:\s*4,\s*ENCRYPTED\s[\s\S]*DEK-Info:", re.ASCII)
+#: Lines of base64 digits under each other, and where in them a key may start.
+_LINES = re.compile(r"[A-Za-z0-9+/_-]{32,}(?:\r?\n[ \t]*[A-Za-z0-9+/_-]+)*")
+_LINE = re.compile(r"[A-Za-z0-9+/_-]+")
+_START = re.compile(r"M[A-P]|AAAA[A-Za-z0-9+/_-]{2}(?:Nz|Vj|Nr)|b3BlbnNza")
 _RUN = re.compile(r"[A-Za-z0-9+/_-]{32,}={0,2}")
 _HEX_RUN = re.compile(r"(?<![0-9A-Za-z])(?:[0-9A-Fa-f]{2}){24,}(?![0-9A-Za-z])")
 _TOKEN = re.compile(r"(?<![A-Za-z0-9_-])(ey[A-Za-z0-9_-]{8,})\.(ey[A-Za-z0-9_-]{4,})\.([A-Za-z0-9_-]*)")
@@ -128,6 +134,47 @@ def _object(digits: str) -> dict | None:
     return found if isinstance(found, dict) else None
 
 
+def _der_digits(head: str) -> int:
+    """Base64 digits, without padding, of the DER value that begins with these eight."""
+    data = decoded(head) or b""
+    if len(data) < 6 or data[0] != 0x30:
+        return 0
+    n, size = (data[1] & 0x7F, 0) if data[1] >= 0x80 else (0, data[1])
+    if n > 4:
+        return 0
+    return -(-8 * (2 + n + (int.from_bytes(data[2 : 2 + n], "big") if n else size)) // 6)
+
+
+def _inside(text: str) -> list[tuple[str, int, int]]:
+    """Keys in base64 that go over several lines or start inside a run of digits."""
+    out = []
+    for m in _LINES.finditer(text):
+        pieces = [x.span() for x in _LINE.finditer(text, *m.span())]
+        digits, ends, total = "".join(text[a:b] for a, b in pieces), {}, 0
+        first = []
+        for a, b in pieces:
+            first.append((total, a))
+            total += b - a
+            ends[total] = b
+        done = 0
+        for start in _START.finditer(digits):
+            at = start.start()
+            if at < done:
+                continue
+            if digits[at] == "M":
+                stops, kind, fits = [at + _der_digits(digits[at : at + 8])], "key", is_key
+            else:
+                stops, kind, fits = [k for k in ends if k > at], "ssh", is_ssh
+            for stop in stops:
+                if stop in ends and stop - at >= 32 and fits(decoded(digits[at:stop])):
+                    end = ends[stop]
+                    end += len(text[end : end + 2]) - len(text[end : end + 2].lstrip("="))
+                    out.append((kind, next(a + at - t for t, a in reversed(first) if t <= at), end))
+                    done = stop
+                    break
+    return out
+
+
 def find(text: str) -> list[tuple[str, int, int]]:
     """(kind, start, end) in code points, by start, then in the order of KINDS."""
     out = [("assign", m.start(), m.end()) for m in _ASSIGN.finditer(text) if m.end(2) - m.start(2) >= 6]
@@ -135,17 +182,23 @@ def find(text: str) -> list[tuple[str, int, int]]:
     out += [("hex", m.start(), m.end()) for m in _HEX.finditer(text) if m.end() - m.start() >= 24]
     if "-----BEGIN " in text:
         for m in _PEM.finditer(text):
-            data = decoded("".join(m[2].split()))
-            if is_key(data) or is_ssh(data):
+            data = decoded("".join(m[3].split()))
+            # What an encrypted block holds shows no structure but whole cipher blocks.
+            if is_key(data) or is_ssh(data) or data and len(data) % 8 == 0 and _CIPHER.match(m[2]):
                 out.append(("pem", m.start(), m.end()))
     for m in _RUN.finditer(text):
         if m[0][0] == "M" and is_key(decoded(m[0])):
             out.append(("key", m.start(), m.end()))
         elif m[0].startswith(("AAAA", "b3BlbnNz")) and is_ssh(decoded(m[0])):
             out.append(("ssh", m.start(), m.end()))
+    whole = {(kind, b) for kind, _, b in out if kind in ("key", "ssh")}
+    armour = [(a, b) for kind, a, b in out if kind == "pem"]
+    out += [x for x in _inside(text) if (x[0], x[2]) not in whole and not any(a <= x[1] and x[2] <= b for a, b in armour)]
     for m in _HEX_RUN.finditer(text):
         if m[0].startswith("30") and is_key(bytes.fromhex(m[0])):
             out.append(("key", m.start(), m.end()))
+        elif m[0].startswith(("000000", "6f70656e", "6F70656E", "6F70656e", "6f70656E")) and is_ssh(bytes.fromhex(m[0])):
+            out.append(("ssh", m.start(), m.end()))
     if "ey" in text:
         for m in _TOKEN.finditer(text):
             header = _object(m[1])

@@ -79,3 +79,22 @@ def test_base_patterns_in_code_points():
 def test_equal_starts_go_by_kind():
     found = secrets.find("token=deadbeefdeadbeefdeadbeef00")
     assert [k for k, _, _ in found] == ["assign", "hex"]
+
+
+def test_keys_in_other_writings():
+    part = lambda b: struct.pack(">I", len(b)) + b
+    ssh = part(b"ssh-ed25519") + part(b"k" * 32)
+    assert kinds(f"see {ssh.hex()} here") == [("ssh", ssh.hex())]
+    for key, kind in ((WRAPPED, "key"), (ssh, "ssh")):
+        for glue in "/_-+":
+            assert kinds(f"see {glue}{b64(key)} here") == [(kind, b64(key))]
+        lines = "\n".join(re.findall(".{1,40}", b64(key)))
+        assert kinds(f"see\n{lines}\nwords follow") == [(kind, lines)]
+        assert kinds(f"see {glue}{lines}\n") == [(kind, lines)]
+    head = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,00112233445566778899AABBCCDDEEFF\n\n"
+    block = lambda head, body: f"-----BEGIN RSA PRIVATE KEY-----\n{head}{b64(body)}\n-----END RSA PRIVATE KEY-----"
+    assert kinds(block(head, bytes(range(64)))) == [("pem", block(head, bytes(range(64))))]
+    assert ("pem", block("Comment: mine\n", PRIVATE)) in kinds(block("Comment: mine\n", PRIVATE))
+    assert not kinds(block("Comment: mine\n", bytes(range(64)))) and not kinds(block(head, bytes(range(63))))
+    for key in (WRAPPED, ssh):
+        assert not kinds(f"see /{b64(key[:-4])} here") and not kinds(f"see /{b64(key + b'xyz')} here")
