@@ -186,7 +186,7 @@ def _integers(values: np.ndarray, kind: type) -> np.ndarray:
 
 def _assigned(batch: pa.RecordBatch, trees: list[Gnat], cuts: list[tuple[int, int]], kind: type) -> Iterator[tuple]:
     """(part, its integers, entry, squared distance) of a batch of vectors."""
-    values = np.asarray(tables.column(batch, "v").flatten()).reshape(batch.num_rows, cuts[-1][1] if cuts else 0)
+    values = np.asarray(tables.column(batch, "v").flatten()).reshape(batch.num_rows, max(b for _, b in cuts))
     whole = _integers(values, kind)
     for part, (tree, (a, b)) in enumerate(zip(trees, cuts, strict=True)):
         yield part, whole[:, a:b], *tree.nearest(whole[:, a:b])[:2]
