@@ -30,13 +30,13 @@ from addrwatch.llm import components, tables
 #: Dimensions of a block.
 WIDTH = 16
 #: Rows that a leaf should hold at home, rows of a chunk, and rows per comparison.
-LEAF_ROWS, CHUNK_ROWS, TILE_ROWS = 8_192, 8_192, 1_024
+LEAF_ROWS, CHUNK_ROWS, TILE_ROWS = 32_768, 65_536, 512
 #: Sampled vectors per leaf, and the bounds of the sample that the trees are chosen on.
 SAMPLED_PER_LEAF, SAMPLE_ROWS = 64, (4_096, 65_536)
 #: A cut that more than this share of the rows would have to cross isn't made.
 CROSSING = 0.9
-#: Far above the rounding of sums over double components of unit vectors.
-SLACK = 1e-9
+#: Far above the rounding of sums over double and single components of unit vectors.
+SLACK, SINGLE_SLACK = 1e-9, 1e-5
 
 
 @dataclass
@@ -203,7 +203,10 @@ def joined(space: Space, block: int, units: np.ndarray, copies: np.ndarray, home
     """
     turned = space.rotated(units)
     own = turned[:, space.blocks[block]]
-    square = (own ** 2).sum(axis=1)
+    # left . right is minus half the squared distance; candidates are then compared in doubles.
+    half, one = (own**2).sum(axis=1, keepdims=True) / -2, np.ones((len(own), 1))
+    lefts_of, rights_of = (np.concatenate(x, axis=1).astype(np.float32) for x in ((own, half, one), (own, one, half)))
+    least = -(space.budget + SINGLE_SLACK) / 2
     count, spanning = np.zeros(len(units), np.int64), Spanning(len(units))
     for left_home, right_home in ((True, True), (True, False), (False, True)):
         if alone and not left_home:
@@ -214,8 +217,7 @@ def joined(space: Space, block: int, units: np.ndarray, copies: np.ndarray, home
             left = lefts[a : a + TILE_ROWS]
             for b in range(a if alone and right_home else 0, len(rights), 4 * TILE_ROWS):
                 right = rights[b : b + 4 * TILE_ROWS]
-                rough = square[left][:, None] + square[right] - 2 * own[left] @ own[right].T
-                i, j = np.nonzero(rough <= space.budget + SLACK)
+                i, j = np.nonzero(lefts_of[left] @ rights_of[right].T >= least)
                 i, j = left[i], right[j]
                 if alone and right_home:
                     i, j = i[i < j], j[i < j]
