@@ -11,7 +11,7 @@ from addrwatch import config
 from addrwatch.functions.dates import from_seconds, micros
 from addrwatch.operators.rates import seconds
 
-_COMPARE = {">": operator.gt, ">=": operator.ge, "<": operator.lt, "<=": operator.le}
+COMPARE = {">": operator.gt, ">=": operator.ge, "<": operator.lt, "<=": operator.le}
 
 
 def held_condition(
@@ -102,7 +102,7 @@ def alerts(ticks: DataFrame, rule: config.AlertRule, moment: Column | None = Non
     """``(tick, *by, state, alert, severity)`` of one rule over those series of its
     metric's ticks that it watches."""
     ticks = ticks.filter(selected(rule))
-    condition = _COMPARE[rule.comparison](F.col("value"), F.lit(rule.threshold))
+    condition = COMPARE[rule.comparison](F.col("value"), F.lit(rule.threshold)) & ~F.isnan("value")
     held = held_condition(ticks, condition, rule.by, rule.hold, rule.step, moment=moment)
     return held.select(
         "tick", *rule.by, "state",

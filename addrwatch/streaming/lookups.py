@@ -1,85 +1,81 @@
-"""Explanation look-ups on streams, with the open predictions as keyed state."""
+"""Explanation look-ups on streams, with each open prediction as a key's state."""
 
 from __future__ import annotations
 
-import json
-from collections.abc import Iterable, Iterator
-from functools import partial
+from collections.abc import Iterator
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql import DataFrame, Row, functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from addrwatch.functions.dates import from_micros, micros
-from addrwatch.session import ship_package
+from addrwatch.streaming import state
 
-_OUTPUT = "lookup_id {kind}, request_id string, at bigint, hit boolean"
-_STATE = "ids string, made binary"
 
+class OpenPrediction(StatefulProcessor):
+    """The state of a request id is the time of its prediction until a look-up takes it or its time is over."""
 
-def _serve(key: tuple, parts: Iterable[pd.DataFrame], state: GroupState, keep: int | None) -> Iterator[pd.DataFrame]:
-    """One group of request ids in one trigger; each open prediction serves one look-up."""
-    whole = pd.concat(list(parts), ignore_index=True)
-    given, asked = whole[whole["made"]], whole[~whole["made"]]
-    ids, made = given["request_id"].to_numpy(dtype=str), given["at"].to_numpy()
-    if state.exists:
-        old_ids, old_made = state.get
-        ids = np.concatenate([ids, np.array(json.loads(old_ids), dtype=str)])
-        made = np.concatenate([made, np.frombuffer(old_made, dtype=np.int64)])
-    order = np.argsort(ids)
-    ids, made = ids[order], made[order]
-    used = np.zeros(len(ids), dtype=bool)
-    if len(asked):
-        asked = asked.sort_values(["request_id", "at", "lookup_id"])
-        wanted, at = asked["request_id"].to_numpy(dtype=str), asked["at"].to_numpy()
-        hit = np.zeros(len(asked), dtype=bool)
-        if len(ids):
-            place = np.minimum(np.searchsorted(ids, wanted), len(ids) - 1)
-            able = np.flatnonzero((ids[place] == wanted) & (made[place] <= at))
-            # Sorted by time within an id, so the first able look-up takes it.
-            _, first = np.unique(place[able], return_index=True)
-            hit[able[first]] = True
-            used[place[able[first]]] = True
-        yield pd.DataFrame({
-            "lookup_id": asked["lookup_id"].to_numpy(), "request_id": wanted, "at": at, "hit": hit,
-        })
-    if keep is not None and len(whole):
-        used |= made < whole["at"].max() - keep
-    if len(given) or used.any():
-        if used.all():
-            if state.exists:
-                state.remove()
-        else:
-            state.update((json.dumps(ids[~used].tolist()), made[~used].tobytes()))
+    def __init__(self, keep: int | None):
+        self.keep = keep
 
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.made = handle.getValueState("made", "at bigint")
 
-def explain_stream(
-    lookups: DataFrame, predictions: DataFrame, groups: int = 4096, keep: int | None = None
-) -> DataFrame:
+    def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        asked, made, given = [], None, False
+        for row in rows:
+            if row["made"]:
+                made, given = row["at"], True
+            else:
+                asked.append((row["at"], row["lookup_id"]))
+        if not given:
+            old = self.made.get()
+            made = old[0] if old else None
+        is_open = made is not None
+        for at, lookup_id in sorted(asked):
+            hit = is_open and made <= at and (self.keep is None or at <= made + self.keep * 1_000_000)
+            is_open = is_open and not hit
+            yield Row(lookup_id=lookup_id, request_id=key[0], at=at, hit=hit)
+        if is_open and given:
+            self.made.update((made,))
+            if self.keep is not None:
+                self.handle.registerTimer(made // 1000 + self.keep * 1000 + 1)
+        elif made is not None and not is_open and not given:
+            self.made.clear()
+
+    def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        self.made.clear()
+        return iter(())
+
+    def close(self) -> None:
+        pass
+
+
+def explain_stream(lookups: DataFrame, predictions: DataFrame, keep: int | None = None) -> DataFrame:
     """``(lookup_id, request_id, ts, hit)`` of a stream of look-ups.
 
-    A prediction stays in state until a look-up takes it, or until its group sees an
-    event more than ``keep`` seconds later. Look-ups are served trigger by trigger,
-    in time order within one. Ids are kept in ``groups`` groups by hash, so that a
-    Python call serves many of them at once; more groups mean smaller pieces of
-    state. A group sees one trigger's rows, so the source's files or offsets per
-    trigger bound what it holds, also for an id asked very often. A look-up without
-    an id is a miss; a prediction without one is never asked for.
+    A prediction is the state of its request id until a look-up takes it; a trigger
+    reads and writes the state of the ids it holds and of no others. Look-ups are served
+    trigger by trigger, in time order within one. With a limit, a look-up more than ``keep`` seconds after its
+    prediction is a miss, the state goes by a timer once the watermark is that far, and a look-up that is read when the
+    newest event is more than ``keep`` seconds ahead of it isn't answered.
+    A key's rows of one trigger are read as a stream; of them (time, look-up) pairs are held, so the source's files or
+    offsets per trigger bound what a hot id takes. A look-up without an id is a miss; a
+    prediction without one is never asked for.
     """
-    ship_package(lookups.sparkSession)
+    state.prepare(lookups.sparkSession)
     kind = lookups.schema["request_id"].dataType
     number = dict(lookups.dtypes)["lookup_id"] in ("tinyint", "smallint", "int", "bigint")
     name, own = ("bigint", F.lit(0)) if number else ("string", F.lit(""))
     asked = lookups.select("request_id", "ts", F.col("lookup_id").cast(name), F.lit(False).alias("made"))
     given = predictions.select("request_id", "ts", own.cast(name).alias("lookup_id"), F.lit(True).alias("made"))
     both = asked.unionByName(given).filter(F.col("request_id").isNotNull()).select(
-        F.pmod(F.xxhash64("request_id"), F.lit(groups)).alias("group"),
-        F.col("request_id").cast("string"), "lookup_id", "made", micros(F.col("ts")).alias("at"),
-    )
-    limit = None if keep is None else keep * 1_000_000
-    served = both.groupBy("group").applyInPandasWithState(
-        partial(_serve, keep=limit), _OUTPUT.format(kind=name), _STATE, "append", GroupStateTimeout.NoTimeout
+        F.col("request_id").cast("string"), "lookup_id", "made", micros(F.col("ts")).alias("at"), F.col("ts").cast("timestamp"))
+    if keep is not None:
+        both = both.withWatermark("ts", f"{keep} seconds")
+    served = both.groupBy("request_id").transformWithState(
+        OpenPrediction(keep), f"lookup_id {name}, request_id string, at bigint, hit boolean",
+        "Append", "None" if keep is None else "EventTime",
     ).select("lookup_id", F.col("request_id").cast(kind), from_micros(F.col("at")).alias("ts"), "hit")
     bare = asked.filter(F.col("request_id").isNull()).select(
         "lookup_id", "request_id", from_micros(micros(F.col("ts"))).alias("ts"), F.lit(False).alias("hit"))

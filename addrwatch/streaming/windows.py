@@ -7,9 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from addrwatch import config
-from addrwatch.functions.dates import from_seconds, micros
 from addrwatch.functions.labels import label_name, risk_level
 from addrwatch.operators import alerts, rates
+from addrwatch.streaming import state
+from addrwatch.streaming.held import HeldTicks
 
 
 def watermarked(stream: DataFrame, delay: str, ts: str = "ts") -> DataFrame:
@@ -60,20 +61,17 @@ def alert_stream(
     """``(tick, *by, state, alert, severity)`` of a rate rule over the events of a stream
     that meet the condition and belong to a series the rule watches.
 
-    Three windowed counts in a row, all kept in Spark's own state: panes, windows,
-    and the ticks each rate supports. A tick comes out once no late event can
-    change it.
+    Events are counted in panes of one step, and each series' panes go on to keyed state (``held``).
+    All events move the watermark, also those of series the rule doesn't watch: what it watches
+    is a condition of the count, since a filter on the series would be moved before the
+    watermark. A tick comes out once the watermark passes it, whether its series goes on or not.
     """
+    if rule.window % rule.step:
+        raise ValueError("the window must be a whole number of steps")
     watched = alerts.selected(rule) if condition is None else alerts.selected(rule) & condition
-    counts = {"n": watched}
-    counted = rates.window_counts(
-        watermarked(stream, delay, ts), rule.window, rule.step, rule.by, ts, counts
-    ).filter(F.col("n") > 0)
-    ticks = counted.select(
-        "window", F.col("window.end").alias("tick"), *rule.by,
-        (F.col("n") / F.lit(float(rule.window))).alias("value"),
-    )
-    return alerts.alerts(ticks, rule, moment=F.window_time("window"))
+    panes = watermarked(stream, delay, ts).groupBy(F.window(ts, rates.seconds(rule.step)).alias("window"), *rule.by).agg(
+        F.count_if(watched).alias("_watched"))
+    return _held(panes.withColumn("value", F.col("_watched").cast("double")), rule)
 
 
 def gauge_alert_stream(
@@ -88,24 +86,30 @@ def gauge_alert_stream(
     """The same for a gauge: a tick reads the latest sample at or before it, of equal
     times the one with the greater ``tie``, unless that is more than ``stale`` seconds old.
 
-    A sample is copied to the ticks it may serve, a number of rows that ``stale``
-    bounds, and each tick takes the latest of its copies. Copies lie up to
-    ``stale`` ahead of their sample, so the watermark stays behind by as much more.
+    Samples are reduced to the last one a tick; what a series read last is kept in its
+    state and carried on from tick to tick.
     """
-    step = rule.step
-    number = F.ceil(micros(F.col(ts)) / F.lit(step * 1_000_000.0)).cast("bigint")
+    # The step that ends at a tick holds the tick itself.
+    moment = F.timestamp_add("MICROSECOND", F.lit(-1), F.col(ts).cast("timestamp"))
     order = F.struct(F.col(ts).alias("_ts"), *([F.col(tie).alias("_tie")] if tie else []))
-    copies = samples.filter(alerts.selected(rule)).select(
-        *rule.by, F.col(value).alias("value"), order.alias("_order"),
-        F.explode(F.sequence(number, number + stale // step)).alias("_tick"),
-    )
-    moment = F.timestamp_add("MICROSECOND", F.lit(-1), from_seconds(F.col("_tick") * step).cast("timestamp"))
-    timed = copies.withColumn("_moment", moment).withWatermark("_moment", _longer(delay, stale))
-    per_tick = timed.groupBy(F.window("_moment", rates.seconds(step)).alias("window"), *rule.by).agg(
-        F.max_by("value", "_order").alias("value"))
-    ticks = per_tick.select("window", F.col("window.end").alias("tick"), *rule.by, "value")
-    return alerts.alerts(ticks, rule, moment=F.window_time("window"))
-
-
-def _longer(delay: str, more: int) -> str:
-    return f"{delay} {more} seconds"
+    watched = alerts.selected(rule) & F.col(value).isNotNull()
+    timed = samples.withColumns({"_moment": moment, "_order": order}).withWatermark("_moment", delay)
+    latest = timed.groupBy(F.window("_moment", rates.seconds(rule.step)).alias("window"), *rule.by).agg(
+        F.count_if(watched).alias("_watched"), F.max_by(value, F.when(watched, F.col("_order"))).alias("value"))
+    return _held(latest, rule, stale)
+
+
+def _held(readings: DataFrame, rule: config.AlertRule, stale: int = 0) -> DataFrame:
+    """Alert states of windows of one step that hold a reading of a watched series."""
+    if rule.hold % rule.step:
+        raise ValueError("the hold must be a whole number of steps")
+    state.prepare(readings.sparkSession)
+    given = readings.filter(F.col("_watched") > 0).select(
+        F.window_time("window").alias("moment"), *rule.by,
+        (F.unix_seconds("window.end") / rule.step).cast("bigint").alias("number"), F.col("value").cast("double").alias("value"))
+    kinds = dict(given.dtypes)
+    labels = "".join(f"`{name}` {kinds[name]}, " for name in rule.by)
+    key = list(rule.by) or [F.lit(0).alias("_series")]
+    held = given.groupBy(*key).transformWithStateInPandas(
+        HeldTicks(rule, stale), f"tick timestamp, {labels}state string", "Append", "EventTime", eventTimeColumnName="tick")
+    return held.select("tick", *rule.by, "state", F.lit(rule.alert).alias("alert"), F.lit(rule.severity).alias("severity"))

@@ -5,6 +5,7 @@ import glob
 import os
 from datetime import datetime, timedelta
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -13,7 +14,7 @@ from addrwatch.catalog.fixed_model import FIXED
 from addrwatch.operators import alerts, drift as drift_ops, lookups as lookup_ops, rates
 from addrwatch.plans import serving
 from addrwatch.sources import tables
-from addrwatch.streaming import drift, lookups, scoring, windows
+from addrwatch.streaming import drift, held, lookups, scoring, windows
 
 T0 = datetime(2024, 1, 1)
 STATS = {c: (1.0, 2.0) for c in config.Z_SCORE_COLS}
@@ -163,7 +164,7 @@ def test_lookup_stream_serves_each_prediction_once(spark, tmp_path):
     given = write_batches(
         spark, tmp_path, given_schema, [("a", at(5)), ("c", at(6))], [("b", at(15))], [("d", at(29))])
     stream = lookups.explain_stream(
-        stream_of(spark, asked, asked_schema), stream_of(spark, given, given_schema), groups=2)
+        stream_of(spark, asked, asked_schema), stream_of(spark, given, given_schema))
     got = {r["lookup_id"]: r["hit"] for r in run(spark, stream, tmp_path).collect()}
     assert got == {1: False, 2: True, 3: False, 4: False, 5: True, 6: False, 7: False, 8: True, 9: False}
     batch = lookup_ops.explain_lookup(spark.read.parquet(asked), spark.read.parquet(given))
@@ -190,7 +191,7 @@ def test_lookup_stream_with_odd_ids_and_a_limit(spark, tmp_path):
     stream = stream_of(spark, folder, schema)
     served = lookups.explain_stream(
         stream.filter("kind = 'l'").select("lookup_id", "request_id", "ts"),
-        stream.filter("kind = 'p'").select("request_id", "ts"), groups=1)
+        stream.filter("kind = 'p'").select("request_id", "ts"))
     got = {r["lookup_id"]: r["hit"] for r in run(spark, served, tmp_path).collect()}
     assert got == {"x1": False, "x2": True, "x3": False, "x4": True, "x5": True, "x6": False}
 
@@ -202,5 +203,78 @@ def test_open_predictions_expire(spark, tmp_path):
     stream = stream_of(spark, folder, schema)
     served = lookups.explain_stream(
         stream.filter("kind = 'l'").select("lookup_id", "request_id", "ts"),
-        stream.filter("kind = 'p'").select("request_id", "ts"), groups=1, keep=300)
+        stream.filter("kind = 'p'").select("request_id", "ts"), keep=300)
     assert {r["lookup_id"]: r["hit"] for r in run(spark, served, tmp_path).collect()} == {1: False, 2: True}
+
+
+def test_a_trigger_reads_the_state_of_its_own_ids(spark, tmp_path):
+    """2,000 open ids; the second trigger asks for one of them, the third after it was taken."""
+    schema = "kind string, lookup_id long, request_id string, ts timestamp"
+    given = [("p", None, f"r{i}", at(0)) for i in range(2000)]
+    folder = write_batches(spark, tmp_path, schema, given, [("l", 1, "r7", at(5)), ("l", 2, "r7", at(6))], [("l", 3, "r7", at(7))])
+    stream = stream_of(spark, folder, schema)
+    served = lookups.explain_stream(
+        stream.filter("kind = 'l'").select("lookup_id", "request_id", "ts"),
+        stream.filter("kind = 'p'").select("request_id", "ts"))
+    query = (served.writeStream.format("parquet").option("path", str(tmp_path / "rows"))
+             .option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start())
+    query.awaitTermination()
+    work = [p["stateOperators"][0]["customMetrics"] for p in query.recentProgress if p["numInputRows"]]
+    assert [w["rocksdbPutCount"] >= 2000 for w in work] == [True, False, False]
+    assert max(w["rocksdbGetCount"] + w["rocksdbPutCount"] for w in work[1:]) < 100
+    got = {r["lookup_id"]: r["hit"] for r in spark.read.parquet(str(tmp_path / "rows")).collect()}
+    assert got == {1: True, 2: False, 3: False}
+
+
+def test_a_series_that_falls_silent_ends_on_time(spark, tmp_path):
+    """Only events of other series move the watermark after the first file."""
+    schema = "ts timestamp, label string"
+    first = [(at(s), config.POSITIVE_LABEL) for s in range(0, 300)] + [(at(300), config.BENIGN_LABEL)]
+    others = [[(at(600 * k), config.BENIGN_LABEL)] for k in range(1, 4)]
+    folder = write_batches(spark, tmp_path, schema, first, *others)
+    rule = dataclasses.replace(config.rule("HighRansomwarePredictionRate"), window=60)
+    got = sorted(run(spark, windows.alert_stream(stream_of(spark, folder, schema), rule, "30 seconds"), tmp_path).collect())
+    counted = rates.sliding_rate(spark.read.parquet(folder), 60, 15, ["label"])
+    assert got == sorted(alerts.alerts(alerts.rate_ticks(counted, ["label"]), rule).collect())
+    assert got[-1]["tick"] == at(345) and {r["label"] for r in got} == {config.POSITIVE_LABEL}
+
+
+def test_a_gauge_goes_on_while_other_series_move_the_watermark(spark, tmp_path):
+    schema = "ts timestamp, instance string, value double"
+    folder = write_batches(spark, tmp_path, schema, [(at(10), "a", 40.0), (at(12), "b", 1.0)], [(at(200), "b", 50.0)], [(at(280), "b", 50.0), (at(281), "c", None)])
+    stream = windows.gauge_alert_stream(stream_of(spark, folder, schema), config.rule("ModelLoadingFailure"), "0 seconds", stale=90)
+    got = {(r["instance"], int((r["tick"] - T0).total_seconds())): r["state"] for r in run(spark, stream, tmp_path).collect()}
+    a = {15 * k: "pending" if k < 5 else "firing" for k in range(1, 8)}
+    assert {k: v for (i, k), v in got.items() if i == "a"} == a  # stale after 105
+    assert {k: v for (i, k), v in got.items() if i == "b"} == {
+        **{15 * k: "inactive" for k in range(1, 8)}, **{k: "pending" for k in (210, 225, 240, 255)}, 270: "firing"}
+    assert not any(i == "c" for i, _ in got)
+
+
+@pytest.mark.parametrize("window", [None, 60])
+def test_ticks_are_the_same_however_they_are_cut(window):
+    rule = dataclasses.replace(config.rule("HighPSIDrift"), window=window, threshold=0.05, hold=45)
+    rng = np.random.default_rng(4)
+    ticks = np.unique(rng.integers(1, 400, 120))
+    readings = rng.choice([0.0, 1.0, 6.0, np.nan if window is None else 2.0], len(ticks))
+    whole = held.advance(held.Series(None, 0, ticks, readings), rule, 450, 90)
+    expected = {}
+    run_length, before = 0, None
+    for tick in range(1, 451):
+        near = [i for i, t in enumerate(ticks) if t <= tick and tick - t <= (6 if window is None else 3)]
+        if not near:
+            continue
+        value = readings[near[-1]] if window is None else sum(readings[near]) / 60
+        run_length = (run_length if before == tick - 1 else 0) + 1 if value > rule.threshold else 0
+        before = tick
+        expected[tick] = "inactive" if not run_length else "firing" if run_length >= 4 else "pending"
+    assert dict(zip(whole[1].tolist(), whole[2].tolist(), strict=True)) == expected
+    assert {"inactive", "pending", "firing"} == set(expected.values())
+    parts, series, seen = {}, held.Series(None, 0, ticks[:0], readings[:0]), 0
+    for last in sorted(rng.integers(0, 450, 40).tolist()) + [450]:
+        new = (ticks > seen) & (ticks <= last)
+        seen = max(seen, last)
+        given = held.Series(series.done, series.run, np.concatenate((series.ticks, ticks[new])), np.concatenate((series.readings, readings[new])))
+        series, out, states = held.advance(given, rule, last, 90)
+        parts |= dict(zip(out.tolist(), states.tolist(), strict=True))
+    assert parts == expected
