@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from addrwatch import config
 from addrwatch.functions.dates import micros
 from addrwatch.operators.monitor import latest_n
-from addrwatch.operators.prefix import running_totals
+from addrwatch.operators.prefix import here, running_totals
 
 
 def class_shares(df: DataFrame, flag: Column, eps: float = config.DRIFT_EPSILON) -> DataFrame:
@@ -95,23 +95,26 @@ def drift_series(
     tie: str = "request_id",
     flag: str = config.TARGET,
     eps: float = config.DRIFT_EPSILON,
-    buckets: int = config.PREFIX_BUCKETS,
+    rows_per_range: int = config.RANGE_ROWS,
 ) -> DataFrame:
     """``(ts, tie, psi)``: the index on the latest ``n`` predictions as it stood after
     each one, from the n-th on.
 
-    Running totals number the rows, and each row meets the one ``n`` places before
-    it, so the trailing sums never need a window over the whole history.
+    Running totals number the rows and count positives; the count ``n`` rows before is read inside the row's own
+    range. Only for the first ``n`` rows of a range does it come from the last ``n`` rows of those before: a join of
+    these few rows on their numbers. The rows themselves are shuffled once.
     """
+    whole = here().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     numbered = running_totals(
         telemetry.select(ts, tie, flag), micros(F.col(ts)),
         {"_row": F.lit(1).cast("bigint"), "_positive": F.col(flag).cast("bigint")},
-        tie=F.col(tie), buckets=buckets,
+        tie=F.col(tie), rows_per_range=rows_per_range,
+        extra={"_before": F.lag("_positive", n).over(here()), "_left": F.max("_row").over(whole) - F.col("_row")},
     )
-    before = numbered.select(
-        (F.col("_row") + n).alias("_row"), F.col("_positive").alias("_before")
-    )
-    latest = numbered.filter(F.col("_row") >= n).join(before, "_row", "left")
+    inside = numbered.filter(F.col("_before").isNotNull())
+    tails = numbered.filter(F.col("_left") < n).select((F.col("_row") + n).alias("_row"), F.col("_positive").alias("_before"))
+    heads = numbered.filter(F.col("_before").isNull() & (F.col("_row") >= n)).drop("_before").join(tails, "_row", "left")
+    latest = inside.unionByName(heads)
     share = (F.col("_positive") - F.coalesce(F.col("_before"), F.lit(0))) / F.lit(n)
     base = F.col("_base")
     value = psi_term(base["true"], share + eps) + psi_term(base["false"], 1 - share + eps)

@@ -37,7 +37,7 @@ def cumulative_tpr_fpr(
     df: DataFrame,
     y: str = config.TARGET,
     score: str = "probability",
-    buckets: int = config.PREFIX_BUCKETS,
+    rows_per_range: int = config.RANGE_ROWS,
 ) -> DataFrame:
     """``(threshold, tp, fp, tpr, fpr)`` for each distinct score.
 
@@ -49,7 +49,7 @@ def cumulative_tpr_fpr(
     )
     running = running_totals(
         per_score, F.col("threshold"), {"tp": F.col("_pos"), "fp": F.col("_neg")},
-        descending=True, buckets=buckets,
+        descending=True, rows_per_range=rows_per_range,
     )
     whole = df.agg(
         F.struct(F.count_if(F.col(y) == 1).alias("pos"), F.count_if(F.col(y) == 0).alias("neg")).alias("_all")
@@ -65,14 +65,14 @@ def roc_curve(
     df: DataFrame,
     y: str = config.TARGET,
     score: str = "probability",
-    buckets: int = config.PREFIX_BUCKETS,
+    rows_per_range: int = config.RANGE_ROWS,
 ) -> DataFrame:
     """``(threshold, fpr, tpr)``, starting at an infinite threshold where both are 0.
 
     Points on a straight line between their neighbours are kept; they cannot
     change the best threshold.
     """
-    curve = cumulative_tpr_fpr(df, y, score, buckets).select("threshold", "fpr", "tpr")
+    curve = cumulative_tpr_fpr(df, y, score, rows_per_range).select("threshold", "fpr", "tpr")
     start = df.sparkSession.range(1).select(
         F.lit(float("inf")).alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr")
     )
@@ -83,7 +83,7 @@ def best_threshold(
     df: DataFrame,
     y: str = config.TARGET,
     score: str = "probability",
-    buckets: int = config.PREFIX_BUCKETS,
+    rows_per_range: int = config.RANGE_ROWS,
 ) -> DataFrame:
     """One row ``(threshold, j)`` with the largest tpr - fpr, the highest threshold on a tie.
 
@@ -91,7 +91,7 @@ def best_threshold(
     is infinite.
     """
     gain = F.round(F.coalesce(F.col("tpr") - F.col("fpr"), F.lit(float("-inf"))), 9)
-    curve = roc_curve(df, y, score, buckets).withColumn("j", gain)
+    curve = roc_curve(df, y, score, rows_per_range).withColumn("j", gain)
     best = curve.agg(F.max(F.struct("j", "threshold")).alias("_best"))
     return best.select("_best.threshold", "_best.j")
 

@@ -50,11 +50,11 @@ def lookup_hit_rate(marked: DataFrame) -> DataFrame:
     return counts.select("hits", "misses", rate.alias("hit_rate"))
 
 
-def running_hit_rate(marked: DataFrame, buckets: int = config.PREFIX_BUCKETS) -> DataFrame:
+def running_hit_rate(marked: DataFrame, rows_per_range: int = config.RANGE_ROWS) -> DataFrame:
     """Add ``hits``, ``seen`` and ``hit_rate`` as they stand after each look-up."""
     running = running_totals(
         marked, micros(F.col("ts")),
         {"hits": F.col("hit").cast("bigint"), "seen": F.lit(1).cast("bigint")},
-        tie=F.col("lookup_id"), buckets=buckets,
+        tie=F.col("lookup_id"), rows_per_range=rows_per_range,
     )
     return running.withColumn("hit_rate", F.col("hits") * 100.0 / F.col("seen"))

@@ -6,21 +6,27 @@ import math
 from collections.abc import Mapping
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from addrwatch import config
 
+_SPARE = ["_order", "_range", "_part", "_tie"]
 
-def _cuts(df: DataFrame, col: str, buckets: int) -> tuple[list[float], list[float]]:
-    """Cut points that split the rows into about equal parts, and the hot values.
+
+def _cuts(df: DataFrame, col: str, ranges: int) -> tuple[list[float], dict[float, int]]:
+    """Cut points that split the rows into about equal parts, and how many parts a hot value fills.
 
     A value that fills a whole part by itself shows up as a repeated quantile. It
     is given a range of its own: a cut at the value and one right after it.
     """
-    steps = [i / buckets for i in range(1, buckets)]
-    found = df.approxQuantile(col, steps, 0.25 / buckets)
-    repeated = {a for a, b in zip(found, found[1:]) if a == b}
-    return sorted(set(found) | {math.nextafter(v, math.inf) for v in repeated}), sorted(repeated)
+    if ranges < 2:
+        return [], {}
+    found = df.approxQuantile(col, [i / ranges for i in range(1, ranges)], 0.25 / ranges)
+    repeated: dict[float, int] = {}
+    for a, b in zip(found, found[1:]):
+        if a == b:
+            repeated[a] = repeated.get(a, 1) + 1
+    return sorted(set(found) | {math.nextafter(v, math.inf) for v in repeated}), repeated
 
 
 def _bucket(df: DataFrame, col: str, cuts: list[float], out: str) -> DataFrame:
@@ -31,55 +37,102 @@ def _bucket(df: DataFrame, col: str, cuts: list[float], out: str) -> DataFrame:
     return cut.withColumn(out, F.col(out).cast("int"))
 
 
+def _tie_cuts(df: DataFrame, hot: dict[float, int]) -> DataFrame:
+    """``(_hot, _cuts)``: quantiles of the tie-break of each hot value, as many as the ranges it fills.
+
+    Values that fill about equally many, up to a factor of two, are cut by one job.
+    """
+    spark, rows = df.sparkSession, []
+    for power in sorted({n.bit_length() for n in hot.values()}):
+        values, parts = [v for v, n in hot.items() if n.bit_length() == power], 1 << power
+        steps = [i / parts for i in range(1, parts)]
+        own = df.join(spark.createDataFrame([(v,) for v in values], "_order double"), "_order")
+        quantiles = own.groupBy("_order").agg(F.percentile_approx(F.col("_tie").cast("double"), steps, 4 * parts).alias("cuts"))
+        rows += [(r["_order"], sorted(set(r["cuts"]))) for r in quantiles.collect()]
+    return spark.createDataFrame(rows, "_hot double, _cuts array<double>")
+
+
+def _place(cuts: Column, value: Column) -> Column:
+    """How many of the ascending cuts are at most the value: first among every w-th cut, then among w of them."""
+    width = F.ceil(F.sqrt(F.size(cuts))).cast("int")
+    every = F.filter(F.transform(F.sequence(F.lit(1), F.floor(F.size(cuts) / width).cast("int")), lambda i: F.element_at(cuts, (i * width).cast("int"))),
+                     lambda x: x <= value)
+    passed = F.when(F.size(cuts) >= width, F.size(every)).otherwise(0) * width
+    return (passed + F.size(F.filter(F.slice(cuts, passed + 1, width), lambda x: x <= value))).cast("int")
+
+
+def ranged(df: DataFrame, order: Column, tie: Column | None, descending: bool, rows_per_range: int) -> DataFrame:
+    """Rows with an order, with ``_order``, ``_tie`` and their place among ranges in order: (``_range``, ``_part``).
+
+    The cut points come first, from narrow scans, because all branches of a plan must share them.
+    """
+    sign = -1.0 if descending else 1.0
+    df = df.withColumn("_order", order.cast("double") * F.lit(sign) + F.lit(0.0)).withColumn("_tie", F.lit(0) if tie is None else tie)
+    df = df.filter(F.col("_order").isNotNull() & ~F.isnan("_order"))
+    ranges = -(-df.count() // rows_per_range)
+    cuts, hot = _cuts(df.select("_order"), "_order", ranges)
+    df = _bucket(df, "_order", cuts, "_range")
+    if tie is None or not hot:
+        return df.withColumn("_part", F.lit(0))
+    cut = df.join(_tie_cuts(df.select("_order", "_tie"), hot), F.col("_order") == F.col("_hot"), "left")
+    part = F.when(F.col("_cuts").isNull() | F.col("_tie").isNull(), 0).otherwise(_place(F.col("_cuts"), F.col("_tie").cast("double")))
+    return cut.withColumn("_part", part).drop("_hot", "_cuts")
+
+
+def _offsets(df: DataFrame, totals: Mapping[str, Column]) -> DataFrame:
+    """``(_range, _part, _from_*)``: totals of all ranges before each.
+
+    Ranges are summed into blocks of about the root of their number. The block sums are one short
+    array, each block's offset a sum over it; a window adds up the ranges before each inside its block.
+    """
+    sums = df.groupBy("_range", "_part").agg(*[F.sum(f"_add_{n}").alias(f"_sum_{n}") for n in totals])
+    last = df.agg(F.max("_range")).scalar()
+    sums = sums.withColumn("_block", F.floor(F.col("_range") / F.ceil(F.sqrt(last + 1))))
+    blocks = sums.groupBy("_block").agg(*[F.sum(f"_sum_{n}").alias(f"_all_{n}") for n in totals])
+    listed = blocks.agg(F.collect_list(F.struct("_block", *[f"_all_{n}" for n in totals])).alias("_blocks")).scalar()
+    inside = Window.partitionBy("_block").orderBy("_range", "_part").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.withColumn("_blocks", listed)
+    before = F.filter("_blocks", lambda b: b["_block"] < F.col("_block"))
+
+    def offset(name: str) -> Column:
+        zero = F.lit(0).cast(sums.schema[f"_sum_{name}"].dataType)
+        blocks_before = F.aggregate(before, zero, lambda total, b: total + F.coalesce(b[f"_all_{name}"], zero))
+        return (F.coalesce(F.sum(f"_sum_{name}").over(inside), zero) + blocks_before).alias(f"_from_{name}")
+
+    return sums.select("_range", "_part", *map(offset, totals))
+
+
+def here() -> WindowSpec:
+    """The rows of a range in their order."""
+    return Window.partitionBy("_range", "_part").orderBy("_order", "_tie")
+
+
 def running_totals(
     df: DataFrame,
     order: Column,
     totals: Mapping[str, Column],
     tie: Column | None = None,
     descending: bool = False,
-    buckets: int = config.PREFIX_BUCKETS,
+    rows_per_range: int = config.RANGE_ROWS,
+    extra: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """Add ``name``: the total of its column over all rows up to this one.
 
     Rows are ordered by the number ``order`` (exact as a double), then by the number
-    ``tie``; rows without an order, null or NaN, are left out. The order is cut at its quantiles into ``buckets``
-    ranges; each range is summed, the few range sums give every range its offset,
-    and a window runs inside each range only. A single hot ``order`` value has a
-    range of its own, cut once more by ``tie``. The cut points come first, from
-    one narrow scan, because both branches of the plan must share them; they
+    ``tie``; rows without an order, null or NaN, are left out. The order is cut at its quantiles into
+    ranges of about ``rows_per_range`` rows; each range is summed, the range sums give every range its offset
+    in two levels, and a window runs inside each range only. A single hot ``order`` value has a
+    range of its own, cut once more by ``tie``, without which its rows count in any order. Cut points
     decide how even the ranges are, never the result. The rows themselves must be
     repeatable, as for any Spark job that may lose an executor.
+
+    The rows are shuffled once, by range: the join with the offsets and the window share that.
+    ``extra`` names further columns computed from the totals, in window order, over ``here()``.
     """
-    sign = -1.0 if descending else 1.0
-    df = df.withColumn("_order", order.cast("double") * F.lit(sign) + F.lit(0.0))
-    df = df.filter(F.col("_order").isNotNull() & ~F.isnan("_order"))
-    cuts, hot = _cuts(df.select("_order"), "_order", buckets)
-    df = _bucket(df, "_order", cuts, "_range")
-    within = ["_order"]
-    df = df.withColumn("_part", F.lit(0))
-    if tie is not None:
-        df = df.withColumn("_tie", tie)
-        within.append("_tie")
-        if hot:
-            number = df.withColumn("_tie_number", F.col("_tie").cast("double"))
-            is_hot = F.col("_order").isin(hot)
-            tie_cuts, _ = _cuts(number.filter(is_hot).select("_tie_number"), "_tie_number", buckets)
-            df = _bucket(number.drop("_part"), "_tie_number", tie_cuts, "_tie_range")
-            df = df.withColumn("_part", F.when(is_hot, F.col("_tie_range")).otherwise(0))
-            df = df.drop("_tie_number", "_tie_range")
-    df = df.withColumns({f"_add_{name}": col for name, col in totals.items()})
-
-    # One row per range: at most 2 * buckets, plus `buckets` per hot value.
-    sums = df.groupBy("_range", "_part").agg(*[F.sum(f"_add_{n}").alias(f"_sum_{n}") for n in totals])
-    earlier = Window.orderBy("_range", "_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.select(
-        "_range", "_part",
-        *[F.coalesce(F.sum(f"_sum_{n}").over(earlier), F.lit(0)).alias(f"_from_{n}") for n in totals],
-    )
-    here = Window.partitionBy("_range", "_part").orderBy(*within).rowsBetween(Window.unboundedPreceding, 0)
-    joined = df.join(F.broadcast(offsets), ["_range", "_part"])
-    spare = ["_order", "_range", "_part", "_tie"]
-    spare += [f"{p}_{n}" for p in ("_add", "_from") for n in totals]
-    return joined.withColumns({
-        n: F.sum(f"_add_{n}").over(here) + F.col(f"_from_{n}") for n in totals
-    }).drop(*spare)
+    df = ranged(df, order, tie, descending, rows_per_range).withColumns({f"_add_{name}": col for name, col in totals.items()})
+    within = here().rowsBetween(Window.unboundedPreceding, 0)
+    joined = df.join(_offsets(df, totals), ["_range", "_part"])
+    found = joined.withColumns({n: F.sum(f"_add_{n}").over(within) + F.col(f"_from_{n}") for n in totals})
+    if extra:
+        found = found.withColumns(dict(extra))
+    return found.drop(*_SPARE, *[f"{p}_{n}" for p in ("_add", "_from") for n in totals])

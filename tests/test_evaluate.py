@@ -75,7 +75,7 @@ def test_curve_matches_brute_force_with_a_hot_score(spark, parts):
     rng = random.Random(5)
     rows = [(rng.randint(0, 1), .25 if rng.random() < .4 else round(rng.random() ** 4, 3)) for _ in range(3000)]
     df = scored(spark, *zip(*rows)).repartition(parts)
-    got = {r["threshold"]: (r["tpr"], r["fpr"]) for r in evaluate.roc_curve(df, buckets=16).collect()}
+    got = {r["threshold"]: (r["tpr"], r["fpr"]) for r in evaluate.roc_curve(df, rows_per_range=16).collect()}
     assert got.pop(math.inf) == (0.0, 0.0)
     want = brute_curve(rows)
     assert got.keys() == want.keys()
@@ -83,14 +83,14 @@ def test_curve_matches_brute_force_with_a_hot_score(spark, parts):
         assert got[t] == pytest.approx(pair)
 
 
-@pytest.mark.parametrize("buckets", [2, 16, 256])
+@pytest.mark.parametrize("rows_per_range", [1, 7, 50, 1000])
 @pytest.mark.parametrize("descending", [False, True])
-def test_running_totals_with_hot_order_value(spark, buckets, descending):
+def test_running_totals_with_hot_order_value(spark, rows_per_range, descending):
     rng = random.Random(9)
     rows = [(i, 50 if rng.random() < .4 else rng.randint(0, 100), rng.randint(1, 9)) for i in range(2000)]
     df = spark.createDataFrame(rows, "id long, at long, v long").repartition(5)
     done = running_totals(df, F.col("at"), {"total": F.col("v"), "n": F.lit(1)}, tie=F.col("id"),
-                          descending=descending, buckets=buckets)
+                          descending=descending, rows_per_range=rows_per_range)
     got = {r["id"]: (r["total"], r["n"]) for r in done.collect()}
     total, want = 0, {}
     for n, (i, _, v) in enumerate(sorted(rows, key=lambda r: (-r[1] if descending else r[1], r[0])), 1):
@@ -109,3 +109,24 @@ def test_rows_without_an_order_are_left_out_of_running_totals(spark):
     rows = spark.createDataFrame([(2.0, 1), (None, 5), (float("nan"), 7), (1.0, 3)], "at double, n int")
     got = running_totals(rows, F.col("at"), {"total": F.col("n")}).select("at", "total").collect()
     assert sorted(map(tuple, got)) == [(1.0, 3), (2.0, 4)]
+
+
+@pytest.mark.parametrize("rows_per_range", [1, 5, 40])
+def test_running_totals_with_several_hot_values_of_different_sizes(spark, rows_per_range):
+    orders = [1.0] * 300 + [2.0] * 40 + [3.0] * 90 + [5.0 + i for i in range(100)] + [4.0] * 3
+    rows = [(o, (i * 37) % 533, i % 5) for i, o in enumerate(orders)]
+    df = spark.createDataFrame(rows, "at double, id long, v long").repartition(4)
+    got = running_totals(df, F.col("at"), {"total": F.col("v"), "n": F.lit(1)}, tie=F.col("id"), rows_per_range=rows_per_range)
+    total, want = 0, []
+    for k, (o, i, v) in enumerate(sorted(rows), 1):
+        total += v
+        want.append((o, i, total, k))
+    assert sorted((r["at"], r["id"], r["total"], r["n"]) for r in got.collect()) == want
+
+
+def test_running_totals_shuffle_their_rows_once_and_use_no_window_over_everything(spark):
+    df = spark.range(1000).withColumn("v", F.rand(1))
+    plan = running_totals(df, F.col("v"), {"n": F.lit(1)}, tie=F.col("id"), rows_per_range=20)
+    text = plan._jdf.queryExecution().optimizedPlan().toString()
+    assert "windowspecdefinition(_block" in text and "windowspecdefinition(_range" in text
+    assert text.count("windowspecdefinition(") == text.count("windowspecdefinition(_")

@@ -56,7 +56,7 @@ def test_running_rate_with_equal_times(spark):
     rng = random.Random(4)
     rows = [(i, at(50 if rng.random() < .5 else rng.randint(0, 100)), rng.random() < .3) for i in range(500)]
     df = spark.createDataFrame(rows, "lookup_id long, ts timestamp_ntz, hit boolean")
-    got = {r["lookup_id"]: (r["hits"], r["seen"]) for r in lookups.running_hit_rate(df, buckets=8).collect()}
+    got = {r["lookup_id"]: (r["hits"], r["seen"]) for r in lookups.running_hit_rate(df, rows_per_range=8).collect()}
     hits, want = 0, {}
     for n, (i, _, hit) in enumerate(sorted(rows, key=lambda r: (r[1], r[0])), 1):
         hits += hit

@@ -44,7 +44,7 @@ def test_no_positives_among_the_latest(spark):
 def test_drift_series_matches_a_report_at_each_time(spark):
     flags = [i % 3 == 0 or i > 60 for i in range(90)]
     series = {r["request_id"]: r["psi"] for r in drift.drift_series(
-        baseline(spark, 1, 2), telemetry(spark, flags), n=20, buckets=8).collect()}
+        baseline(spark, 1, 2), telemetry(spark, flags), n=20, rows_per_range=8).collect()}
     assert sorted(series) == list(range(19, 90))
     for i in (19, 40, 89):
         report = drift.drift_report(baseline(spark, 1, 2), telemetry(spark, flags[: i + 1]), n=20).first()
