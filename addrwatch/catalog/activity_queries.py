@@ -110,9 +110,11 @@ def p4(spark, sf):
     return prep.drop_null_target(prep.with_target(rows, null_label="drop")).select("address", config.TARGET)
 
 
-@query("p5_by_class", with_("prep", f"SELECT address, {RAW} FROM prep WHERE is_ransomware = 1"))
+@query("p5_by_class", with_("prep", f"SELECT address, {RAW}, is_ransomware AS class FROM prep"))
 def p5(spark, sf):
-    return prep.by_class(views.labelled(spark, sf), 1).select("address", *config.RAW_FEATURES)
+    rows = views.labelled(spark, sf)
+    parts = [prep.by_class(rows, y).select("address", *config.RAW_FEATURES, F.lit(y).alias("class")) for y in (0, 1)]
+    return parts[0].unionByName(parts[1])
 
 
 @query("p6_feature_columns", with_("prep", f"SELECT address, {RAW} FROM prep"))
@@ -121,11 +123,11 @@ def p6(spark, sf):
 
 
 @query("p7_drop_raw_logged", with_("prep", """
-SELECT address, length, weight, looped, is_ransomware, round(ln(1.0::DOUBLE + income), 6) AS log_income FROM prep"""))
+SELECT address, length, weight, looped, is_ransomware, round(ln(1.0::DOUBLE + count), 6) AS log_count,
+  round(ln(1.0::DOUBLE + neighbors), 6) AS log_neighbors, round(ln(1.0::DOUBLE + income), 6) AS log_income FROM prep"""))
 def p7(spark, sf):
-    logged = features.log_features(views.labelled(spark, sf), ["income"])
-    return features.drop_raw_logged(logged).drop(config.PARTITION_COL).withColumn(
-        "log_income", F.round("log_income", 6))
+    logged = features.drop_raw_logged(features.log_features(views.labelled(spark, sf))).drop(config.PARTITION_COL)
+    return logged.withColumns({f"log_{c}": F.round(f"log_{c}", 6) for c in config.LOG_COLS})
 
 
 # ------------------------------------------------------------- aggregates
@@ -172,15 +174,17 @@ def r3(spark, sf):
     return prep.split_data(views.labelled(spark, sf)).select("address", *STAGE, "split")
 
 
-@query("u1_union_splits", with_("sampled", "SELECT address, income, is_ransomware FROM sampled WHERE split = 'train'"))
+@query("u1_union_splits", with_("sampled", "SELECT address, income, is_ransomware, split FROM sampled"))
 def u1(spark, sf):
+    """Train and test, each the union of its positives and negatives."""
     rows = views.labelled(spark, sf)
     kept = prep.downsample(prep.by_class(rows, 0), stats.class_counts(rows))
-    parts = [
-        prep.stratified_split(part).filter(F.col("split") == "train").select("address", "income", config.TARGET)
-        for part in (prep.by_class(rows, 1), kept)
-    ]
-    return prep.union_splits(*parts)
+    halves = []
+    for split in ("train", "test"):
+        parts = [prep.stratified_split(part).filter(F.col("split") == split).select("address", "income", config.TARGET, "split")
+                 for part in (prep.by_class(rows, 1), kept)]
+        halves.append(prep.union_splits(*parts))
+    return halves[0].unionByName(halves[1])
 
 
 # -------------------------------------------------------- scalar functions

@@ -71,9 +71,9 @@ def gauge_ticks(
     ``until``, a time that defaults to the last sample of all: the latest value at
     or before the tick. Samples after ``until`` are left out.
 
-    Samples are reduced to the last one per series and tick before the shuffle,
-    so a series has at most one row per step, whatever its traffic: two million a
-    year at 15 seconds. Each of them then covers the ticks up to the next one.
+    Samples are reduced to the last one per series and tick before the shuffle, and each of them covers the ticks up
+    to the next one. That is found inside a series' day; only the last tick of a day looks for the first one of a later
+    day, in a scan with one row per series and day. So a series without labels is spread over its days.
     """
     number = F.ceil(micros(F.col(ts)) / F.lit(step * 1_000_000.0)).cast("bigint")
     latest = F.struct(ts, *([tie] if tie else []))
@@ -82,10 +82,12 @@ def gauge_ticks(
         end = samples.agg(F.max(number)).scalar()
     else:
         end = F.ceil(micros(until) / F.lit(step * 1_000_000.0)).cast("bigint")
-    series = Window.partitionBy(*by).orderBy("_tick")
-    spans = per_tick.withColumn("_end", end).filter(F.col("_tick") <= F.col("_end")).withColumn(
-        "_next", F.coalesce(F.lead("_tick").over(series) - 1, F.col("_end"))
-    )
+    day = Window.partitionBy(*by, "_day")
+    marked = per_tick.withColumns({"_end": end, "_day": F.floor(F.col("_tick") * step / 86_400)}).filter(F.col("_tick") <= F.col("_end")).withColumns({
+        "_next": F.lead("_tick").over(day.orderBy("_tick")) - 1, "_first": F.min("_tick").over(day)})
+    days = Window.partitionBy(*by).orderBy("_day")
+    last = marked.filter(F.col("_next").isNull()).withColumn("_next", F.coalesce(F.lead("_first").over(days) - 1, F.col("_end")))
+    spans = marked.filter(F.col("_next").isNotNull()).unionByName(last)
     ticks = spans.select(*by, value, F.explode(F.sequence("_tick", "_next")).alias("_tick"))
     return ticks.select(from_seconds(F.col("_tick") * step).alias("tick"), *by, value)
 
