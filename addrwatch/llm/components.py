@@ -31,5 +31,21 @@ def connected(links: DataFrame) -> DataFrame:
         edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 
 
+def extended(classes: DataFrame, links: DataFrame) -> DataFrame:
+    """The components (node, component) after further links (a, b), stored; only links between components are worked on.
+
+    Nodes that classes doesn't list are components of their own.
+    """
+    one = classes.select(F.col("node").alias("a"), F.col("component").alias("_a"))
+    two = classes.select(F.col("node").alias("b"), F.col("component").alias("_b"))
+    between = links.join(one, "a", "left").join(two, "b", "left").select(
+        F.coalesce("_a", "a").alias("a"), F.coalesce("_b", "b").alias("b")).where("a <> b").distinct()
+    merged = tables.stored(connected(between), "merged")
+    moved = classes.join(merged.select(F.col("node").alias("component"), F.col("component").alias("_new")), "component", "left").select(
+        "node", F.coalesce("_new", "component").alias("component"))
+    fresh = merged.join(classes, "node", "left_anti")
+    return tables.stored(moved.unionByName(fresh.select("node", "component")), "components")
+
+
 def _state(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.xxhash64("u", "v") % 1_000_000_007), F.lit(0))).first())

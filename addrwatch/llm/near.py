@@ -18,6 +18,7 @@ no bucket holds two classes.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -184,18 +185,20 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, id_col: str =
     met = tables.stored(buckets.join(held, ["band", "key"]), "buckets")
     texts = _texts(keyed, nodes, met)
     pairs = met.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
-    links = tables.stored(_verified(pairs, texts, idf, threshold), "near-links")
-    classes = components.connected(links)
+    links = [tables.stored(_verified(pairs, texts, idf, threshold), "near-links")]
+    classes = components.connected(links[0])
     open_ = _dealt_anew(_mixed(met.select("band", "key", "node"), classes), texts, idf)
     while not (open_ := _mixed(open_, classes)).isEmpty():
         pivots = _pivots(open_)
         across = (pivots.withColumnsRenamed({"node": "a", "component": "one"}).join(open_, ["band", "key"])
                   .where("one <> component").select("a", F.col("node").alias("b")).distinct())
-        more = _verified(across, texts, idf, threshold)
-        links = tables.stored(links.unionByName(more).distinct(), "near-links")
+        more = tables.stored(_verified(across, texts, idf, threshold), "near-links")
         open_ = tables.stored(open_.join(pivots, ["band", "key", "node"], "left_anti").select("band", "key", "node"), "open-buckets")
-        classes = components.connected(links)
-    degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
+        if not more.isEmpty():
+            links.append(more)
+            classes = components.extended(classes, more)
+    every = reduce(DataFrame.unionByName, (x.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")) for x in links)).distinct()
+    degree = every.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
     known = nodes.select("fp1", "fp2", "node").join(classes, "node", "left").join(degree, "node", "left")
     found = known.select("fp1", "fp2", F.coalesce("component", "node").alias("_class"), F.col("n_links").alias("_links"))
     return (worded.join(found, ["fp1", "fp2"]).select("row", "doc_id", "text_key", "text_bytes", "_class", "_links")
@@ -257,8 +260,10 @@ def _dealt_anew(open_: DataFrame, texts: DataFrame, idf) -> DataFrame:
     fine = tables.mapped(large, dealt, "node long, bands array<long>").select("node", F.posexplode("bands").alias("band", "key"))
     fine = tables.stored(fine.withColumn("band", F.col("band") + BANDS), "fine-buckets")
     shared = fine.groupBy("band", "key").count().where("count > 1").select("band", "key")
-    return sized.where(F.col("nodes") <= PAIRED).select("band", "key", "node").unionByName(
+    both = sized.where(F.col("nodes") <= PAIRED).select("band", "key", "node").unionByName(
         fine.join(shared, ["band", "key"]).select("band", "key", "node"))
+    # A union of two sides dealt by the same keys must not reach later joins by these keys unstored: Spark would zip its partitions.
+    return tables.stored(both, "open-buckets")
 
 
 def _pivots(open_: DataFrame) -> DataFrame:
