@@ -46,9 +46,10 @@ class TextTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         with open(path, encoding="utf-8") as file:
-            kind = _kind(json.load(file))
+            spec = json.load(file)
+        kind = _kind(spec)
+        self.added = [t["content"].lower() for t in spec.get("added_tokens") or []]
         self.letters = None
         if kind == "words":
             # White space is dropped, and nothing reaches across it.
@@ -73,7 +74,15 @@ class TextTokenizer:
         return array("I", self.tokenizer.encode(part, add_special_tokens=False).ids).tobytes()
 
     def ids(self, text: str | None) -> bytes:
-        return b"".join(map(self.parts.__getitem__, self.cut(text or "")))
+        text = text or ""
+        if self._may_hold_added_tokens(text):  # these reach across cuts, so the library gets the text whole
+            return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        return b"".join(map(self.parts.__getitem__, self.cut(text)))
+
+    def _may_hold_added_tokens(self, text: str) -> bool:
+        """Whether the string of an added token, in any case, is in the text."""
+        low = text.lower()
+        return any(t in low for t in self.added)
 
 
 def _kind(spec: dict) -> str:
