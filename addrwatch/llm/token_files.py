@@ -14,6 +14,7 @@ byte of its own; its last one is filled up with rank 0.
 from __future__ import annotations
 
 import struct
+import sys
 import uuid
 from collections.abc import Iterator
 
@@ -24,11 +25,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from addrwatch.llm import tables, tokens
+from addrwatch.operators import prefix
 
 MAGIC = b"IDRANK01"
 HEADER = "<8s3Q"
 HEADER_BYTES = struct.calcsize(HEADER)
 SHARD_TOKENS = 8_000_000
+#: Ranges whose tokens are counted per file.
+RANGES = 16
 #: Bytes of each of the four ranks of a control byte.
 WIDTHS = np.array([[(c >> 2 * k & 3) + 1 for k in range(4)] for c in range(256)], dtype=np.uint8)
 
@@ -102,7 +106,8 @@ def frequency(table: DataFrame) -> DataFrame:
 def write(table: DataFrame, folder: str, shard_tokens: int = SHARD_TOKENS) -> None:
     """Writes the file format. table: a stored table as of ``token_table``.
 
-    Rows are dealt to files by ranges of (doc_id, row), null identifiers first; a file is put
+    Rows are dealt to files by ranges of (doc_id, row) with about equal numbers of tokens, null identifiers first; the
+    ranges are found before the ids are coded, from the narrow columns alone. A file is put
     in place under its own name when it is whole, so a task that runs again replaces it.
     """
     spark = table.sparkSession
@@ -120,8 +125,8 @@ def write(table: DataFrame, folder: str, shard_tokens: int = SHARD_TOKENS) -> No
                 control, coded, control_at, coded_at = encode(shared.value[data.view("<u4")], counts)
                 yield pa.RecordBatch.from_arrays(
                     [tables.column(part, "row"), tables.column(part, "doc_id"), tables.column(part, "n_tokens"),
-                     tables.binaries(control, control_at), tables.binaries(coded, coded_at)],
-                    ["row", "doc_id", "n_tokens", "control", "data"])
+                     tables.column(part, "shard"), tables.binaries(control, control_at), tables.binaries(coded, coded_at)],
+                    ["row", "doc_id", "n_tokens", "shard", "control", "data"])
 
     def saved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         docs, nulls, counts, control, data = [], [], [], [], []
@@ -150,13 +155,31 @@ def write(table: DataFrame, folder: str, shard_tokens: int = SHARD_TOKENS) -> No
             {"shard": [shard], "n_docs": [n], "n_tokens": [int(sum(int(c.sum()) for c in counts))], "n_bytes": [total]},
             schema=pa.schema([("shard", pa.int32()), ("n_docs", pa.int64()), ("n_tokens", pa.int64()), ("n_bytes", pa.int64())]))
 
-    total = table.agg(F.coalesce(F.sum("n_tokens"), F.lit(0))).first()[0]
-    files = max(1, -(-total // shard_tokens))
-    codes = tables.mapped(table, coded, "row long, doc_id long, n_tokens long, control binary, data binary")
-    ordered = codes.repartitionByRange(files, "doc_id", "row").sortWithinPartitions("doc_id", "row")
+    placed, files = _placed(table, shard_tokens)
+    codes = tables.mapped(placed, coded, "row long, doc_id long, n_tokens long, shard int, control binary, data binary")
+    ordered = codes.repartitionById(files, "shard").sortWithinPartitions("doc_id", "row")
     tables.mapped(ordered, saved, SHARDS).write.parquet(f"{folder}/shards")
 
 
+def _placed(table: DataFrame, shard_tokens: int) -> tuple[DataFrame, int]:
+    """The table with the number of each row's file, and how many files there are.
+
+    Ranges of (doc_id, row), a few per file, are summed up; consecutive ones go to a file until it is full. A hot doc_id is
+    cut by row.
+    """
+    rows, total = table.agg(F.count(F.lit(1)), F.coalesce(F.sum("n_tokens"), F.lit(0))).first()
+    files = max(1, -(-total // shard_tokens))
+    if files == 1:
+        return table.withColumn("shard", F.lit(0)), 1
+    order = F.coalesce(F.col("doc_id").cast("double"), F.lit(-sys.float_info.max))
+    cut = prefix.ranged(table, order, F.col("row"), False, max(1, rows // (RANGES * files))).drop("_order", "_tie")
+    sums = cut.groupBy("_range", "_part").agg(F.sum("n_tokens").alias("n")).orderBy("_range", "_part").collect()  # a few per file
+    begins = np.cumsum([0, *(r["n"] for r in sums)])[:-1]
+    shards = [(r["_range"], r["_part"], int(b // shard_tokens)) for r, b in zip(sums, begins, strict=True)]
+    numbers = table.sparkSession.createDataFrame(shards, "_range int, _part int, shard int")
+    return cut.join(numbers, ["_range", "_part"]).drop("_range", "_part"), shards[-1][2] + 1
+
+
 def read(spark: SparkSession, folder: str) -> DataFrame:
     """Every document of a folder: its file, number within it, start there and overall, and ids.
 

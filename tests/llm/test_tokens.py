@@ -7,13 +7,14 @@ import random
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from addrwatch.llm import token_files, tokens
 
 TEXTS = [
     "", " ", "\n", "don't 'saw' it's they'll we'VE", "word.\n\nNext,word  two   three\t\ttab \n x", "a\x1c \x1fb\x85c d　e",
-    "ÀÉÎ straße ŒUVRE İstanbul ΟΔΥΣΣΕΥΣ", "Ź ẹ́ ́x", "12,345.67 v2.0", "<|endoftext|> <|startoftext|>x", "🙂🙃 café́",
+    "ÀÉÎ straße ŒUVRE İstanbul ΟΔΥΣΣΕΥΣ", "Ź ẹ́ ́x", "12,345.67 v2.0", "<|endoftext|> <|startoftext|>x", "a<|EndOfText|>b <|endoftext|>", "word. <|endoftext|>\n\n<|endoftext|><|startoftext|> x", "🙂🙃 café́",
     "foo.bar(baz)['q'];\r\n\tif (x){y}", "   lead", "trail   ", "a b   c", "x" * 500 + "."]
 
 
@@ -21,7 +22,6 @@ TEXTS = [
 def test_cut_texts_give_the_same_ids(name):
     path = public_tokenizers.path(name)
     whole = Tokenizer.from_file(path)
-    whole.encode_special_tokens = True
     own = tokens.TextTokenizer(path)
     assert own.letters is not None
     rng = random.Random(3)
@@ -66,6 +66,19 @@ def test_files_hold_all_documents_in_order(spark, tmp_path):
         start += len(ids)
 
 
+def test_a_hot_identifier_is_cut_into_files_by_row(spark, tmp_path):
+    rows = [(i, 5 if i % 3 else i, 3) for i in range(600)]
+    table = spark.createDataFrame(rows, "row long, doc_id long, n long").select("row", "doc_id", F.col("n").alias("n_tokens"))
+    table = table.withColumn("ids", F.unhex(F.repeat(F.lit("07000000"), 3)))
+    folder = f"file://{tmp_path}/ids"
+    token_files.write(table.repartition(4), folder, shard_tokens=90)
+    got = sorted(token_files.read(spark, folder).collect(), key=lambda r: r["start"])
+    assert [r["doc_id"] for r in got] == sorted(d for _, d, _ in rows)
+    assert [r["start"] for r in got] == list(range(0, 1800, 3))
+    held = [sum(1 for r in got if r["shard"] == s) for s in {r["shard"] for r in got}]
+    assert len(held) > 10 and max(held) <= 60
+
+
 def test_broken_files_are_refused():
     with pytest.raises(ValueError):
         list(token_files._documents(np.zeros(40, np.uint8), np.zeros(1, "<u4")))
