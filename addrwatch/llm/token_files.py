@@ -177,7 +177,8 @@ def _placed(table: DataFrame, shard_tokens: int) -> tuple[DataFrame, int]:
     begins = np.cumsum([0, *(r["n"] for r in sums)])[:-1]
     shards = [(r["_range"], r["_part"], int(b // shard_tokens)) for r, b in zip(sums, begins, strict=True)]
     numbers = table.sparkSession.createDataFrame(shards, "_range int, _part int, shard int")
-    return cut.join(numbers, ["_range", "_part"]).drop("_range", "_part"), shards[-1][2] + 1
+    # A few rows per file, three integers each: the ids aren't moved for this join.
+    return cut.join(F.broadcast(numbers), ["_range", "_part"]).drop("_range", "_part"), shards[-1][2] + 1
 
 
 def read(spark: SparkSession, folder: str) -> DataFrame:
