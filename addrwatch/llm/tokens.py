@@ -49,7 +49,9 @@ class TextTokenizer:
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         kind = _kind(spec)
-        self.added = [t["content"].lower() for t in spec.get("added_tokens") or []]
+        added = spec.get("added_tokens") or []
+        self.added = [t["content"] for t in added if not t.get("normalized")]
+        self.added_in_any_form = [t["content"].lower() for t in added if t.get("normalized")]
         self.letters = None
         if kind == "words":
             # White space is dropped, and nothing reaches across it.
@@ -80,9 +82,13 @@ class TextTokenizer:
         return b"".join(map(self.parts.__getitem__, self.cut(text)))
 
     def _may_hold_added_tokens(self, text: str) -> bool:
-        """Whether the string of an added token, in any case, is in the text."""
+        """Whether the string of an added token is in the text, in any case for those that are looked for in normalised text."""
+        if any(t in text for t in self.added):
+            return True
+        if not self.added_in_any_form:
+            return False
         low = text.lower()
-        return any(t in low for t in self.added)
+        return any(t in low for t in self.added_in_any_form)
 
 
 def _kind(spec: dict) -> str:
