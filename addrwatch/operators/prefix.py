@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 from addrwatch import config
 
 _SPARE = ["_order", "_range", "_part", "_tie"]
+# Small tables are cut into so many ranges, for as many tasks.
+_LEAST_RANGES = 8
 
 
 def _cuts(df: DataFrame, col: str, ranges: int) -> tuple[list[float], dict[float, int]]:
@@ -66,29 +68,33 @@ def ranged(df: DataFrame, order: Column, tie: Column | None, descending: bool, r
 
     The cut points come first, from narrow scans, because all branches of a plan must share them.
     """
+    return _ranged(df, order, tie, descending, rows_per_range)[0]
+
+
+def _ranged(df: DataFrame, order: Column, tie: Column | None, descending: bool, rows_per_range: int) -> tuple[DataFrame, int]:
+    """``ranged`` and how many values ``_range`` may have."""
     sign = -1.0 if descending else 1.0
     df = df.withColumn("_order", order.cast("double") * F.lit(sign) + F.lit(0.0)).withColumn("_tie", F.lit(0) if tie is None else tie)
     df = df.filter(F.col("_order").isNotNull() & ~F.isnan("_order"))
-    ranges = -(-df.count() // rows_per_range)
+    ranges = max(-(-df.count() // rows_per_range), _LEAST_RANGES)
     cuts, hot = _cuts(df.select("_order"), "_order", ranges)
     df = _bucket(df, "_order", cuts, "_range")
     if tie is None or not hot:
-        return df.withColumn("_part", F.lit(0))
+        return df.withColumn("_part", F.lit(0)), len(cuts) + 1
     # At most two numbers per range: a megabyte for ten billion rows. A merge join would gather each hot value in one task.
     cut = df.join(F.broadcast(_tie_cuts(df.select("_order", "_tie"), hot)), F.col("_order") == F.col("_hot"), "left")
     part = F.when(F.col("_cuts").isNull() | F.col("_tie").isNull(), 0).otherwise(_place(F.col("_cuts"), F.col("_tie").cast("double")))
-    return cut.withColumn("_part", part).drop("_hot", "_cuts")
+    return cut.withColumn("_part", part).drop("_hot", "_cuts"), len(cuts) + 1
 
 
-def _offsets(df: DataFrame, totals: Mapping[str, Column]) -> DataFrame:
+def _offsets(df: DataFrame, totals: Mapping[str, Column], ranges: int) -> DataFrame:
     """``(_range, _part, _from_*)``: totals of all ranges before each.
 
     Ranges are summed into blocks of about the root of their number. The block sums are one short
     array, each block's offset a sum over it; a window adds up the ranges before each inside its block.
     """
     sums = df.groupBy("_range", "_part").agg(*[F.sum(f"_add_{n}").alias(f"_sum_{n}") for n in totals])
-    last = df.agg(F.max("_range")).scalar()
-    sums = sums.withColumn("_block", F.floor(F.col("_range") / F.ceil(F.sqrt(last + 1))))
+    sums = sums.withColumn("_block", F.floor(F.col("_range") / math.ceil(math.sqrt(ranges))))
     blocks = sums.groupBy("_block").agg(*[F.sum(f"_sum_{n}").alias(f"_all_{n}") for n in totals])
     listed = blocks.agg(F.collect_list(F.struct("_block", *[f"_all_{n}" for n in totals])).alias("_blocks")).scalar()
     inside = Window.partitionBy("_block").orderBy("_range", "_part").rowsBetween(Window.unboundedPreceding, -1)
@@ -130,9 +136,10 @@ def running_totals(
     The rows are shuffled once, by range: the join with the offsets and the window share that.
     ``extra`` names further columns computed from the totals, in window order, over ``here()``.
     """
-    df = ranged(df, order, tie, descending, rows_per_range).withColumns({f"_add_{name}": col for name, col in totals.items()})
+    df, ranges = _ranged(df, order, tie, descending, rows_per_range)
+    df = df.withColumns({f"_add_{name}": col for name, col in totals.items()})
     within = here().rowsBetween(Window.unboundedPreceding, 0)
-    joined = df.join(_offsets(df, totals), ["_range", "_part"])
+    joined = df.join(_offsets(df, totals, ranges), ["_range", "_part"])
     found = joined.withColumns({n: F.sum(f"_add_{n}").over(within) + F.col(f"_from_{n}") for n in totals})
     if extra:
         found = found.withColumns(dict(extra))
