@@ -13,9 +13,11 @@ from __future__ import annotations
 
 import base64
 import binascii
+import bisect
+import itertools
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Container, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -31,8 +33,10 @@ _ASSIGN = re.compile(
     r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]+")
+#: Nothing in it is tried twice: no part gives back what it took, and none goes past the next five dashes.
 _PEM = re.compile(
-    r"-----BEGIN ([A-Z0-9 ]*KEY)-----\s+((?:[A-Za-z][A-Za-z0-9-]*:[^\n]*\n(?:[ \t]+[^\n]*\n)*)*)([A-Za-z0-9+/=\s]+?)\s*-----END \1-----", re.ASCII)
+    r"-----BEGIN ([A-Z0-9 ]*KEY)-----\s++((?:[A-Za-z][A-Za-z0-9-]*+:(?:(?!-----)[^\n])*+\n(?:[ \t]++(?:(?!-----)[^\n])*+\n)*+)*+)"
+    r"([A-Za-z0-9+/=\s]++)-----END \1-----", re.ASCII)
 _CIPHER = re.compile(r"Proc-Type:\s*4,\s*ENCRYPTED\s[\s\S]*DEK-Info:", re.ASCII)
 #: Lines of base64 digits under each other, and where in them a key may start.
 _LINES = re.compile(r"[A-Za-z0-9+/_-]{32,}(?:\r?\n[ \t]*[A-Za-z0-9+/_-]+)*")
@@ -41,6 +45,10 @@ _START = re.compile(r"M[A-P]|AAAA[A-Za-z0-9+/_-]{2}(?:Nz|Vj|Nr)|b3BlbnNza")
 _RUN = re.compile(r"[A-Za-z0-9+/_-]{32,}={0,2}")
 _HEX_RUN = re.compile(r"(?<![0-9A-Za-z])(?:[0-9A-Fa-f]{2}){24,}(?![0-9A-Za-z])")
 _TOKEN = re.compile(r"(?<![A-Za-z0-9_-])(ey[A-Za-z0-9_-]{8,})\.(ey[A-Za-z0-9_-]{4,})\.([A-Za-z0-9_-]*)")
+#: What key files begin with, and the names public keys begin with.
+_MAGIC = b"openssh-key-v1\0"
+_NAME = re.compile(rb"(ssh|ecdsa|sk-ssh|sk-ecdsa)-[a-z0-9@.-]+")
+_LONGEST_NAME = 256
 
 
 def decoded(digits: str) -> bytes | None:
@@ -80,11 +88,15 @@ def _sound(data: bytes, start: int, end: int, depth: int = DEPTH) -> bool:
         not tag & 0x20 or _sound(data, a, b, depth - 1) for tag, a, b in found)
 
 
-def is_key(data: bytes | None) -> bool:
-    """Whether bytes are one DER sequence of the shape of a key."""
-    if not data or len(data) < 16 or data[0] != 0x30 or not _sound(data, 0, len(data)):
+def is_key(data: bytes | None, start: int = 0, end: int | None = None) -> bool:
+    """Whether bytes, or a range of them, are one DER sequence of the shape of a key.
+
+    Only the heads of the values are read, so a range costs what its values do, not its bytes.
+    """
+    end = len(data or b"") if end is None else end
+    if end - start < 16 or data[start] != 0x30 or not _sound(data, start, end):
         return False
-    outer = _parts(data, 0, len(data))
+    outer = _parts(data, start, end)
     if len(outer) != 1:
         return False
     inner = _parts(data, *outer[0][1:])
@@ -105,25 +117,44 @@ def is_key(data: bytes | None) -> bool:
     return tags[1:2] == [0x04] and data[inner[0][1] : inner[0][2]] == b"\x01"  # curve key
 
 
+def _part_end(data: bytes, at: int) -> int:
+    """Where the length-prefixed part at a place ends, or -1."""
+    end = at + 4 + int.from_bytes(data[at : at + 4], "big")
+    return end if at + 4 <= len(data) and end <= len(data) else -1
+
+
+def ssh_end(data: bytes, start: int, stops: Container[int], failed: set[int], least: int = 0) -> int:
+    """The first of ``stops``, from ``least`` on, at which a key file or public key that starts here ends, or -1.
+
+    Where a part starts says where it ends, so two keys that come to one place go on alike:
+    places from which no stop is reached are noted in ``failed`` and never walked again.
+    """
+    if data.startswith(_MAGIC, start):
+        at, more = start + len(_MAGIC), 5
+    else:
+        at, more = _part_end(data, start), 1
+        if at < 0 or at - start > _LONGEST_NAME or not _NAME.fullmatch(data[start + 4 : at]):
+            return -1
+    for part in range(more):
+        if more == 5 and part == 3:
+            at += 4  # the number of keys
+        at = _part_end(data, at)
+        if at < 0:
+            return -1
+    walked = []
+    while at >= 0 and at not in failed:
+        if at >= least:
+            if at in stops:
+                return at
+            walked.append(at)
+        at = _part_end(data, at) if at < len(data) else -1
+    failed.update(walked)
+    return -1
+
+
 def is_ssh(data: bytes | None) -> bool:
     """Whether bytes are a key file or public key of length-prefixed parts."""
-    if not data:
-        return False
-    magic = b"openssh-key-v1\0"
-    at = len(magic) if data.startswith(magic) else 0
-    parts, keys = [], 0
-    while at < len(data):
-        if magic == data[: len(magic)] and len(parts) == 3 and not keys:
-            keys, at = 1, at + 4  # the number of keys
-            continue
-        size = int.from_bytes(data[at : at + 4], "big")
-        if at + 4 + size > len(data) or len(data) - at < 4:
-            return False
-        parts.append(data[at + 4 : at + 4 + size])
-        at += 4 + size
-    if data.startswith(magic):
-        return len(parts) >= 5
-    return len(parts) >= 2 and re.fullmatch(rb"(ssh|ecdsa|sk-ssh|sk-ecdsa)-[a-z0-9@.-]+", parts[0]) is not None
+    return bool(data) and ssh_end(data, 0, (len(data),), set()) == len(data)
 
 
 def _object(digits: str) -> dict | None:
@@ -145,33 +176,51 @@ def _der_digits(head: str) -> int:
     return -(-8 * (2 + n + (int.from_bytes(data[2 : 2 + n], "big") if n else size)) // 6)
 
 
+def _decodings(digits: str) -> list[bytes]:
+    """What the digits from the first, second, third and fourth on decode to, but for a last one that gives no byte."""
+    return [decoded(digits[k : len(digits) - ((len(digits) - k) % 4 == 1)]) or b"" for k in range(4)]
+
+
 def _inside(text: str) -> list[tuple[str, int, int]]:
-    """Keys in base64 that go over several lines or start inside a run of digits."""
+    """Keys in base64 that go over several lines or start inside a run of digits.
+
+    The lines' digits are decoded once for each of the four places a group of digits can start at; a key is a
+    range of one of these.
+    """
     out = []
     for m in _LINES.finditer(text):
         pieces = [x.span() for x in _LINE.finditer(text, *m.span())]
-        digits, ends, total = "".join(text[a:b] for a, b in pieces), {}, 0
-        first = []
-        for a, b in pieces:
-            first.append((total, a))
-            total += b - a
-            ends[total] = b
+        digits = "".join(text[a:b] for a, b in pieces)
+        first = list(itertools.accumulate((b - a for a, b in pieces), initial=0))  # digits before each piece
+        ends = {total: b for total, (_, b) in zip(first[1:], pieces, strict=True)}
+        bytes_of, stops, failed = None, {}, [set() for _ in range(4)]
         done = 0
         for start in _START.finditer(digits):
             at = start.start()
             if at < done:
                 continue
+            shift, byte = at % 4, at // 4 * 3
+            bytes_of = bytes_of or _decodings(digits)
             if digits[at] == "M":
-                stops, kind, fits = [at + _der_digits(digits[at : at + 8])], "key", is_key
+                kind, stop = "key", at + _der_digits(digits[at : at + 8])
+                if stop not in ends or stop - at < 32 or not is_key(bytes_of[shift], byte, byte + (stop - at) * 6 // 8):
+                    continue
             else:
-                stops, kind, fits = [k for k in ends if k > at], "ssh", is_ssh
-            for stop in stops:
-                if stop in ends and stop - at >= 32 and fits(decoded(digits[at:stop])):
-                    end = ends[stop]
-                    end += len(text[end : end + 2]) - len(text[end : end + 2].lstrip("="))
-                    out.append((kind, next(a + at - t for t, a in reversed(first) if t <= at), end))
-                    done = stop
-                    break
+                kind = "ssh"
+                if shift not in stops:
+                    stops[shift] = {}
+                    for k in ends:
+                        if k > shift and (k - shift) % 4 != 1:
+                            stops[shift].setdefault((k - shift) * 6 // 8, k)
+                end = ssh_end(bytes_of[shift], byte, stops[shift], failed[shift], byte + 24)
+                if end < 0:
+                    continue
+                stop = stops[shift][end]
+            end = ends[stop]
+            end += len(text[end : end + 2]) - len(text[end : end + 2].lstrip("="))
+            piece = bisect.bisect_right(first, at) - 1
+            out.append((kind, pieces[piece][0] + at - first[piece], end))
+            done = stop
     return out
 
 
@@ -192,8 +241,13 @@ def find(text: str) -> list[tuple[str, int, int]]:
         elif m[0].startswith(("AAAA", "b3BlbnNz")) and is_ssh(decoded(m[0])):
             out.append(("ssh", m.start(), m.end()))
     whole = {(kind, b) for kind, _, b in out if kind in ("key", "ssh")}
-    armour = [(a, b) for kind, a, b in out if kind == "pem"]
-    out += [x for x in _inside(text) if (x[0], x[2]) not in whole and not any(a <= x[1] and x[2] <= b for a, b in armour)]
+    armour = [(a, b) for kind, a, b in out if kind == "pem"]  # by start, apart from each other
+
+    def armoured(start: int, end: int) -> bool:
+        at = bisect.bisect_right(armour, (start, len(text))) - 1
+        return at >= 0 and end <= armour[at][1]
+
+    out += [x for x in _inside(text) if (x[0], x[2]) not in whole and not armoured(*x[1:])]
     for m in _HEX_RUN.finditer(text):
         if m[0].startswith("30") and is_key(bytes.fromhex(m[0])):
             out.append(("key", m.start(), m.end()))

@@ -4,8 +4,13 @@ from __future__ import annotations
 
 import base64
 import json
+import random
 import re
 import struct
+import time
+
+import pyarrow.parquet as pq
+import pytest
 
 from addrwatch.llm import secrets
 
@@ -98,3 +103,95 @@ def test_keys_in_other_writings():
     assert not kinds(block("Comment: mine\n", bytes(range(64)))) and not kinds(block(head, bytes(range(63))))
     for key in (WRAPPED, ssh):
         assert not kinds(f"see /{b64(key[:-4])} here") and not kinds(f"see /{b64(key + b'xyz')} here")
+
+
+def plain_base(text: str) -> list[tuple[str, int, int]]:
+    """The base kinds character by character, without the operator's patterns."""
+    value = set("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-")
+    words = ["password", "passwd", "secret", "token", "api_key", "apikey"]
+
+    def run(at: int, allowed) -> int:
+        while at < len(text) and text[at] in allowed:
+            at += 1
+        return at
+
+    def assigned(at: int) -> tuple[int, int] | None:
+        low = "".join(c.lower() if c.isascii() else c for c in text[at : at + 8])
+        word = next((w for w in words if low.startswith(w)), None)
+        if word is None:
+            return None
+        at += len(word)
+        at = run(at + (text[at : at + 1] in ("'", '"')), " ")
+        if text[at : at + 1] not in (":", "="):
+            return None
+        at = run(at + 1, " ")
+        at += text[at : at + 1] in ("'", '"')
+        end = run(at, value)
+        return (at, end) if end > at else None
+
+    out, at = [], 0
+    while at < len(text):
+        found = assigned(at)
+        if found and found[1] - found[0] >= 6:
+            out.append(("assign", at, found[1]))
+        at = found[1] if found else at + 1
+    at = 0
+    while (at := text.find("AKIA", at)) >= 0:
+        end = run(at + 4, "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789")
+        if end == at + 4:
+            at += 1
+            continue
+        out += [("access", at, end)] if end - at >= 20 else []
+        at = end
+    at = 0
+    while at < len(text):
+        end = run(at, "0123456789abcdef")
+        out += [("hex", at, end)] if end - at >= 24 else []
+        at = max(end, at + 1)
+    return sorted(out, key=lambda s: (s[1], secrets.KINDS.index(s[0])))
+
+
+def test_base_spans_equal_a_plain_search(sf):
+    rng = random.Random(7)
+    pieces = ["Password", "passwd", "SECRET", "token", "api_key", "ApiKey", "'", '"', " ", "  ", ":", "=", "==", "AKIA", "ABCDEFGH12345678",
+              "0123456789abcdef", "deadbeef", "é", "\n", "x.y-z/", "K", "ſecret", "toKen", "A"]
+    texts = ["".join(rng.choices(pieces, k=rng.randrange(1, 40))) for _ in range(3000)]
+    texts += [t or "" for t in pq.read_table(f"{sf}/documents.parquet", columns=["text"]).column("text").to_pylist()]
+    for text in texts:
+        assert [x for x in secrets.find(text) if x[0] in secrets.BASE] == plain_base(text), text[:200]
+
+
+def wrapped(digits: str, width: int = 64) -> str:
+    return "\n".join(digits[i : i + width] for i in range(0, len(digits), width))
+
+
+SSH = struct.pack(">I", 7) + b"ssh-rsa" + struct.pack(">I", 3) + b"\1\0\1" + struct.pack(">I", 129) + b"\0" + b"k" * 128
+HOSTILE = {
+    "header, then line feeds": "-----BEGIN RSA KEY-----" + "\n" * 1_000_000,
+    "headers in headers": "-----BEGIN RSA KEY-----\nA:" * 40_000,
+    "armour without an end": ("-----BEGIN KEY-----\n" + "Q" * 60 + "\n") * 12_000,
+    "indented header lines": "-----BEGIN KEY-----\nA: b\n" + " \t x\n" * 200_000,
+    "key starts that don't fit": ("AAAAB3NzaC1yc2E" + "A" * 49 + "\n") * 15_000,
+    "keys that run to the last line": (base64.b64encode(SSH[:-1] + b"\xff").decode().rstrip("=")[:64] + "\n") * 15_000,
+    "sequences that run on": "MIIB" * 250_000,
+    "long sequences on lines": ("MIQAAAABMIID" * 6 + "\n") * 14_000,
+    "many tokens": "eyJhbGciOiJub25lIn0." * 50_000,
+    "words and blanks": ("token" + " " * 95) * 10_000,
+}
+
+
+@pytest.mark.parametrize("name", list(HOSTILE))
+def test_a_hostile_megabyte_takes_little_time(name):
+    begun = time.process_time()
+    secrets.find(HOSTILE[name])
+    assert time.process_time() - begun < 5
+
+
+def test_keys_on_several_lines_after_many_false_starts():
+    false = ("AAAAB3NzaC1yc2E" + "A" * 49 + "\n") * 200
+    text = false + wrapped(b64(SSH)) + "\nend."
+    found = [x for x in secrets.find(text) if x[0] == "ssh"]
+    assert [(text[a:b].replace("\n", "")) for _, a, b in found] == [b64(SSH)]
+    for shift in range(4):
+        text = "x" * (32 + shift) + wrapped(b64(PRIVATE))
+        assert ("key", 32 + shift, len(text)) in secrets.find(text)
