@@ -108,10 +108,6 @@ ALERT_RULES = [
 
 # Ordered prefix sums are cut into ranges of about this many rows.
 RANGE_ROWS = 200_000
-# A key is treated as hot when it may hold this share of the rows or more.
-HOT_SHARE = 0.01
-# A hot key is spread over this many tasks.
-HOT_SALTS = 64
 
 
 def rule(alert: str) -> AlertRule:

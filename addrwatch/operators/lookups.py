@@ -19,10 +19,11 @@ def explain_lookup(lookups: DataFrame, predictions: DataFrame) -> DataFrame:
 
     The first look-up per request is a minimum, so the heavy look-ups of one
     request are combined where they are read, never gathered. Only the ids of the
-    winners go back to the look-ups.
+    winners go back to the look-ups. Look-ups without an id are misses and aren't shuffled.
     """
+    named = lookups.filter(F.col("request_id").isNotNull())
     asked, given = salt_keys(
-        lookups.select("lookup_id", "ts", "request_id"),
+        named.select("lookup_id", "ts", "request_id"),
         predictions.select("request_id", F.col("ts").alias("_made")),
         "request_id", "lookup_id",
     )
@@ -30,15 +31,16 @@ def explain_lookup(lookups: DataFrame, predictions: DataFrame) -> DataFrame:
     winners = after.groupBy("request_id").agg(F.min(F.struct("ts", "lookup_id")).alias("_first")).select(
         F.col("_first.lookup_id").alias("lookup_id"), F.lit(True).alias("_won")
     )
-    return lookups.join(winners, "lookup_id", "left").withColumn(
-        "hit", F.coalesce("_won", F.lit(False))
-    ).drop("_won")
+    served = named.join(winners, "lookup_id", "left").withColumn("hit", F.coalesce("_won", F.lit(False))).drop("_won")
+    return served.unionByName(lookups.filter(F.col("request_id").isNull()).withColumn("hit", F.lit(False)))
 
 
 def lookup_misses(lookups: DataFrame, predictions: DataFrame) -> DataFrame:
-    """Look-ups of ids that were never predicted."""
-    asked, given = salt_keys(lookups, predictions.select("request_id"), "request_id", "lookup_id")
-    return asked.join(given, ["request_id", "_salt"], "left_anti").drop("_salt")
+    """Look-ups of ids that were never predicted, those without an id among them, which aren't shuffled."""
+    named = lookups.filter(F.col("request_id").isNotNull())
+    asked, given = salt_keys(named, predictions.select("request_id"), "request_id", "lookup_id")
+    missed = asked.join(given, ["request_id", "_salt"], "left_anti").drop("_salt")
+    return missed.unionByName(lookups.filter(F.col("request_id").isNull()))
 
 
 def lookup_hit_rate(marked: DataFrame) -> DataFrame:

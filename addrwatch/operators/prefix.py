@@ -88,7 +88,7 @@ def _ranged(df: DataFrame, order: Column, tie: Column | None, descending: bool,
 
 
 def _offsets(df: DataFrame, totals: Mapping[str, Column], ranges: int) -> DataFrame:
-    """``(_range, _part, _from_*)``: totals of all ranges before each.
+    """``(_range, _part, _sum_*, _from_*)``: each range's own totals and those of all ranges before it.
 
     Ranges are summed into blocks of about the root of their number. The block sums are one short
     array, each block's offset a sum over it; a window adds up the ranges before each inside its block.
@@ -106,7 +106,7 @@ def _offsets(df: DataFrame, totals: Mapping[str, Column], ranges: int) -> DataFr
         blocks_before = F.aggregate(before, zero, lambda total, b: total + F.coalesce(b[f"_all_{name}"], zero))
         return (F.coalesce(F.sum(f"_sum_{name}").over(inside), zero) + blocks_before).alias(f"_from_{name}")
 
-    return sums.select("_range", "_part", *map(offset, totals))
+    return sums.select("_range", "_part", *[f"_sum_{name}" for name in totals], *map(offset, totals))
 
 
 def here() -> WindowSpec:
@@ -114,6 +114,15 @@ def here() -> WindowSpec:
     return Window.partitionBy("_range", "_part").orderBy("_order", "_tie")
 
 
+def with_range_totals(
+    df: DataFrame, order: Column, totals: Mapping[str, Column], descending: bool, rows_per_range: int
+) -> tuple[DataFrame, DataFrame]:
+    """Rows with their range and ``_add_*``, and each range's totals (``_offsets``): the rows aren't shuffled for either."""
+    df, ranges = _ranged(df, order, None, descending, rows_per_range)
+    df = df.withColumns({f"_add_{name}": col for name, col in totals.items()})
+    return df, _offsets(df, totals, ranges)
+
+
 def running_totals(
     df: DataFrame,
     order: Column,
@@ -139,7 +148,7 @@ def running_totals(
     df, ranges = _ranged(df, order, tie, descending, rows_per_range)
     df = df.withColumns({f"_add_{name}": col for name, col in totals.items()})
     within = here().rowsBetween(Window.unboundedPreceding, 0)
-    joined = df.join(_offsets(df, totals, ranges), ["_range", "_part"])
+    joined = df.join(_offsets(df, totals, ranges).drop(*[f"_sum_{n}" for n in totals]), ["_range", "_part"])
     found = joined.withColumns({n: F.sum(f"_add_{n}").over(within) + F.col(f"_from_{n}") for n in totals})
     if extra:
         found = found.withColumns(dict(extra))

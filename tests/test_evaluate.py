@@ -130,3 +130,30 @@ def test_running_totals_shuffle_their_rows_once_and_use_no_window_over_everythin
     text = plan._jdf.queryExecution().optimizedPlan().toString()
     assert "windowspecdefinition(_block" in text and "windowspecdefinition(_range" in text
     assert text.count("windowspecdefinition(") == text.count("windowspecdefinition(_")
+
+
+@pytest.mark.parametrize("shape", ["apart", "mixed", "one score", "null labels"])
+@pytest.mark.parametrize("rows_per_range", [1, 40, 10_000])
+def test_best_threshold_by_bounds_equals_the_whole_curve(spark, shape, rows_per_range):
+    rng = random.Random(11)
+    if shape == "apart":
+        rows = [(y, (rng.gauss(1.5 * y, 1))) for y in (rng.randint(0, 1) for _ in range(4000))]
+    elif shape == "mixed":
+        rows = [(rng.randint(0, 1), round(rng.random(), 2)) for _ in range(2000)]
+    elif shape == "one score":
+        rows = [(rng.randint(0, 1), .5) for _ in range(500)]
+    else:
+        rows = [(rng.choice([0, 1, None]), rng.choice([None, rng.random()])) for _ in range(1000)]
+    df = spark.createDataFrame(rows, "is_ransomware int, probability double").repartition(5)
+    curve = evaluate.roc_curve(df).collect()
+    want = max((round((r["tpr"] or 0.0) - (r["fpr"] or 0.0), 9), r["threshold"]) for r in curve)
+    row = evaluate.best_threshold(df, rows_per_range=rows_per_range).first()
+    assert (row["j"], row["threshold"]) == want
+
+
+def test_few_ranges_are_sorted_for_the_best_threshold(spark):
+    rng = random.Random(12)
+    df = scored(spark, *zip(*[(y, rng.gauss(2 * y, 1)) for y in (rng.randint(0, 1) for _ in range(20_000))]))
+    _, ranges = evaluate.bounded_ranges(df, rows_per_range=100)
+    assert ranges.count() > 150
+    assert 1 <= evaluate.open_ranges(ranges).count() < 20

@@ -6,7 +6,7 @@ from datetime import datetime, timedelta
 import pytest
 
 from addrwatch.operators import lookups
-from addrwatch.operators.skew import hot_keys
+from addrwatch.operators.skew import heavy_keys, salt_keys
 
 T0 = datetime(2024, 1, 1)
 
@@ -44,7 +44,7 @@ def test_hot_request_matches_brute_force(spark, parts):
     given = [(f"r{i}", rng.randint(0, 1000)) for i in range(300)]
     asked = [(i, rng.randint(0, 1000), "r7" if rng.random() < .4 else f"r{rng.randint(0, 400)}") for i in range(2000)]
     a, g = frames(spark, asked, given)
-    assert "r7" in hot_keys(a, "request_id")
+    assert "r7" in {r["_heavy"] for r in heavy_keys(a, "request_id").collect()}
     marked = lookups.explain_lookup(a.repartition(parts), g)
     assert {r["lookup_id"]: r["hit"] for r in marked.collect()} == brute(asked, given)
     known = {k for k, _ in given}
@@ -62,3 +62,23 @@ def test_running_rate_with_equal_times(spark):
         hits += hit
         want[i] = (hits, n)
     assert got == want
+
+
+def test_salts_follow_the_size_of_a_partition(spark):
+    rng = random.Random(8)
+    keys = [None] * 10_000 + ["hot"] * 3_000 + ["warm"] * 50 + [f"k{rng.randint(0, 4000)}" for _ in range(6_950)]
+    rng.shuffle(keys)
+    a, g = frames(spark, [(i, 5, k) for i, k in enumerate(keys)], [(k, 1) for k in {"hot", "warm", "k1", "none"}])
+    salts = {r["_heavy"]: r["_salts"] for r in heavy_keys(a, "request_id", 400).collect()}
+    assert salts == {"hot": 120, "warm": 2}
+    assert {r["_heavy"] for r in heavy_keys(a, "request_id", 8).collect()} == {"hot"}
+    asked, given = salt_keys(a, g, "request_id", "lookup_id", 400)
+    sizes = asked.filter("request_id = 'hot'").groupBy("_salt").count().collect()
+    assert len(sizes) == 120 and max(r["count"] for r in sizes) < 3 * 25
+    assert given.count() == 120 + 2 + 1 + 1
+    marked = lookups.explain_lookup(a, g)
+    assert {r["request_id"] for r in marked.filter("hit").collect()} == {"hot", "warm"} | ({"k1"} & set(keys))
+    assert marked.count() == len(keys) and marked.filter("request_id IS NULL AND NOT hit").count() == 10_000
+    assert lookups.lookup_misses(a, g).filter("request_id IS NULL").count() == 10_000
+    plan = lookups.lookup_misses(a, g)._jdf.queryExecution().optimizedPlan().toString()
+    assert "isnotnull(request_id" in plan
