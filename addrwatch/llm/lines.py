@@ -15,6 +15,7 @@ threshold is found in the bucket of the least key they share, and counted there
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -290,21 +291,26 @@ def _links(entries: DataFrame, texts_of, threshold: int) -> DataFrame:
     """
     met = _met(entries)
     texts = texts_of(met.select("id").distinct())
-    groups = met.where(F.col("lines") <= PAIRED).select(F.col("key").alias("g"), F.col("key").alias("root"), "id", F.lit(0).alias("side"))
+    rounds = [met.where(F.col("lines") <= PAIRED).select(F.col("key").alias("g"), F.col("key").alias("root"), "id", F.lit(0).alias("side"))]
     large = met.where(F.col("lines") > PAIRED).select("key", F.col("key").alias("root"), "id")
     while not large.isEmpty():
+        # Stored in each round, so that no plan grows with their number; merged, so that the driver builds no relations for them.
         seen = tables.stored(_measured(large, texts, threshold), "measured-lines")
         outer = seen.where("NOT inner")
-        counts = outer.groupBy("key", "first").agg(F.count(F.lit(1)).alias("n"))
-        points = outer.join(counts, ["key", "first"]).select("key", "root", F.col("first").alias("at"), "id", "n")
+        counts = outer.groupBy("key", "first").agg(F.count(F.lit(1)).alias("n")).hint("merge")
+        points = tables.stored(
+            outer.join(counts, ["key", "first"]).select("key", "root", F.col("first").alias("at"), "id", "n"), "line-places")
+        places = points.select("key", "at").distinct().hint("merge")
         spans = (outer.where("first < reach")
                  .select("key", "root", "id", F.explode(F.sequence(F.col("first") + 1, "reach")).alias("at"))
-                 .join(counts.select("key", F.col("first").alias("at")), ["key", "at"], "left_semi"))
-        groups = groups.unionByName(_grouped(seen.where("inner"), "inner", 0)).unionByName(
-            _grouped(seen.where("inner"), "shell", 1)).unionByName(_grouped(seen.where("shell"), "shell", 2)).unionByName(
-            _grouped(points.where(F.col("n") <= PAIRED), "place", 0, "at")).unionByName(
-            _grouped(points, "near", 1, "at")).unionByName(_grouped(spans, "near", 2, "at"))
-        large = tables.stored(points.where(F.col("n") > PAIRED).select(F.xxhash64("key", "at").alias("key"), "root", "id"), "large-buckets")
+                 .join(places, ["key", "at"], "left_semi"))
+        rounds.append(tables.stored(
+            _grouped(seen.where("inner"), "inner", 0).unionByName(
+                _grouped(seen.where("inner"), "shell", 1)).unionByName(_grouped(seen.where("shell"), "shell", 2)).unionByName(
+                _grouped(points.where(F.col("n") <= PAIRED), "place", 0, "at")).unionByName(
+                _grouped(points, "near", 1, "at")).unionByName(_grouped(spans, "near", 2, "at")), "line-groups"))
+        large = points.where(F.col("n") > PAIRED).select(F.xxhash64("key", "at").alias("key"), "root", "id")
+    groups = functools.reduce(DataFrame.unionByName, rounds)
     return tables.stored(_compared(tables.stored(groups, "line-groups"), texts, threshold), "line-links")
 
 
@@ -323,8 +329,8 @@ def _measured(buckets: DataFrame, texts: DataFrame, threshold: int) -> DataFrame
     others only if they are inner too or in the shell.
     """
     heads = buckets.groupBy("key").agg(F.min("id").alias("head"))
-    sides = (buckets.join(heads, "key").join(texts, "id")
-             .join(texts.select(F.col("id").alias("head"), F.col("line").alias("one")), "head"))
+    sides = (buckets.join(heads.hint("merge"), "key").join(texts.hint("merge"), "id")
+             .join(texts.select(F.col("id").alias("head"), F.col("line").alias("one")).hint("merge"), "head"))
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
