@@ -19,6 +19,9 @@ ACTIVITY = _struct(
     looped=_LONG, neighbors=_LONG, income=_DOUBLE, label=_STRING,
 )
 
+# The same as a dataset with one folder per date.
+ACTIVITY_BY_DATE = T.StructType([*ACTIVITY.fields, T.StructField("partition_date", T.DateType())])
+
 # The given tables behind the views.
 _WALL = T.TimestampNTZType()
 ORDERS = _struct(

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from addrwatch import config, schemas
 from addrwatch.operators import prep
@@ -47,6 +48,10 @@ def read_activity_since(
     path: str,
     start: date = config.START_DATE,
     extra: Sequence[str] = (),
+    schema: StructType = schemas.ACTIVITY_BY_DATE,
 ) -> DataFrame:
-    """Load columns (and ``extra`` ones) of the partitions from ``start`` on."""
-    return prep.filter_since(prep.select_columns(spark.read.parquet(path), extra=extra), start)
+    """Load columns (and ``extra`` ones) of the partitions from ``start`` on.
+
+    The schema is given, so no file is opened to find it and columns that only some files have are null elsewhere.
+    """
+    return prep.filter_since(prep.select_columns(spark.read.schema(schema).parquet(path), extra=extra), start)

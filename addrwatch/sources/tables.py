@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from addrwatch import config, schemas
 from addrwatch.operators.additive import AdditiveModel, model_from_tables, model_tables
@@ -14,12 +16,16 @@ from addrwatch.operators.stats import training_baseline
 
 
 def write_stage(df: DataFrame, path: str) -> str:
+    """Overwrite the table, and write its schema last to ``_schema`` beside the rows, which readers of rows pass over."""
     df.write.mode("overwrite").parquet(path)
+    df.sparkSession.createDataFrame([(df.schema.json(),)], "value string").coalesce(1).write.text(f"{path}/_schema")
     return path
 
 
 def read_stage(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    """The table in the schema it was written with; one whose writing never ended has none and can't be read."""
+    schema = "".join(r["value"] for r in spark.read.text(f"{path}/_schema").collect())
+    return spark.read.schema(StructType.fromJson(json.loads(schema))).parquet(path)
 
 
 def read_requests(

@@ -6,6 +6,7 @@ import os
 from datetime import date, datetime
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from addrwatch import config, schemas, views
@@ -115,3 +116,17 @@ def test_scratch_of_a_training_is_deleted_and_results_are_those_of_the_call(spar
     assert len(runs) == 6
     for r in runs:
         assert tables.load_stats(spark, f"{out}/models/{r['run_id']}/stats").count() == 5
+
+
+def test_a_stage_keeps_its_schema(spark, tmp_path):
+    path = str(tmp_path / "stage")
+    df = spark.createDataFrame([(1, 2.5, "x"), (0, None, "é")], "is_ransomware int, `odd name` double, note string")
+    tables.write_stage(df, path)
+    tables.write_stage(df, path)
+    read = tables.read_stage(spark, path)
+    assert read.schema == df.schema
+    assert sorted(map(tuple, read.collect()), key=str) == sorted(map(tuple, df.collect()), key=str)
+    assert tables.read_stage(spark, tables.write_stage(df.limit(0), path)).count() == 0
+    df.write.mode("overwrite").parquet(path)
+    with pytest.raises(AnalysisException):
+        tables.read_stage(spark, path)
