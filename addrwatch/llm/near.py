@@ -8,11 +8,13 @@ weighted Jaccard similarity. Texts that agree in all samples of a band meet, and
 similarity of at least THRESHOLD are linked; classes are the connected components.
 
 Texts with the same words are one node from the start. Within a band's bucket every node is
-verified against the least one. A bucket that holds one class then needs no more. A larger one that
-doesn't, as a common passage makes it, is dealt anew by more samples a band, which its
-nodes rarely share. What is left is settled in rounds: in each bucket some nodes outside
-its largest class are verified against all nodes of other classes, and then leave it, until
-no bucket holds two classes.
+verified against the least one. A bucket that holds one class then needs no more. The nodes of
+the others, such as those that a common passage brings together, are told apart by an exact
+prefix rule: two texts at the threshold must share a shingle among the rarest of each, those
+left when the commonest ones with less than the threshold's share of a text's weight are taken away.
+Frequencies are counted over those nodes. What shares such a shingle is settled in rounds: in each
+bucket some nodes outside its largest class are verified against all nodes of other classes,
+and then leave it, until no bucket holds two classes.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from addrwatch.llm import components, tables, words
 
@@ -31,9 +33,10 @@ SHINGLE = 5
 THRESHOLD = 0.8
 #: Bands and samples in each: two texts at the threshold meet with a probability of 0.9997.
 BANDS, SAMPLES = 8, 2
-#: The same for buckets dealt anew: 0.9998.
-FINE_BANDS, FINE_SAMPLES = 16, 4
+#: Nodes of a bucket that are verified against its other classes in a round, about.
 PAIRED = 32
+#: What rounding may add to or take from a share of a text's weight.
+ROUNDING = 1e-4
 #: Texts that are verified against one text in a task.
 GROUP = 64
 #: Entries of the table of document frequencies, as a power of two.
@@ -187,7 +190,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, id_col: str =
     pairs = met.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
     links = [tables.stored(_verified(pairs, texts, idf, threshold), "near-links")]
     classes = components.connected(links[0])
-    open_ = _dealt_anew(_mixed(met.select("band", "key", "node"), classes), texts, idf)
+    open_ = _by_prefix(_mixed(met.select("band", "key", "node"), classes), texts, idf, threshold)
     while not (open_ := _mixed(open_, classes)).isEmpty():
         pivots = _pivots(open_)
         across = (pivots.withColumnsRenamed({"node": "a", "component": "one"}).join(open_, ["band", "key"])
@@ -243,27 +246,31 @@ def _mixed(buckets: DataFrame, classes: DataFrame) -> DataFrame:
     return tables.stored(known.join(mixed.select("band", "key"), ["band", "key"]), "mixed-buckets")
 
 
-def _dealt_anew(open_: DataFrame, texts: DataFrame, idf) -> DataFrame:
-    """(band, key, node) of the small buckets, and of new ones for the nodes of the others."""
-    sizes = open_.groupBy("band", "key").agg(F.count(F.lit(1)).alias("nodes"))
-    sized = open_.join(sizes, ["band", "key"])
-    large = sized.where(F.col("nodes") > PAIRED).select("node").distinct().join(texts, "node")
+def _by_prefix(open_: DataFrame, texts: DataFrame, idf, threshold: float) -> DataFrame:
+    """(band, key, node): new buckets for all nodes of the open ones, one per shingle that is among the rarest of two nodes.
 
-    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    Shingles are ordered by the number of nodes that have them. Two texts at the threshold share at least
+    its part of either's weight, so more than what lies behind the prefix: no link is lost here. A shingle
+    of one node only is in no bucket, but counts in its text's weight.
+    """
+    own = tables.stored(open_.select("node").distinct().join(texts, "node"), "open-texts")
+
+    def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in tables.slices(batch, "text"):
-                own = Weights(tables.column(part, "text"), idf.value)
-                bands = _bands(own.samples(FINE_BANDS * FINE_SAMPLES, seed=1000), FINE_SAMPLES)
+                found = Weights(tables.column(part, "text"), idf.value)
+                whole = np.bincount(found.doc, found.weights, part.num_rows)
+                node = np.asarray(tables.column(part, "node"))
                 yield pa.RecordBatch.from_arrays(
-                    [tables.column(part, "node"), pa.array(bands.view(np.int64).tolist(), pa.list_(pa.int64()))], ["node", "bands"])
-
-    fine = tables.mapped(large, dealt, "node long, bands array<long>").select("node", F.posexplode("bands").alias("band", "key"))
-    fine = tables.stored(fine.withColumn("band", F.col("band") + BANDS), "fine-buckets")
-    shared = fine.groupBy("band", "key").count().where("count > 1").select("band", "key")
-    both = sized.where(F.col("nodes") <= PAIRED).select("band", "key", "node").unionByName(
-        fine.join(shared, ["band", "key"]).select("band", "key", "node"))
-    # A union of two sides dealt by the same keys must not reach later joins by these keys unstored: Spark would zip its partitions.
-    return tables.stored(both, "open-buckets")
+                    [pa.array(found.hashes.view(np.int64)), pa.array(node[found.doc]),
+                     pa.array((found.weights / whole[found.doc]).astype(np.float32))], ["key", "node", "share"])
+
+    shingles = tables.mapped(own, shingled, "key long, node long, share float")
+    common = shingles.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    commonest = Window.partitionBy("node").orderBy(F.desc("n"), F.desc("key")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = shingles.join(common, "key").withColumn("behind", F.sum("share").over(commonest))
+    rare = placed.where(F.col("behind") >= threshold - ROUNDING).select(F.lit(BANDS).alias("band"), "key", "node")
+    return tables.stored(rare, "prefix-buckets")
 
 
 def _pivots(open_: DataFrame) -> DataFrame:

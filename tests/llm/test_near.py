@@ -69,6 +69,56 @@ def test_classes_are_those_of_all_pairs(spark, monkeypatch, paired):
     assert set(map(frozenset, got.values())) == classes(texts, idf, near.THRESHOLD)
 
 
+def test_links_close_to_the_threshold_are_found_beside_a_common_passage(spark):
+    rng = random.Random(11)
+    passage = [f"p{k}" for k in range(80)]
+    texts = []
+    for g in range(150):
+        base = [f"g{g}x{k}" for k in range(200)]
+        other = base[:]
+        for k in rng.sample(range(200), 5):
+            other[k] = f"e{g}x{k}"
+        texts += [" ".join(base + passage), " ".join(other + passage)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    own = near.Weights(pa.array(texts), near.inverse_frequencies(df))
+    linked = {g for g in range(150) if near.similarity(own.of(2 * g), own.of(2 * g + 1)) >= near.THRESHOLD}
+    close = {g for g in linked if near.similarity(own.of(2 * g), own.of(2 * g + 1)) < 0.86}
+    assert len(close) > 20
+    found = {}
+    for r in near.near_duplicates(df).collect():
+        found.setdefault(r["class_id"], set()).add(r["doc_id"])
+    assert all(len({d // 2 for d in group}) == 1 for group in found.values())  # a passage alone links nothing
+    both = {min(group) // 2 for group in found.values() if len(group) == 2}
+    assert both <= linked
+    assert len(both & close) >= 0.9 * len(close)
+
+
+def test_texts_at_the_threshold_share_a_prefix_shingle(spark):
+    """Every pair of texts that is similar enough meets by its rarest shingles, whatever else they share."""
+    rng = random.Random(3)
+    passage = [f"p{k}" for k in range(50)]
+    texts = []
+    for g in range(12):
+        base = [f"g{g}x{rng.randrange(60)}" for _ in range(90)] + passage * (g % 3)
+        for _ in range(5):
+            own = base[:]
+            for k in rng.sample(range(90), rng.choice([0, 1, 2, 3])):
+                own[k] = f"e{rng.randrange(50)}"
+            texts.append(" ".join(own))
+    idf = near.inverse_frequencies(spark.createDataFrame([(t,) for t in texts], "text string"))
+    rows = spark.createDataFrame(list(enumerate(texts)), "node long, text string")
+    buckets = near._by_prefix(rows.select("node"), rows, spark.sparkContext.broadcast(idf), near.THRESHOLD).collect()
+    keys = {}
+    for r in buckets:
+        keys.setdefault(r["node"], set()).add(r["key"])
+    own, n = near.Weights(pa.array(texts), idf), 0
+    for i, j in itertools.combinations(range(len(texts)), 2):
+        if near.similarity(own.of(i), own.of(j)) >= near.THRESHOLD:
+            n += 1
+            assert keys.get(i, set()) & keys.get(j, set())
+    assert n > 20
+
+
 def test_repeated_rows_are_one_class(spark):
     rows = [(1, "a b c d e f g"), (1, "a b c d e f g"), (None, "a b c d e f g"), (None, None), (None, None)]
     got = near.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
