@@ -210,10 +210,10 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, id_col: str =
 
 
 def _texts(keyed: DataFrame, nodes: DataFrame, met: DataFrame) -> DataFrame:
-    """(node, text) of the nodes that meet another one, stored."""
+    """(node, text) of the nodes that meet another one, stored in buckets by node: no round shuffles all of them again."""
     wanted = met.select("node").distinct().join(nodes.select("node", "text_key", "text_bytes"), "node")
     texts = keyed.select("text_key", "text_bytes", "text").dropDuplicates(["text_key", "text_bytes"])
-    return tables.stored(texts.join(wanted, ["text_key", "text_bytes"]).select("node", "text"), "near-texts")
+    return tables.bucketed(texts.join(wanted, ["text_key", "text_bytes"]).select("node", "text"), "node", "near_texts")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, idf, threshold: float) -> DataFrame:

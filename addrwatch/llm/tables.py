@@ -45,6 +45,16 @@ def numbered(docs: DataFrame, purpose: str) -> tuple[DataFrame, int]:
     return docs.sparkSession.table(name), buckets
 
 
+def bucketed(df: DataFrame, key: str, purpose: str) -> DataFrame:
+    """The rows, stored in as many buckets by a key as a shuffle has partitions, so that joins by that key don't move them."""
+    spark = df.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"{purpose}_{uuid.uuid4().hex}"
+    df.repartition(buckets, key).write.option("path", scratch_dir(spark, purpose)).option("compression", "zstd").bucketBy(
+        buckets, key).saveAsTable(name, format="parquet")
+    return spark.table(name)
+
+
 def mapped(df: DataFrame, fn, schema) -> DataFrame:
     """mapInArrow with this package at hand in the workers."""
     ship_package(df.sparkSession)

@@ -8,8 +8,9 @@ import random
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
-from addrwatch.llm import near
+from addrwatch.llm import near, tables
 
 
 def test_agreement_is_the_weighted_similarity():
@@ -119,6 +120,14 @@ def test_texts_at_the_threshold_share_a_prefix_shingle(spark):
     assert n > 20
 
 
+def test_stored_texts_are_not_shuffled_by_joins(spark):
+    own = tables.bucketed(spark.range(100).select(F.col("id").alias("node"), F.lit("x").alias("text")), "node", "bucket_test")
+    plan = spark.range(50).select(F.col("id").alias("node")).join(own.hint("merge"), "node")
+    shown = plan._jdf.queryExecution().executedPlan().toString()
+    assert shown.count("Exchange hashpartitioning") <= 1
+    assert sorted(r["node"] for r in plan.collect()) == list(range(50))
+
+
 def test_repeated_rows_are_one_class(spark):
     rows = [(1, "a b c d e f g"), (1, "a b c d e f g"), (None, "a b c d e f g"), (None, None), (None, None)]
     got = near.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
