@@ -299,8 +299,8 @@ X5_SQL = _alert_sql("issues", sliding("issues", "quality_rule"), "quality_rule",
 X6_SQL = _gauge_sql("psi_series", "samples", "target", X6, "request_id", _PSI_SAMPLES)
 X7_SQL = _gauge_sql("psi_series", "samples", "target", X7, "request_id", _PSI_SAMPLES)
 X8_SQL = _alert_sql("labelled_pred", X8_TICKS, "label", X8)
-X9_SQL = _gauge_sql("running", "samples", "", X9, "lookup_id", {
-    "samples": "SELECT lookup_id, ts, hits * 100.0::DOUBLE / seen AS value FROM running"})
+RUNNING_SAMPLES = {"samples": "SELECT lookup_id, ts, hits * 100.0::DOUBLE / seen AS value FROM running"}
+X9_SQL = _gauge_sql("running", "samples", "", X9, "lookup_id", RUNNING_SAMPLES)
 X10_SQL = _alert_sql("labelled_pred", sliding(
     "(SELECT * FROM labelled_pred WHERE confidence_level = 'very high') e", "confidence_level"),
     "confidence_level", X10)

@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from addrwatch import config, views
 from addrwatch.catalog.fixed_model import FIXED
 from addrwatch.catalog.monitoring_queries import (
-    HOUR, QUARTER, REPORT_SHARES, REPORT_SQL, X3, X8, X8_TICKS, _alert_sql, _ERRORS, _gauge_sql, _MEMORY, _rates_sql, baseline,
+    HOUR, QUARTER, REPORT_SHARES, REPORT_SQL, RUNNING_SAMPLES, X3, X8, X8_TICKS, X9, _alert_sql, _ERRORS, _gauge_sql, _MEMORY,
+    _rates_sql, baseline,
 )
 from addrwatch.catalog.registry import places, query
 from addrwatch.catalog.scoring_queries import SERVED_SQL, fitted_stats, served_columns
@@ -153,3 +154,12 @@ def t6(spark, sf):
     events = event_stream(spark, sf)
     served = lookups.explain_stream(views.lookups_of(events), views.predictions_of(events))
     return drained(served, spark, "lookups").select("lookup_id", "ts", "request_id", "hit")
+
+
+@query("x9_low_hit_rate_stream", _gauge_sql(
+    "running", "samples", "", X9, "lookup_id", RUNNING_SAMPLES, until=_CLOSED.format(end="tick", source="samples")))
+def x9_stream(spark, sf):
+    events = event_stream(spark, sf)
+    served = lookups.explain_stream(views.lookups_of(events), views.predictions_of(events))
+    states = windows.hit_rate_alert_stream(served, X9, DELAY, stale=STALE)
+    return _plain(drained(states, spark, "alerts"), "tick")

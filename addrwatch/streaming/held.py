@@ -109,3 +109,22 @@ class HeldTicks(StatefulProcessor):
         if len(out):
             labels = {name: [value] * len(out) for name, value in zip(self.rule.by, key, strict=False)}
             yield pd.DataFrame({"tick": pd.to_datetime(out * self.rule.step, unit="s", utc=True), **labels, "state": states})
+
+
+class RunningShareTicks(HeldTicks):
+    """The same for a share of all events so far, in percent: state adds up the ``value`` and ``seen`` of its steps.
+
+    Steps come out once the watermark passes them, so what comes in one trigger is later than all before it.
+    """
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
+        self.totals = handle.getValueState("totals", "part double, seen double")
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        given = pd.concat(list(rows), ignore_index=True).sort_values("number")
+        part, seen = self.totals.get() if self.totals.exists() else (0.0, 0.0)
+        part = part + given["value"].cumsum().to_numpy(np.float64)
+        seen = seen + given["seen"].cumsum().to_numpy(np.float64)
+        self.totals.update((float(part[-1]), float(seen[-1])))
+        yield from self._until_watermark(key, given["number"].to_numpy(np.int64), part * 100.0 / seen, timerValues)

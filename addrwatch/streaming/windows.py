@@ -10,7 +10,7 @@ from addrwatch import config
 from addrwatch.functions.labels import label_name, risk_level
 from addrwatch.operators import alerts, rates
 from addrwatch.streaming import state
-from addrwatch.streaming.held import HeldTicks
+from addrwatch.streaming.held import HeldTicks, RunningShareTicks
 
 
 def watermarked(stream: DataFrame, delay: str, ts: str = "ts") -> DataFrame:
@@ -99,17 +99,36 @@ def gauge_alert_stream(
     return _held(latest, rule, stale)
 
 
-def _held(readings: DataFrame, rule: config.AlertRule, stale: int = 0) -> DataFrame:
+def hit_rate_alert_stream(
+    served: DataFrame, rule: config.AlertRule, delay: str = "1 minute", ts: str = "ts", stale: int = 300
+) -> DataFrame:
+    """The same for the running hit rate of served look-ups ``(ts, hit)``, as ``explain_stream`` gives them.
+
+    Look-ups are counted in panes of one step; the one series that follows adds up a row per step
+    and trigger, however many look-ups there are. A tick reads the share of hits, in percent, among all look-ups up to
+    it, unless the last one is more than ``stale`` seconds old. Look-ups without a time and those behind the watermark don't count;
+    a look-up without an answer (null ``hit``) is no hit.
+    """
+    if rule.by:
+        raise ValueError("a running hit rate is one series")
+    moment = F.timestamp_add("MICROSECOND", F.lit(-1), F.col(ts).cast("timestamp"))
+    timed = served.withColumn("_moment", moment).withWatermark("_moment", delay)
+    panes = timed.groupBy(F.window("_moment", rates.seconds(rule.step)).alias("window")).agg(
+        F.count_if("hit").alias("value"), F.count(F.lit(1)).alias("_watched"))
+    return _held(panes, rule, stale, RunningShareTicks)
+
+
+def _held(readings: DataFrame, rule: config.AlertRule, stale: int = 0, processor: type[HeldTicks] = HeldTicks) -> DataFrame:
     """Alert states of windows of one step that hold a reading of a watched series."""
     if rule.hold % rule.step:
         raise ValueError("the hold must be a whole number of steps")
     state.prepare(readings.sparkSession)
     given = readings.filter(F.col("_watched") > 0).select(
         F.window_time("window").alias("moment"), *rule.by,
-        (F.unix_seconds("window.end") / rule.step).cast("bigint").alias("number"), F.col("value").cast("double").alias("value"))
+        (F.unix_seconds("window.end") / rule.step).cast("bigint").alias("number"), F.col("value").cast("double").alias("value"),
+        F.col("_watched").alias("seen"), F.lit(0).alias("_series"))
     kinds = dict(given.dtypes)
     labels = "".join(f"`{name}` {kinds[name]}, " for name in rule.by)
-    key = list(rule.by) or [F.lit(0).alias("_series")]
-    held = given.groupBy(*key).transformWithStateInPandas(
-        HeldTicks(rule, stale), f"tick timestamp, {labels}state string", "Append", "EventTime", eventTimeColumnName="tick")
+    held = given.groupBy(*(rule.by or ["_series"])).transformWithStateInPandas(
+        processor(rule, stale), f"tick timestamp, {labels}state string", "Append", "EventTime", eventTimeColumnName="tick")
     return held.select("tick", *rule.by, "state", F.lit(rule.alert).alias("alert"), F.lit(rule.severity).alias("severity"))

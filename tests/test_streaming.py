@@ -251,6 +251,23 @@ def test_a_gauge_goes_on_while_other_series_move_the_watermark(spark, tmp_path):
     assert not any(i == "c" for i, _ in got)
 
 
+def test_hit_rate_alerts_follow_all_lookups_so_far(spark, tmp_path):
+    schema = "lookup_id long, ts timestamp, hit boolean"
+    first = [(n, at(7 * n), n % 3 > 0) for n in range(40)] + [(900, at(15), True), (901, at(15), False)]
+    second = [(n, at(7 * n), n > 90) for n in range(40, 150)] + [(950, None, True)]
+    folder = write_batches(spark, tmp_path, schema, first, second, [(999, at(3000), None)])
+    rule = dataclasses.replace(config.rule("LowCacheHitRate"), step=15, hold=60)
+    got = {r["tick"]: r["state"] for r in run(
+        spark, windows.hit_rate_alert_stream(stream_of(spark, folder, schema), rule, "10 seconds", stale=600), tmp_path).collect()}
+    running = lookup_ops.running_hit_rate(spark.read.schema(schema).parquet(folder).filter("ts IS NOT NULL"))
+    ticks = alerts.gauge_ticks(running.withColumn("value", F.col("hit_rate")), (), rule.step, tie="lookup_id", until=F.lit(at(1600)))
+    want = {r["tick"]: r["state"] for r in alerts.alerts(ticks, rule).collect()}
+    upto = at(149 * 7 + 500)
+    assert {k: v for k, v in got.items() if k <= upto} == {k: v for k, v in want.items() if k <= upto}
+    assert len(set(got.values())) == 3
+    assert max(got) < at(149 * 7 + 600 + rule.step)  # nobody looked anything up after that
+
+
 @pytest.mark.parametrize("window", [None, 60])
 def test_ticks_are_the_same_however_they_are_cut(window):
     rule = dataclasses.replace(config.rule("HighPSIDrift"), window=window, threshold=0.05, hold=45)
