@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 from addrwatch import config
 from addrwatch.operators.drift import drift_report
 from addrwatch.operators.monitor import latest_n
+from addrwatch.session import drop_scratch
 
 
 def drift_stream(
@@ -21,10 +22,11 @@ def drift_stream(
 ) -> StreamingQuery:
     """Write a drift report per trigger to ``out/reports`` and its index to ``out/metrics``.
 
-    The newest ``n`` rows seen so far are kept as a table of at most ``n`` rows per
-    batch, so a trigger reads its own new rows and that table only, never the whole
-    history. Every write is keyed by the batch and replaces itself if the batch is
-    run again. Without a ``period`` the stream works off what is there and ends.
+    The newest ``n`` rows seen so far are one file of at most ``n`` rows, so a trigger
+    reads its own new rows and that file only, never the whole history. Only the last two
+    batches' files stay: the one before, in case its successor is run again, and the
+    newest. Every write is keyed by the batch and replaces itself if the batch is
+    run again; a report and its sample are one row each. Without a ``period`` the stream works off what is there and ends.
     """
     columns = [ts, *([tie] if tie else []), config.TARGET]
 
@@ -32,12 +34,14 @@ def drift_stream(
         spark = batch.sparkSession
         seen = batch.select(columns)
         if batch_id > 0:
-            seen = seen.unionByName(spark.read.parquet(f"{out}/latest/batch={batch_id - 1}"))
+            seen = seen.unionByName(spark.read.schema(seen.schema).parquet(f"{out}/latest/batch={batch_id - 1}"))
         here = f"{out}/latest/batch={batch_id}"
-        latest_n(seen, n, ts, tie).write.mode("overwrite").parquet(here)
-        report = drift_report(baseline, spark.read.parquet(here), n, ts, tie)
+        latest_n(seen, n, ts, tie).coalesce(1).write.mode("overwrite").parquet(here)
+        if batch_id > 1:
+            drop_scratch(spark, f"{out}/latest/batch={batch_id - 2}")
+        report = drift_report(baseline, spark.read.schema(seen.schema).parquet(here), n, ts, tie).coalesce(1)
         report.write.mode("overwrite").parquet(f"{out}/reports/batch={batch_id}")
-        samples = spark.read.parquet(f"{out}/reports/batch={batch_id}").filter(F.col("psi").isNotNull()).select(
+        samples = spark.read.schema(report.schema).parquet(f"{out}/reports/batch={batch_id}").filter(F.col("psi").isNotNull()).select(
             F.lit("psi").alias("metric"),
             F.create_map(F.lit("target"), F.lit(config.TARGET)).alias("labels"),
             F.current_timestamp().alias("ts"),

@@ -154,6 +154,18 @@ def test_drift_stream_follows_the_latest(spark, tmp_path):
     assert spark.read.parquet(f"{out}/latest/batch=2").count() == 20
 
 
+def test_drift_stream_keeps_two_files_of_rows(spark, tmp_path):
+    schema = "request_id long, ts timestamp, is_ransomware boolean"
+    rows = [(i, at(i), i % 3 == 0) for i in range(48)]
+    folder = write_batches(spark, tmp_path, schema, *[rows[i : i + 8] for i in range(0, 48, 8)])
+    out = str(tmp_path / "drift")
+    base = spark.createDataFrame([(True, 1), (False, 3)], "value boolean, n long")
+    drift.drift_stream(stream_of(spark, folder, schema), base, out, n=10, period=None).awaitTermination()
+    assert len(glob.glob(f"{out}/latest/*/*.parquet")) == 2
+    assert sorted(r["request_id"] for r in spark.read.parquet(f"{out}/latest/batch=5").collect()) == list(range(38, 48))
+    assert len(glob.glob(f"{out}/reports/*/*.parquet")) == spark.read.parquet(f"{out}/reports").count() == 6
+
+
 def test_lookup_stream_serves_each_prediction_once(spark, tmp_path):
     asked_schema, given_schema = "lookup_id long, ts timestamp, request_id string", "request_id string, ts timestamp"
     asked = write_batches(
