@@ -4,8 +4,10 @@ import dataclasses
 import glob
 import os
 from datetime import datetime, timedelta
+from types import SimpleNamespace
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -238,6 +240,75 @@ def test_a_trigger_reads_the_state_of_its_own_ids(spark, tmp_path):
     assert got == {1: True, 2: False, 3: False}
 
 
+class CountedMap:
+    """Map state in memory that counts what is read and written."""
+
+    def __init__(self):
+        self.held, self.reads, self.writes = {}, 0, 0
+
+    def getValue(self, key):
+        self.reads += 1
+        return self.held.get(key)
+
+    def updateValue(self, key, value):
+        self.writes += 1
+        self.held[key] = value
+
+    def removeKey(self, key):
+        self.writes += 1
+        del self.held[key]
+
+
+def test_a_group_of_ids_is_matched_at_once():
+    """1,000 ids in one call; every second one is looked up in the same trigger and costs no state."""
+    made = CountedMap()
+    group = lookups.OpenPredictions(None)
+    group.init(SimpleNamespace(getMapState=lambda *_: made))
+
+    def call(rows):
+        names = ["request_id", "lookup_id", "named", "made", "at"]
+        found = pd.concat(group.handleInputRows((0,), iter([pd.DataFrame(rows, columns=names)]), None))
+        return {r.lookup_id: bool(r.hit) for r in found.itertuples()}
+
+    given = [(f"r{i}", 0, False, True, 10) for i in range(1000)]
+    asked = [(f"r{i}", i, True, False, 10 + i % 3) for i in range(0, 1000, 2)]
+    assert call(given + asked) == {i: True for i in range(0, 1000, 2)}
+    assert (made.reads, made.writes, len(made.held)) == (0, 500, 500)
+    assert call([("r1", 7, True, False, 11), ("r1", 8, True, False, 10), ("r0", 9, True, False, 11), ("r3", 10, True, False, 9)]) == {
+        7: False, 8: True, 9: False, 10: False}
+    assert (made.reads, made.writes, len(made.held)) == (3, 501, 499)
+
+
+def test_lookup_stream_without_times_or_names(spark, tmp_path):
+    schema = "kind string, lookup_id long, request_id string, ts timestamp"
+    folder = write_batches(spark, tmp_path, schema, [
+        ("p", None, "a", at(0)), ("p", None, "b", at(0)), ("p", None, "c", None), ("l", 1, "a", None), ("l", 2, "a", at(2)),
+        ("l", 2**60 + 1, "a", at(3)), ("l", None, "b", at(4)), ("l", 3, "b", at(5)), ("l", 4, "c", at(5))])
+    stream = stream_of(spark, folder, schema)
+    served = lookups.explain_stream(
+        stream.filter("kind = 'l'").select("lookup_id", "request_id", "ts"), stream.filter("kind = 'p'").select("request_id", "ts"))
+    got = {r["lookup_id"]: r["hit"] for r in run(spark, served, tmp_path).collect()}
+    assert got == {1: False, 2: True, 2**60 + 1: False, None: True, 3: False, 4: False}
+
+
+def test_state_of_open_predictions_goes_group_by_group(spark, tmp_path):
+    """One group: its timer drops what is over and wakes it up again for the others."""
+    schema = "kind string, lookup_id long, request_id string, ts timestamp"
+    first = [("p", None, f"r{i}", at(i)) for i in range(100)]
+    folder = write_batches(spark, tmp_path, schema, first, *[[("l", 1000 + t, f"r{t - 150}", at(t))] for t in (195, 230, 270, 400, 401)])
+    stream = stream_of(spark, folder, schema)
+    served = lookups.explain_stream(
+        stream.filter("kind = 'l'").select("lookup_id", "request_id", "ts"),
+        stream.filter("kind = 'p'").select("request_id", "ts"), keep=80, groups=1)
+    query = (served.writeStream.format("parquet").option("path", str(tmp_path / "rows"))
+             .option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start())
+    query.awaitTermination()
+    held = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+    assert max(held) >= 100 and held[-1] <= 3
+    rows = spark.read.parquet(str(tmp_path / "rows")).collect()
+    assert rows and not any(r["hit"] for r in rows)
+
+
 def test_a_series_that_falls_silent_ends_on_time(spark, tmp_path):
     """Only events of other series move the watermark after the first file."""
     schema = "ts timestamp, label string"
