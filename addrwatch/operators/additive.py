@@ -8,10 +8,12 @@ constants: no join, no UDF, the same in batch and streaming.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, replace
 from itertools import groupby
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import Bucketizer, OneHotEncoder, QuantileDiscretizer, VectorAssembler
@@ -176,7 +178,7 @@ def strongest_pairs(
 ) -> list[tuple[str, str]]:
     """The k pairs of features whose crossed bins explain most of what a model leaves.
 
-    Every pair's cells are summed in one aggregation; a cell's gain is its squared
+    Every pair's cells are summed in one pass; a cell's gain is its squared
     residual sum over its variance. Only a number per pair comes to the driver.
     """
     as_double = [F.coalesce(F.col(c).cast("double"), F.lit(float("nan"))).alias(c) for c in features]
@@ -184,16 +186,41 @@ def strongest_pairs(
         *as_double, (F.col(target) - F.col("probability")).alias("_rest"),
         (F.col("probability") * (1 - F.col("probability"))).alias("_spread"))
     frame, _ = _binned(scored, features, bins, "_bin_")
-    cells = F.array(*[
-        F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), (F.col(f"_bin_{a}") * (bins + 1) + F.col(f"_bin_{b}")).alias("cell"))
-        for i, a in enumerate(features) for b in features[i + 1:]
-    ])
-    sums = frame.select("_rest", "_spread", F.inline(cells)).groupBy("a", "b", "cell").agg(
-        F.sum("_rest").alias("rest"), F.sum("_spread").alias("spread"))
+    sums = _cell_sums(frame.select("_rest", "_spread", *[F.col(f"_bin_{c}").cast("int") for c in features]), features, bins + 1)
     gains = sums.groupBy("a", "b").agg(F.sum(F.col("rest") ** 2 / (F.col("spread") + 1.0)).alias("gain"))
     return [(r["a"], r["b"]) for r in gains.orderBy(F.desc("gain"), "a", "b").limit(k).collect()]
 
 
+def _cell_sums(frame: DataFrame, features: Sequence[str], width: int) -> DataFrame:
+    """``(a, b, cell, rest, spread)``: sums of residuals and variances in each pair's cells, first feature major.
+
+    A task adds up all cells of its rows, batch by batch, and gives a row for each: far fewer than a row per pair and row. Rows
+    without a residual add nothing.
+    """
+    pairs = [(i, j) for i in range(len(features)) for j in range(i + 1, len(features))]
+    names = list(features)
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((3, len(pairs), width * width))
+        for batch in batches:
+            rest, spread = (np.asarray(batch.column(c).to_numpy(zero_copy_only=False), np.float64) for c in range(2))
+            bins = [np.asarray(column.to_numpy(zero_copy_only=False), np.int64) for column in batch.columns[2:]]
+            known = [~np.isnan(rest), ~np.isnan(spread)]
+            rest, spread = (np.where(k, v, 0.0) for k, v in zip(known, (rest, spread), strict=True))
+            for p, (i, j) in enumerate(pairs):
+                cell = bins[i] * width + bins[j]
+                for at, weights in enumerate((None, rest, spread)):
+                    total[at, p] += np.bincount(cell, weights, width * width)
+        p, cell = np.nonzero(total[0])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([names[pairs[k][0]] for k in p], pa.string()), pa.array([names[pairs[k][1]] for k in p], pa.string()),
+             pa.array(cell.astype(np.float64)), pa.array(total[1][p, cell]), pa.array(total[2][p, cell])],
+            ["a", "b", "cell", "rest", "spread"])
+
+    parts = frame.mapInArrow(summed, "a string, b string, cell double, rest double, spread double")
+    return parts.groupBy("a", "b", "cell").agg(F.sum("rest").alias("rest"), F.sum("spread").alias("spread"))
+
+
 def term_scores(df: DataFrame, model: AdditiveModel) -> DataFrame:
     """Add the contribution of each term as struct ``terms``."""
     model = _trained(model)

@@ -100,3 +100,17 @@ def test_missing_side_of_a_pair_is_fitted_and_an_unnamed_pair_is_found(spark):
     got = bare.agg(F.avg("probability").alias("p"), F.avg("is_ransomware").alias("y")).first()
     assert abs(got["p"] - got["y"]) < .01
     assert auc(additive.explain(rows, paired)) > auc(additive.explain(rows, plain)) + .1
+
+
+def test_cells_of_pairs_are_summed_without_a_row_for_each(spark, capsys):
+    data = [(None if i % 11 == 0 else i % 7 / 8 - .4, i % 5 / 16, i % 3, i % 4, float(i % 6) if i % 13 else None, i) for i in range(3000)]
+    frame = spark.createDataFrame(data, "_rest double, _spread double, a int, b int, c double, i int").withColumn(
+        "c", F.coalesce("c", F.lit(6)).cast("int")).repartition(5).drop("i")
+    got = additive._cell_sums(frame, ["a", "b", "c"], 7)
+    got.explain()
+    assert "Generate" not in capsys.readouterr().out
+    cells = F.array(*[F.struct(F.lit(x).alias("a"), F.lit(y).alias("b"), (F.col(x) * 7.0 + F.col(y)).alias("cell")) for x, y in ("ab", "ac", "bc")])
+    plain = frame.select("_rest", "_spread", F.inline(cells)).groupBy("a", "b", "cell").agg(F.sum("_rest").alias("rest"), F.sum("_spread").alias("spread"))
+    one, two = ({(r["a"], r["b"], r["cell"]): (r["rest"], r["spread"]) for r in df.collect()} for df in (got, plain))
+    assert one.keys() == two.keys() and len(one) == 37
+    assert all(one[k] == pytest.approx(two[k], abs=1e-9) for k in one)
