@@ -12,9 +12,10 @@ verified against the least one. A bucket that holds one class then needs no more
 the others, such as those that a common passage brings together, are told apart by an exact
 prefix rule: two texts at the threshold must share a shingle among the rarest of each, those
 left when the commonest ones with less than the threshold's share of a text's weight are taken away.
-Frequencies are counted over those nodes. What shares such a shingle is settled in rounds: in each
-bucket some nodes outside its largest class are verified against all nodes of other classes,
-and then leave it, until no bucket holds two classes.
+Frequencies are counted over those nodes. In each bucket of such a shingle the nodes outside its largest
+class are verified against all nodes of other classes: pair by pair in small buckets; in larger ones
+both sides are dealt to blocks, and each pair of blocks is compared in one task, so that a text is
+read once per block of partners and no row is made for a pair.
 """
 
 from __future__ import annotations
@@ -33,8 +34,12 @@ SHINGLE = 5
 THRESHOLD = 0.8
 #: Bands and samples in each: two texts at the threshold meet with a probability of 0.9997.
 BANDS, SAMPLES = 8, 2
-#: Nodes of a bucket that are verified against its other classes in a round, about.
+#: Nodes of a bucket that are verified pair by pair; larger ones are compared in blocks.
 PAIRED = 32
+#: Nodes and bytes of text in a block, about, and shingles that two blocks are compared by at a time.
+BLOCK, BLOCK_BYTES, COLUMNS = 1024, 4 << 20, 2048
+#: Around the threshold the similarity from sums in single precision is computed anew.
+CLOSE = 1e-3
 #: What rounding may add to or take from a share of a text's weight.
 ROUNDING = 1e-4
 #: Texts that are verified against one text in a task.
@@ -74,7 +79,7 @@ class Weights:
         new = np.concatenate(([True], (hashes[1:] != hashes[:-1]) | (doc[1:] != doc[:-1]))) if len(doc) else np.zeros(0, bool)
         heads = np.flatnonzero(new)
         times = np.diff(np.append(heads, len(doc)))
-        self.doc, self.hashes, self.weights = doc[heads], hashes[heads], weight[heads] * times
+        self.doc, self.hashes, self.weights, self.times = doc[heads], hashes[heads], weight[heads] * times, times
         self.first = np.searchsorted(self.doc, np.arange(n_docs + 1))
         # Two hashes of the words in their order.
         power = words.powers(int(counts.max()) if n_docs else 1)
@@ -190,16 +195,11 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, id_col: str =
     pairs = met.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
     links = [tables.stored(_verified(pairs, texts, idf, threshold), "near-links")]
     classes = components.connected(links[0])
-    open_ = _by_prefix(_mixed(met.select("band", "key", "node"), classes), texts, idf, threshold)
-    while not (open_ := _mixed(open_, classes)).isEmpty():
-        pivots = _pivots(open_)
-        across = (pivots.withColumnsRenamed({"node": "a", "component": "one"}).join(open_, ["band", "key"])
-                  .where("one <> component").select("a", F.col("node").alias("b")).distinct())
-        more = tables.stored(_verified(across, texts, idf, threshold), "near-links")
-        open_ = tables.stored(open_.join(pivots, ["band", "key", "node"], "left_anti").select("band", "key", "node"), "open-buckets")
-        if not more.isEmpty():
-            links.append(more)
-            classes = components.extended(classes, more)
+    open_ = _mixed(_by_prefix(_mixed(met.select("band", "key", "node"), classes), texts, idf, threshold), classes)
+    more = tables.stored(_across(open_.join(nodes.select("node", "text_bytes"), "node"), texts, idf, threshold), "near-links")
+    if not more.isEmpty():
+        links.append(more)
+        classes = components.extended(classes, more)
     every = reduce(DataFrame.unionByName, (x.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")) for x in links)).distinct()
     degree = every.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
     known = nodes.select("fp1", "fp2", "node").join(classes, "node", "left").join(degree, "node", "left")
@@ -273,11 +273,87 @@ def _by_prefix(open_: DataFrame, texts: DataFrame, idf, threshold: float) -> Dat
     return tables.stored(rare, "prefix-buckets")
 
 
-def _pivots(open_: DataFrame) -> DataFrame:
-    """(band, key, node, component) of about PAIRED nodes of each bucket outside its largest class, all if they are fewer."""
-    counts = open_.groupBy("band", "key", "component").agg(F.count(F.lit(1)).alias("n"))
-    largest = counts.groupBy("band", "key").agg(F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("all"))
-    others = open_.join(largest, ["band", "key"]).where(F.col("component") != F.col("top.component"))
-    share = F.ceil((F.col("all") - F.col("top.n")) / PAIRED)
-    # Which of them depends on how many are left, so that each has its turn.
-    return others.where(F.pmod(F.xxhash64("node", "all"), share) == 0).select("band", "key", "node", "component")
+def _across(open_: DataFrame, texts: DataFrame, idf, threshold: float) -> DataFrame:
+    """Links (a, b) between nodes of different classes in each bucket (band, key, node, component, text_bytes)."""
+    counts = open_.groupBy("band", "key", "component").agg(F.count(F.lit(1)).alias("n"), F.sum("text_bytes").alias("bytes"))
+    top = F.max(F.struct("n", "component", "bytes"))
+    sizes = counts.groupBy("band", "key").agg(
+        top["component"].alias("top"), F.sum("n").alias("all"), (F.sum("n") - top["n"]).alias("out"),
+        F.sum("bytes").alias("all_bytes"), (F.sum("bytes") - top["bytes"]).alias("out_bytes"))
+    sized = tables.stored(open_.join(sizes, ["band", "key"]), "sized-buckets")
+    small = sized.where(F.col("all") <= PAIRED)
+    outer = small.where("component <> top").select("band", "key", F.col("node").alias("a"), F.col("component").alias("one"))
+    pairs = outer.join(small, ["band", "key"]).where("one <> component").select("a", F.col("node").alias("b")).distinct()
+    blocks = _blocks(sized.where(F.col("all") > PAIRED)).join(texts, "node")
+
+    def compared(group: pa.Table) -> pa.Table:
+        left, node, component = (np.asarray(tables.column_of(group, c).to_pylist()) for c in ("left", "node", "component"))
+        text = tables.column_of(group, "text")
+        one, two = np.flatnonzero(left), np.flatnonzero(~left)
+        a, b = _similar(_shingles(text.take(pa.array(one)), idf.value), _shingles(text.take(pa.array(two)), idf.value),
+                        component[one][:, None] != component[two], threshold)
+        return pa.table({"a": pa.array(node[one][a], pa.int64()), "b": pa.array(node[two][b], pa.int64())})
+
+    return _verified(pairs, texts, idf, threshold).unionByName(blocks.groupBy("task").applyInArrow(compared, "a long, b long"))
+
+
+def _blocks(sized: DataFrame) -> DataFrame:
+    """(task, left, node, component): nodes outside a bucket's largest class on the left, all of the bucket's on the right.
+
+    Both are dealt to blocks; a task has one block of each, and a node has a row per block of the other side.
+    """
+    lefts, rights = (F.ceil(F.greatest(F.col(c) / BLOCK, F.col(f"{c}_bytes") / BLOCK_BYTES)) for c in ("out", "all"))
+    own = sized.withColumns({"i": F.pmod(F.xxhash64("node"), lefts), "j": F.pmod(F.xxhash64("node"), rights)})
+    left = own.where("component <> top").withColumn("j", F.explode(F.sequence(F.lit(0).cast("long"), rights - 1))).withColumn("left", F.lit(True))
+    right = own.withColumn("i", F.explode(F.sequence(F.lit(0).cast("long"), lefts - 1))).withColumn("left", F.lit(False))
+    return left.unionByName(right).select(F.xxhash64("band", "key", "i", "j").alias("task"), "left", "node", "component")
+
+
+def _shingles(texts: pa.Array, idf: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Text, hash, weight and number of every shingle of the texts."""
+    found, first = [], 0
+    for part in tables.slices(pa.RecordBatch.from_arrays([texts], ["text"]), "text"):
+        own = Weights(tables.column(part, "text"), idf)
+        found.append((own.doc + first, own.hashes, own.weights, own.times))
+        first += part.num_rows
+    return tuple(np.concatenate(c) for c in zip(*found, strict=True))
+
+
+def _similar(one: tuple, two: tuple, wanted: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Which of the wanted pairs (a row per text of one side, a column per text of the other) are similar enough.
+
+    What two texts share adds up column by column, a column being a shingle of both sides. Where one
+    side has it once per text, the sum is a product of matrices.
+    """
+    totals = [np.bincount(x[0], x[2], n) for x, n in zip((one, two), wanted.shape, strict=True)]
+    columns = np.intersect1d(one[1], two[1])
+    both = np.zeros(wanted.shape, np.float32)
+    sides = []
+    for doc, hashes, weights, times in (one, two):
+        at = np.searchsorted(columns, hashes)
+        held = np.flatnonzero(columns[np.minimum(at, len(columns) - 1)] == hashes) if len(columns) else np.zeros(0, np.int64)
+        held = held[np.argsort(at[held], kind="stable")]
+        most = np.zeros(len(columns), np.int64)
+        np.maximum.at(most, at[held], times[held])
+        sides.append((doc[held], at[held], weights[held], times[held], most))
+    often = np.minimum(sides[0][4], sides[1][4]) > 1
+    for low in range(0, len(columns), COLUMNS):
+        dense = []
+        for (doc, at, weights, times, _), n, weighted in zip(sides, wanted.shape, (True, False), strict=True):
+            own = slice(*np.searchsorted(at, (low, low + COLUMNS)))
+            filled = np.zeros((n, min(COLUMNS, len(columns) - low)), np.float32)
+            filled[doc[own], at[own] - low] = np.where(often[at[own]], 0, weights[own] / times[own] if weighted else 1)
+            dense.append(filled)
+        both += dense[0] @ dense[1].T
+    for column in np.flatnonzero(often):
+        own = [slice(*np.searchsorted(at, (column, column + 1))) for _, at, *_ in sides]
+        (a, _, x, *_), (b, _, y, *_) = ([c[cut] for c in side[:4]] for side, cut in zip(sides, own, strict=True))
+        both[np.ix_(a, b)] += np.minimum.outer(x, y)
+    share = both / np.maximum(1e-30, totals[0][:, None] + totals[1] - both)
+    a, b = np.nonzero(wanted & (share >= threshold - CLOSE))
+    sure = share[a, b] >= threshold + CLOSE
+    for k in np.flatnonzero(~sure):
+        (x, y) = ((side[1][own], side[2][own]) for side, own in (
+            (side, slice(*np.searchsorted(side[0], (at, at + 1)))) for side, at in ((one, a[k]), (two, b[k]))))
+        sure[k] = similarity(x, y) >= threshold
+    return a[sure], b[sure]

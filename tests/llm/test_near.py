@@ -134,3 +134,50 @@ def test_repeated_rows_are_one_class(spark):
     assert len(got) == 5
     assert len({r["class_id"] for r in got if r["text_bytes"]}) == 1
     assert len({r["class_id"] for r in got}) == 3
+
+
+def test_blocks_find_the_pairs_that_single_comparisons_find(monkeypatch):
+    monkeypatch.setattr(near, "COLUMNS", 7)
+    rng = random.Random(5)
+    texts = []
+    for g in range(6):
+        base = [f"g{g}x{rng.randrange(40)}" for _ in range(60)] + ["again"] * (9 * (g % 3))
+        for _ in range(5):
+            own = base[:]
+            for k in rng.sample(range(60), rng.choice([0, 1, 2, 3])):
+                own[k] = f"e{rng.randrange(50)}"
+            texts.append(" ".join(own + ["again"] * rng.choice([0, 0, 4])))
+    rng.shuffle(texts)
+    idf = np.linspace(1, 5, 1 << near.TABLE_BITS)
+    own = near.Weights(pa.array(texts), idf)
+    every = {(i, j) for i, j in itertools.product(range(12), range(12, len(texts))) if near.similarity(own.of(i), own.of(j)) >= near.THRESHOLD}
+    sides = near._shingles(pa.array(texts[:12]), idf), near._shingles(pa.array(texts[12:]), idf)
+    a, b = near._similar(*sides, np.ones((12, len(texts) - 12), bool), near.THRESHOLD)
+    assert set(zip(a.tolist(), (b + 12).tolist(), strict=True)) == every
+    assert len(every) > 3
+    a, _ = near._similar(*sides, np.zeros((12, len(texts) - 12), bool), near.THRESHOLD)
+    assert not len(a)
+
+
+def test_a_large_bucket_of_many_classes_takes_no_rounds_and_no_row_per_pair(spark, monkeypatch):
+    """Texts around the threshold share rare shingles, but many aren't linked."""
+    rng = random.Random(2)
+    base = [f"w{k}" for k in range(100)]
+    texts = []
+    for _ in range(120):
+        own = base[:]
+        for k in rng.sample(range(100), 5):
+            own[k] = f"e{rng.randrange(10**6)}"
+        texts.append(" ".join(own))
+    monkeypatch.setattr(near, "PAIRED", 4)
+    monkeypatch.setattr(near, "BLOCK", 50)
+    mixed, verified, looks, pairs = near._mixed, near._verified, [], []
+    monkeypatch.setattr(near, "_mixed", lambda *a: looks.append(1) or mixed(*a))
+    monkeypatch.setattr(near, "_verified", lambda p, *a: pairs.append(p.count()) or verified(p, *a))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {}
+    for r in near.near_duplicates(df).collect():
+        found.setdefault(r["class_id"], set()).add(r["doc_id"])
+    assert set(map(frozenset, found.values())) == classes(texts, near.inverse_frequencies(df), near.THRESHOLD)
+    assert len(looks) <= 2
+    assert sum(pairs) <= near.BANDS * len(texts)
