@@ -9,13 +9,16 @@ in a cheapest alignment. Lines that meet are verified by a banded bit-parallel e
 Within a bucket of at most PAIRED lines all pairs with an indexed line are verified. In a larger one,
 as a frequent segment makes it, lines are placed by where they begin to differ from the first
 one, and only those are compared that differ in places near enough (``_measured``); many
-lines that begin to differ in one place are a bucket of their own. Every pair of different lines within the
+lines that begin to differ in one place are a bucket of their own. A task divides buckets of at
+most HERE lines to the end (``_divided``); larger ones are divided by joins, round by round. Every pair of different lines within the
 threshold is found in the bucket of the least key they share, and counted there once.
 """
 
 from __future__ import annotations
 
 import functools
+import hashlib
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,10 +33,14 @@ THRESHOLD = 2
 #: Shorter lines are compared exactly only: a few edits would link unrelated ones.
 MIN_CHARS = 20
 PAIRED = 32
+#: Lines of a bucket that one task divides.
+HERE = 2048
 #: Lines that are verified against one line in a task.
 GROUP = 512
 #: Pairs that are verified together, and lines whose keys are compared with one line's together.
 PAIRS, CHUNK = 1 << 16, 1 << 12
+#: Times of a column of the matrix, and of a diagonal of one pair, in those of a pair's cells in one column (35 ns).
+COLUMN, DIAGONALS = 4800, 100
 NO_KEY = np.uint64((1 << 64) - 1)
 
 FOUND = "part long, row long, line int, h1 long, h2 long, chars int"
@@ -96,7 +103,8 @@ def within(a: list[str], b: list[str], threshold: int) -> np.ndarray:
 
     Hyyrö's bit vectors for a diagonal band: one machine word holds the differences between
     neighbouring cells in the rows around the diagonal, and each column of the matrix takes a
-    few word operations. Many pairs go through the same columns together.
+    few word operations. Many pairs go through the same columns together; a few pairs of long lines
+    are compared one by one by their furthest points, which costs no step per column.
     """
     out = np.zeros(len(a), bool)
     sizes = np.array([(len(x), len(y)) for x, y in zip(a, b, strict=True)]).reshape(-1, 2)
@@ -106,7 +114,10 @@ def within(a: list[str], b: list[str], threshold: int) -> np.ndarray:
         # The longest first, as many as give a matrix of bounded size.
         own = order[-max(1, (1 << 21) // (int(sizes[order[-1]].max()) + 2 * threshold + 2)):]
         order = order[: len(order) - len(own)]
-        out[own] = _distances([a[i] for i in own], [b[i] for i in own], threshold) <= threshold
+        if len(own) * DIAGONALS * (threshold + 1) ** 2 < int(sizes[own[-1]].max()) * (COLUMN + len(own)):
+            out[own] = [_seen_from(a[i], b[i], threshold, threshold)[2] <= threshold for i in own]
+        else:
+            out[own] = _distances([a[i] for i in own], [b[i] for i in own], threshold) <= threshold
     return out
 
 
@@ -292,7 +303,9 @@ def _links(entries: DataFrame, texts_of, threshold: int) -> DataFrame:
     met = _met(entries)
     texts = texts_of(met.select("id").distinct())
     rounds = [met.where(F.col("lines") <= PAIRED).select(F.col("key").alias("g"), F.col("key").alias("root"), "id", F.lit(0).alias("side"))]
-    large = met.where(F.col("lines") > PAIRED).select("key", F.col("key").alias("root"), "id")
+    large = met.where(F.col("lines") > PAIRED).select("key", F.col("key").alias("root"), "id", F.col("lines").alias("n"))
+    rounds.append(_divided(large.where(F.col("n") <= HERE), texts, threshold))
+    large = large.where(F.col("n") > HERE)
     while not large.isEmpty():
         # Stored in each round, so that no plan grows with their number; merged, so that the driver builds no relations for them.
         seen = tables.stored(_measured(large, texts, threshold), "measured-lines")
@@ -309,7 +322,9 @@ def _links(entries: DataFrame, texts_of, threshold: int) -> DataFrame:
                 _grouped(seen.where("inner"), "shell", 1)).unionByName(_grouped(seen.where("shell"), "shell", 2)).unionByName(
                 _grouped(points.where(F.col("n") <= PAIRED), "place", 0, "at")).unionByName(
                 _grouped(points, "near", 1, "at")).unionByName(_grouped(spans, "near", 2, "at")), "line-groups"))
-        large = points.where(F.col("n") > PAIRED).select(F.xxhash64("key", "at").alias("key"), "root", "id")
+        large = points.where(F.col("n") > PAIRED).select(F.xxhash64("key", "at").alias("key"), "root", "id", "n")
+        rounds.append(tables.stored(_divided(large.where(F.col("n") <= HERE), texts, threshold), "line-groups"))
+        large = large.where(F.col("n") > HERE)
     groups = functools.reduce(DataFrame.unionByName, rounds)
     return tables.stored(_compared(tables.stored(groups, "line-groups"), texts, threshold), "line-links")
 
@@ -318,6 +333,78 @@ def _grouped(members: DataFrame, kind: str, side: int, *more: str) -> DataFrame:
     return members.select(F.xxhash64("key", F.lit(kind), *more).alias("g"), "root", "id", F.lit(side).alias("side"))
 
 
+def _divided(buckets: DataFrame, texts: DataFrame, threshold: int) -> DataFrame:
+    """The groups (g, root, id, side) of buckets (key, root, id) of at most HERE lines.
+
+    The same groups as rounds of ``_measured`` lead to, without those in which nothing is compared.
+    """
+    paired = PAIRED
+
+    def divided(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _whole(batches, "key"):
+            keys_of, roots, ids = (tables.column_of(table, c).to_pylist() for c in ("key", "root", "id"))
+            lines = tables.column_of(table, "line").to_pylist()
+            edges = [i for i, k in enumerate(keys_of) if not i or k != keys_of[i - 1]] + [len(ids)]
+            out = ([], [], [], [])
+            for first, end in zip(edges, edges[1:], strict=False):
+                for g, side, members in _groups_of(keys_of[first], lines[first:end], threshold, paired):
+                    for x, values in zip(out, ([g] * len(members), [roots[first]] * len(members),
+                                               [ids[first + i] for i in members], [side] * len(members)), strict=True):
+                        x.extend(values)
+            yield pa.RecordBatch.from_arrays(
+                [*(pa.array(x, pa.int64()) for x in out[:3]), pa.array(out[3], pa.int32())], ["g", "root", "id", "side"])
+
+    rows = buckets.select("key", "root", "id").join(texts, "id").repartition(_parts(texts), "key").sortWithinPartitions("key", "id")
+    return tables.mapped(rows, divided, "g long, root long, id long, side int")
+
+
+def _groups_of(key: int, lines: list[str], threshold: int, paired: int) -> Iterator[tuple[int, int, list[int]]]:
+    """(g, side, numbers of lines) of all groups that a bucket is divided into."""
+    def named(key: int, kind: bytes, at: int = 0) -> int:
+        return int.from_bytes(hashlib.blake2b(struct.pack("<qq", key, at) + kind, digest_size=8).digest(), "little", signed=True)
+
+    waiting = [(key, np.arange(len(lines)))]
+    while waiting:
+        key, own = waiting.pop()
+        seen = np.array([_seen_from(lines[own[0]], lines[i], threshold) for i in own], np.int64)
+        first, reach, distance = seen.T
+        inner, shell = own[distance <= threshold], own[(distance > threshold) & (distance <= 2 * threshold)]
+        if len(inner) > 1:
+            yield named(key, b"inner"), 0, inner.tolist()
+        if len(shell):
+            yield named(key, b"shell"), 1, inner.tolist()
+            yield named(key, b"shell"), 2, shell.tolist()
+        outer = distance > threshold
+        for at in np.unique(first[outer]).tolist():
+            points = own[outer & (first == at)]
+            spans = own[outer & (first < at) & (reach >= at)]
+            if len(points) > paired:
+                waiting.append((named(key, b"bucket", at), points))
+            elif len(points) > 1:
+                yield named(key, b"place", at), 0, points.tolist()
+            if len(spans):
+                yield named(key, b"near", at), 1, points.tolist()
+                yield named(key, b"near", at), 2, spans.tolist()
+
+
+def _whole(batches: Iterator[pa.RecordBatch], by: str) -> Iterator[pa.Table]:
+    """Tables that hold all rows of each value of a column by which the rows are ordered."""
+    rest = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([batch])])
+        at = np.asarray(tables.column_of(table, by))
+        done = int(np.searchsorted(at, at[-1])) if len(at) else 0
+        rest = table.slice(done)
+        if done:
+            yield table.slice(0, done)
+    if rest is not None:
+        yield rest
+
+
+def _parts(df: DataFrame) -> int:
+    return max(12, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def _measured(buckets: DataFrame, texts: DataFrame, threshold: int) -> DataFrame:
     """Each line of the buckets (key, root, id) as seen from the bucket's least line.
 
@@ -347,14 +434,15 @@ def _measured(buckets: DataFrame, texts: DataFrame, threshold: int) -> DataFrame
                          "{} long, first long, reach long, inner boolean, shell boolean".format(" long, ".join(given)))
 
 
-def _seen_from(a: str, b: str, threshold: int) -> tuple[int, int, int]:
-    """Common beginning of a and b, reach of b along a, and their distance up to 2 * threshold + 1.
+def _seen_from(a: str, b: str, threshold: int, most: int | None = None) -> tuple[int, int, int]:
+    """Common beginning of a and b, reach of b along a, and their distance up to ``most`` + 1, by default 2 * threshold + 1.
 
     Furthest points per diagonal for 0, 1, ... edits.
     """
+    most = 2 * threshold if most is None else most
     first = _equal(a, 0, b, 0)
     far, reach, target = {0: first}, first, len(a) - len(b)
-    for edits in range(2 * threshold + 1):
+    for edits in range(most + 1):
         if edits:
             new = {}
             for d in range(-edits, edits + 1):
@@ -367,7 +455,7 @@ def _seen_from(a: str, b: str, threshold: int) -> tuple[int, int, int]:
                 reach = max(reach, *far.values())
         if far.get(target) == len(a):
             return first, reach, edits
-    return first, reach, 2 * threshold + 1
+    return first, reach, most + 1
 
 
 def _equal(a: str, i: int, b: str, j: int) -> int:
@@ -411,20 +499,12 @@ def _compared(groups: DataFrame, texts: DataFrame, threshold: int) -> DataFrame:
         F.expr("CASE WHEN side = 0 THEN int(block > other) ELSE side - 1 END").alias("part"))
     task = F.xxhash64("g", "own", "i", "j")
     rows = dealt.select(task.alias("task"), "root", (F.col("own") & (F.col("i") == F.col("j"))).alias("whole"), "part", "id").join(texts, "id")
-    parts = max(12, int(groups.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest = None
-        for batch in batches:
-            table = pa.Table.from_batches([batch]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([batch])])
-            at = np.asarray(tables.column_of(table, "task"))
-            done = int(np.searchsorted(at, at[-1])) if len(at) else 0
-            rest = table.slice(done)
-            yield from _pair_links(table.slice(0, done), threshold)
-        if rest is not None:
-            yield from _pair_links(rest, threshold)
-
-    return tables.mapped(rows.repartition(parts, "task").sortWithinPartitions("task"), compared, "id long, least long, links long")
+        for table in _whole(batches, "task"):
+            yield from _pair_links(table, threshold)
+
+    return tables.mapped(rows.repartition(_parts(texts), "task").sortWithinPartitions("task"), compared, "id long, least long, links long")
 
 
 def _pair_links(group: pa.Table, threshold: int) -> Iterator[pa.RecordBatch]:

@@ -168,3 +168,42 @@ def test_links_are_those_of_all_pairs(spark, monkeypatch, group, pairs):
     assert set(ids) == {x for x in every if wanted[x]}
     assert all(ids[a] == ids[b] for a, b in near)
     assert len(set(ids.values())) == sum(got[i]["n_removed"] == 0 and wanted[x] > 0 for i, x in enumerate(every))
+
+
+def test_few_long_pairs_are_compared_like_many(spark, monkeypatch):
+    """Pair by pair or column by column, the answers are those of the full matrix, and long lines take no step per column."""
+    rng = random.Random(8)
+    pairs = []
+    for _ in range(300):
+        a = "".join(rng.choice("abé🙂") for _ in range(rng.randrange(0, 30)))
+        pairs.append((a, edited(rng, a, rng.randrange(0, 4))))
+    wanted = [distance(a, b) <= 2 for a, b in pairs]
+    many = lines.within(*map(list, zip(*pairs * 40, strict=True)), 2)
+    assert many.tolist() == wanted * 40
+    assert [bool(lines.within([a], [b], 2)[0]) for a, b in pairs] == wanted
+    monkeypatch.setattr(lines, "_distances", None)
+    long = "".join(rng.choice("abcdef ") for _ in range(20000))
+    others = [long + "x", "y" + long[1:], long[:9000] + long[9003:], long[:9000] + "zz" + long[9000:], long[::-1]]
+    assert lines.within([long] * 5, others, 2).tolist() == [True, True, False, True, False]
+
+
+def test_a_bucket_is_divided_in_a_task_as_by_rounds(spark, monkeypatch):
+    pool = digits(random.Random(5))[:90]
+    monkeypatch.setattr(lines, "PAIRED", 12)
+    df = spark.createDataFrame(list(enumerate(pool)), "doc_id long, text string").repartition(5)
+
+    def found():
+        return {r["doc_id"]: (r["text"], r["n_links"], r["line_classes"]) for r in lines.dedup_lines(df).collect()}
+
+    rounds, measured = [], lines._measured
+    monkeypatch.setattr(lines, "_measured", lambda *given: rounds.append(1) or measured(*given))
+    whole = found()
+    assert not rounds  # no jobs of Spark for a bucket that a task can hold
+    wanted = dict.fromkeys(pool, 0)
+    for a, b in linked(pool):
+        wanted[a] += 1
+        wanted[b] += 1
+    assert {pool[i]: n for i, (_, n, _) in whole.items()} == wanted
+    monkeypatch.setattr(lines, "HERE", 30)  # by rounds until a task can go on
+    assert found() == whole
+    assert rounds
